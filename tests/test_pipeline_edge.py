@@ -1,0 +1,14 @@
+import json
+
+from fixtures import EDGE_EXPECTED, EDGE_SPEC, EDGE_WORKBOOK
+
+from sheetdoc.operators.document import assemble_small
+from sheetdoc.plans.run import run_transform
+from sheetdoc.sources.workbook_json import cells_from_python
+
+
+def test_edge_sheets_document(spark):
+    cells = cells_from_python(spark, EDGE_WORKBOOK)
+    res = run_transform(cells, EDGE_SPEC)
+    got = json.loads(assemble_small(res.fragments))
+    assert got == EDGE_EXPECTED
