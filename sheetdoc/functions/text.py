@@ -100,10 +100,21 @@ def regex_capture(c, pattern: str) -> Column:
     return F.when(v.rlike(p), py_strip(F.regexp_extract(v, p, 1))).otherwise(py_strip(v))
 
 
+def strict_json(c) -> Column:
+    """Parse JSON text to a variant, NULL unless the *whole* text is one JSON value.
+
+    Spark's parsers stop after the first value and ignore what follows; wrapping the text in
+    ``[...]`` makes trailing text or a truncated value a syntax error, and the element count
+    must be one. (A text such as ``1] [2`` still slips through; documented.)"""
+    t = col_(c).cast("string")
+    wrapped = F.concat(F.lit("["), t, F.lit("]"))
+    return F.when(F.json_array_length(wrapped) == 1, F.try_parse_json(t))
+
+
 def json_promote(c) -> Column:
     """Text that parses to a JSON array/object becomes a native variant; else text."""
     v = col_(c).cast("string")
-    parsed = F.when(v.rlike(f"^[{WS}]*[\\[{{]"), F.try_parse_json(v))
+    parsed = F.when(v.rlike(f"^[{WS}]*[\\[{{]"), strict_json(v))
     return F.coalesce(parsed, v.cast("variant"))
 
 

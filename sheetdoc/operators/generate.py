@@ -53,7 +53,8 @@ def explode_parts(ctx: DataFrame, view: RowView, column: str, sep: str, out: str
     )
 
 
-def group_representatives(ctx: DataFrame, partition_by: list[str], key: Column, drop_empty: bool) -> DataFrame:
+def group_representatives(ctx: DataFrame, partition_by: list[str], key: Column, drop_empty: bool,
+                          count_as: str | None = None) -> DataFrame:
     """One row per (context, key) - the group's first row - with ``__gkey`` = key.
 
     ``min_by`` is a partial aggregate, so a hot key is folded map-side before the shuffle.
@@ -62,10 +63,13 @@ def group_representatives(ctx: DataFrame, partition_by: list[str], key: Column,
     keyed = ctx.withColumn("__gkey", key)
     if drop_empty:
         keyed = keyed.where(F.coalesce(F.col("__gkey"), F.lit("")) != "")
+    extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     rep = keyed.groupBy(*partition_by, "__gkey").agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.col("__ord")).alias("__r")
+        F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.struct(F.col("__ord"), F.col("__sub"))).alias("__r"),
+        *extra,
     )
-    return rep.select(*partition_by, "__gkey", *[F.col("__r").getField(c).alias(c) for c in cols])
+    return rep.select(*partition_by, "__gkey", *[F.col("__r").getField(c).alias(c) for c in cols],
+                      *([count_as] if count_as else []))
 
 
 def dynamic_fields(scope: DataFrame, view: RowView, dyn: dict, n_static: int,

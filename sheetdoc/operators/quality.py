@@ -63,7 +63,7 @@ def workbook_check(raw: DataFrame, text_col: str = "value", workbook_key: str =
 
     Order of checks as the reference: valid JSON, top-level object, has the key, key is an
     object. The key is a parameter (T21)."""
-    v = F.try_parse_json(F.col(text_col))
+    v = tx.strict_json(F.col(text_col))
     kind = F.schema_of_variant(v)
     sub = F.try_variant_get(v, f"$['{workbook_key}']", "variant")
     status = (

@@ -19,34 +19,45 @@ from pyspark.sql import functions as F
 DEFAULT_BLOCK_ROWS = 1 << 20
 
 
-def forward_fill(
+def prefix_max(
     df: DataFrame,
-    is_header: Column,
+    value: Column,
     partition_by: list[str],
     order_col: str,
     out: str,
+    inclusive: bool = True,
     block_rows: int | None = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """Add ``out`` = value of ``order_col`` on the most recent header row (NULL before any).
-
-    ``order_col`` must be an integral column that orders rows within the partition and is
-    unique there (``row_idx``).
-    """
-    hdr = F.when(F.coalesce(is_header, F.lit(False)), F.col(order_col))
+    """Add ``out`` = running max of ``value`` over rows ordered by ``order_col`` (an integral
+    key unique within the partition), including the current row or not."""
+    hi = 0 if inclusive else -1
     if not block_rows:
-        w = Window.partitionBy(*partition_by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.max(hdr).over(w))
+        w = Window.partitionBy(*partition_by).orderBy(order_col).rowsBetween(Window.unboundedPreceding, hi)
+        return df.withColumn(out, F.max(value).over(w))
 
     blk = "__blk"
-    tagged = df.withColumn("__hdr", hdr).withColumn(blk, F.floor(F.col(order_col) / F.lit(block_rows)).cast("bigint"))
-    w_in = Window.partitionBy(*partition_by, blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    local = tagged.withColumn("__run", F.max("__hdr").over(w_in))
+    tagged = df.withColumn("__val", value).withColumn(blk, F.floor(F.col(order_col) / F.lit(block_rows)).cast("bigint"))
+    w_in = Window.partitionBy(*partition_by, blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, hi)
+    local = tagged.withColumn("__run", F.max("__val").over(w_in))
     # Phase 2: one row per (partition, block) -> exclusive prefix max over earlier blocks.
-    blocks = tagged.groupBy(*partition_by, blk).agg(F.max("__hdr").alias("__bmax"))
+    blocks = tagged.groupBy(*partition_by, blk).agg(F.max("__val").alias("__bmax"))
     w_blk = Window.partitionBy(*partition_by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.withColumn("__carry", F.max("__bmax").over(w_blk)).select(*partition_by, blk, "__carry")
     joined = local.join(carry, [*partition_by, blk], "left")
-    return joined.withColumn(out, F.coalesce(F.col("__run"), F.col("__carry"))).drop("__hdr", "__run", "__carry", blk)
+    return joined.withColumn(out, F.greatest(F.col("__run"), F.col("__carry"))).drop("__val", "__run", "__carry", blk)
+
+
+def forward_fill(
+    df: DataFrame,
+    is_header: Column,
+    partition_by: list[str],
+    order_col: str,
+    out: str,
+    block_rows: int | None = DEFAULT_BLOCK_ROWS,
+) -> DataFrame:
+    """Add ``out`` = value of ``order_col`` on the most recent header row (NULL before any)."""
+    hdr = F.when(F.coalesce(is_header, F.lit(False)), F.col(order_col))
+    return prefix_max(df, hdr, partition_by, order_col, out, True, block_rows)
 
 
 def segment_rows(

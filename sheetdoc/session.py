@@ -19,6 +19,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
