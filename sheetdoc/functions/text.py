@@ -26,6 +26,13 @@ FALSY_MAP_VALUES = ("", "0", "FALSE", "NO", "N")
 ERR_PREFIX = "#ERR:"
 # ---------------------------------------------------------------------------------------------
 
+# The same set as literal characters, for ``btrim`` (strips only at the ends, linear time).
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
 _STRIP_RE = f"^[{WS}]+|[{WS}]+$"
 # Python's Unicode ``\w`` approximated by letters, numbers and underscore.
 _WORD = r"\p{L}\p{N}_"
@@ -41,7 +48,7 @@ def lit_(v) -> Column:
 
 def py_strip(c) -> Column:
     """``str.strip()`` with Python's whitespace set (Spark ``trim`` removes only U+0020)."""
-    return F.regexp_replace(col_(c), _STRIP_RE, "")
+    return F.btrim(col_(c), F.lit(WS_CHARS))
 
 
 def clean_value(c) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..model import as_sheet
 from ..operators.document import document_fragments
+from ..session import materialize
 from .pipeline import run_sheet
 
 EVENTS_SPEC = {
@@ -35,7 +36,8 @@ def events_sheet(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     res = run_sheet(events_sheet(spark, sf), EVENTS_SPEC)
-    sheets = res.items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
-    frags = document_fragments(res.items, res.fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]})
+    items, fields = materialize(res.items), materialize(res.fields)
+    sheets = items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
+    frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")

@@ -20,6 +20,7 @@ from ..operators.segment import forward_fill
 from .flat import pivot_fields, run_flat
 from .pipeline import run_sheet
 from .run import select_sheets
+from ..session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -873,7 +874,8 @@ def hierarchy_doc(spark, sf):
 
     res = run_sheet(_hierarchy_sheet(spark, sf), HIERARCHY_SPEC)
     sheets = spark.createDataFrame([("geo", "hierarchy", 0)], "workbook_id string, sheet string, sheet_ord int")
-    frags = document_fragments(res.items, res.fields, sheets, {"hierarchy": HIERARCHY_SPEC["sitecore_config"]})
+    frags = document_fragments(materialize(res.items), materialize(res.fields), sheets,
+                               {"hierarchy": HIERARCHY_SPEC["sitecore_config"]})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 

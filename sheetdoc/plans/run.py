@@ -17,6 +17,7 @@ from ..model import cells_to_sheet
 from ..operators import document as doc
 from ..operators import quality as qa
 from ..operators.segment import DEFAULT_BLOCK_ROWS
+from ..session import materialize
 from .pipeline import FIELDS_DDL, ITEMS_DDL, run_sheet
 
 MAX_HEADERS = 100_000
@@ -95,5 +96,7 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     it, fl = u(items, ITEMS_DDL), u(fields, FIELDS_DDL)
     vi = reduce(lambda a, b: a.unionByName(b), viols) if viols else qa.empty_violations(spark)
     qa.enforce(vi, strict)
+    # items/fields feed several aggregates and joins of the document writer: materialize once.
+    it, fl = materialize(it), materialize(fl)
     frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get("sitecore_config", {}) for s in names})
     return RunResult(it, fl, vi, frags, sheets, report, warnings)

@@ -47,3 +47,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df):
+    """Cut lineage at a stage boundary by checkpointing into the shared checkpoint folder.
+
+    Reliable checkpoint files survive executor loss (unlike cached blocks or local
+    checkpoints); used where a result is read several times (items/fields of a document)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
