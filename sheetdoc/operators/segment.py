@@ -40,7 +40,9 @@ def prefix_max(
     w_in = Window.partitionBy(*partition_by, blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, hi)
     local = tagged.withColumn("__run", F.max("__val").over(w_in))
     # Phase 2: one row per (partition, block) -> exclusive prefix max over earlier blocks.
-    blocks = tagged.groupBy(*partition_by, blk).agg(F.max("__val").alias("__bmax"))
+    # Derived from the windowed rows, which are already partitioned by (partition, block):
+    # no second scan and no extra shuffle of the big side.
+    blocks = local.groupBy(*partition_by, blk).agg(F.max("__val").alias("__bmax"))
     w_blk = Window.partitionBy(*partition_by).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     carry = blocks.withColumn("__carry", F.max("__bmax").over(w_blk)).select(*partition_by, blk, "__carry")
     joined = local.join(carry, [*partition_by, blk], "left")

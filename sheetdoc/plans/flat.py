@@ -8,20 +8,31 @@ from pyspark.sql import functions as F
 from .pipeline import SheetResult, run_sheet
 
 
-def pivot_fields(res: SheetResult, names: list[str], what: str = "text") -> DataFrame:
-    """Items joined with one column per field name (last duplicate by field order wins).
-
-    One conditional aggregation per item (partial aggregates), then one join on item_id."""
-    if not names:
+def pivot_fields(res: SheetResult, names: list[str], what: str = "text",
+                 extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Items with one column per field name (last duplicate by field order wins); ``extra``
+    adds ``alias -> (field name, attribute)`` columns such as a field's ``type``.
+
+    Static-only specs read the item's own field array (a projection); with dynamic fields it
+    is one conditional aggregation per item (partial aggregates) and one join on item_id."""
+    cols = [(n, n, what) for n in names] + [(a, n, w) for a, (n, w) in (extra or {}).items()]
+    if not cols:
         return res.items
+    if not res.has_dynamic and res.items_static is not None:
+        # Static fields only: read them from the item's own array - a projection, no shuffle.
+        def last(n, w):
+            hit = F.filter("static_fields", lambda f: f["name"] == n)
+            return F.get(hit, F.size(hit) - 1)[w]
+        return res.items_static.select(*res.items.columns, *[last(n, w).alias(a) for a, n, w in cols])
     agg = res.fields.groupBy("item_id").agg(*[
-        F.max_by(F.when(F.col("name") == n, F.col(what)), F.when(F.col("name") == n, F.col("fkey"))).alias(n)
-        for n in names
+        F.max_by(F.when(F.col("name") == n, F.col(w)), F.when(F.col("name") == n, F.col("fkey"))).alias(a)
+        for a, n, w in cols
     ])
     return res.items.join(agg, "item_id", "left")
 
 
-def run_flat(rows: DataFrame, spec: dict, names: list[str], block_rows=None) -> tuple[DataFrame, SheetResult]:
+def run_flat(rows: DataFrame, spec: dict, names: list[str], block_rows=None,
+             extra: dict[str, tuple[str, str]] | None = None) -> tuple[DataFrame, SheetResult]:
     kw = {} if block_rows is None else {"block_rows": block_rows}
     res = run_sheet(rows, spec, **kw)
-    return pivot_fields(res, names), res
+    return pivot_fields(res, names, extra=extra), res

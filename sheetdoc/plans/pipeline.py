@@ -29,6 +29,7 @@ from ..operators import generate as gen
 from ..operators import project as pj
 from ..operators import quality as qa
 from ..operators.segment import DEFAULT_BLOCK_ROWS, forward_fill
+from ..session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -47,19 +48,28 @@ class SheetResult:
     fields: DataFrame
     violations: DataFrame
     warnings: list[str] = field(default_factory=list)
+    # items with their static fields still as an array column ``static_fields``
+    items_static: DataFrame | None = None
+    has_dynamic: bool = False
 
 
 class SheetSpecRunner:
     """Build the items/fields/violations plan of one sheet definition."""
 
-    def __init__(self, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS):
+    def __init__(self, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
+                 materialize_scopes: bool = True):
         self.spec = sheet_spec or {}
         cols = self.spec.get("source_structure", {}) or {}
         self.base_col = cols.get("column_base", "") or ""
         self.data_cols = list(cols.get("column_data", []) or [])
         self.block_rows = block_rows
+        # Checkpoint each scoped level's tagged rows once: items, fields, dynamic fields and the
+        # children's context all read them (a stage boundary that also cuts the lineage).
+        self.materialize_scopes = materialize_scopes
         self.warnings: list[str] = []
         self._items: list[DataFrame] = []
+        self._items_static: list[DataFrame] = []
+        self._has_dynamic = False
         self._fields: list[DataFrame] = []
         self._viol: list[DataFrame] = []
         self._req_names: list[tuple[list[str], DataFrame]] = []
@@ -90,7 +100,8 @@ class SheetSpecRunner:
             if v is not None:
                 viols.append(v)
         violations = _union(viols) if viols else qa.empty_violations(spark)
-        return SheetResult(items, fields, violations, self.warnings)
+        items_static = _union(self._items_static) if self._items_static else None
+        return SheetResult(items, fields, violations, self.warnings, items_static, self._has_dynamic)
 
     # -- one level of the spec ---------------------------------------------------------
     def _level(self, ctx: DataFrame, view: pj.RowView, defs: list, depth: int,
@@ -157,6 +168,8 @@ class SheetSpecRunner:
 
         if scope:
             tagged = forward_fill(inp.withColumn("__sel", sel), F.col("__sel"), part, "__ord", "__seg", self.block_rows)
+            if self.materialize_scopes and (idef.get("children") or idef.get("dynamic_fields") is not None):
+                tagged = materialize(tagged.where(F.col("__seg").isNotNull()))
             chosen = tagged.where(F.col("__sel"))
         else:
             tagged = None
@@ -181,6 +194,8 @@ class SheetSpecRunner:
             (F.array(*fviols) if fviols else F.array().cast("array<string>")).alias("__viol"),
         )
         self._items.append(base.drop("__fields", "__viol"))
+        self._items_static.append(base.drop("__viol").withColumn(
+            "static_fields", F.filter("__fields", lambda x: x.isNotNull())).drop("__fields"))
         self._fields.append(base.select(
             WB, SHEET, "item_id", F.explode(F.filter("__fields", lambda x: x.isNotNull())).alias("f"),
         ).select(WB, SHEET, "item_id", "f.*"))
@@ -201,6 +216,7 @@ class SheetSpecRunner:
 
         dyn = idef.get("dynamic_fields")
         if dyn is not None:
+            self._has_dynamic = True
             self._dynamic(idef, dyn, len(fdefs), chosen, scoped, grouped, iview, base)
 
         children = idef.get("children", []) or []
@@ -260,8 +276,8 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 
 def run_sheet(rows: DataFrame, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-              strict: bool = False) -> SheetResult:
+              strict: bool = False, materialize_scopes: bool = True) -> SheetResult:
     """R1 for one sheet definition over the sheet frame ``rows``."""
-    res = SheetSpecRunner(sheet_spec, block_rows).run(rows)
+    res = SheetSpecRunner(sheet_spec, block_rows, materialize_scopes).run(rows)
     qa.enforce(res.violations, strict)
     return res

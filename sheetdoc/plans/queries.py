@@ -599,10 +599,9 @@ def default_value(spark, sf):
     spec = {"items": [{"templateKey": "doc", "filter": ".", "fields": [
         {"name": "Quality", "value": "Quality", "default": "unknown"},
         {"name": "Toxic", "value": "Toxic", "default": False, "type": "getType"}]}]}
-    flat, res = run_flat(_doc_label_sheet(spark, sf), spec, ["Quality", "Toxic"])
-    ty = pivot_fields(res, ["Toxic"], "type").select("item_id", F.col("Toxic").alias("toxic_type"))
-    return flat.join(ty, "item_id").select(F.col("row_idx").alias("doc_id"), F.col("Quality").alias("quality"),
-                                           F.col("Toxic").alias("toxic"), "toxic_type")
+    flat, _ = run_flat(_doc_label_sheet(spark, sf), spec, ["Quality", "Toxic"], extra={"toxic_type": ("Toxic", "type")})
+    return flat.select(F.col("row_idx").alias("doc_id"), F.col("Quality").alias("quality"),
+                       F.col("Toxic").alias("toxic"), "toxic_type")
 
 
 ORDER_COMPUTED = [
@@ -631,10 +630,9 @@ FROM orders
 def computed_field(spark, sf):
     """The condition picks ``value`` (+transform) or ``else_value``; booleans stay booleans."""
     spec = {"items": [{"templateKey": "order", "filter": ".", "fields": ORDER_COMPUTED}]}
-    flat, res = run_flat(_orders_sheet(spark, sf), spec, ["Flag", "Price"])
-    ty = pivot_fields(res, ["Flag"], "type").select("item_id", F.col("Flag").alias("flag_type"))
-    return flat.join(ty, "item_id").select(F.col("row_idx").alias("o_orderkey"), F.col("Flag").alias("flag"),
-                                           "flag_type", F.col("Price").alias("price"))
+    flat, _ = run_flat(_orders_sheet(spark, sf), spec, ["Flag", "Price"], extra={"flag_type": ("Flag", "type")})
+    return flat.select(F.col("row_idx").alias("o_orderkey"), F.col("Flag").alias("flag"), "flag_type",
+                       F.col("Price").alias("price"))
 
 
 @query("omit_if_false", """
@@ -644,9 +642,8 @@ def omit_if_false(spark, sf):
     """A computed field whose condition is false is absent."""
     spec = {"items": [{"templateKey": "order", "filter": ".", "fields": ORDER_COMPUTED}]}
     res = run_sheet(_orders_sheet(spark, sf), spec)
-    n = res.fields.groupBy("item_id").agg(F.count("*").alias("n_fields"))
-    return res.items.join(n, "item_id", "left").select(F.col("row_idx").alias("o_orderkey"),
-                                                       F.coalesce("n_fields", F.lit(0)).cast("bigint").alias("n_fields"))
+    return res.items_static.select(F.col("row_idx").alias("o_orderkey"),
+                                   F.size("static_fields").cast("bigint").alias("n_fields"))
 
 
 EMAIL = "([a-z0-9._%+-]+)@[a-z0-9.-]+"
