@@ -864,6 +864,51 @@ def hierarchy_items(spark, sf):
         "depth", "name", "parent_name", "template_key", F.coalesce("n_fields", F.lit(0)).cast("bigint").alias("n_fields"))
 
 
+def _hierarchy_doc_sql() -> str:
+    from ..operators.document import sitecore_config
+
+    cfg, rel = sitecore_config(HIERARCHY_SPEC["sitecore_config"])
+    R, N = 1 << 41, 1 << 35
+    el = lambda k, i=0: f"{k}.{i}..0.0"
+    parts = [
+        f"SELECT 'geo' AS workbook_id, '{el(0)}' AS frag_key, '[' AS text",
+        f"SELECT 'geo', '{el(4)}', ']'",
+        f"SELECT 'geo', '{el(3)}|{el(0)}', '{{\"sitecoreConfig\":{cfg},\"relations\":{rel},\"items\":['".replace('\\"', '"'),
+        f"SELECT 'geo', '{el(3)}|{el(4)}', ']}}'",
+    ]
+    for lvl, tpl in (("RP", "region"), ("NP", "nation")):
+        parts += [
+            f"SELECT 'geo', p || '|{el(0)}', CASE WHEN first THEN '' ELSE ',' END || '{{\"name\":\"' || nm || '\",\"fields\":[' FROM {lvl}",
+            f"SELECT 'geo', p || '|{el(1)}', '{{\"name\":\"Label\",\"value\":\"' || nm || '\"}}' FROM {lvl}",
+            f"SELECT 'geo', p || '|{el(2)}', '],\"templateKey\":\"{tpl}\"' || CASE WHEN has THEN ',\"children\":[' ELSE '' END FROM {lvl}",
+            f"SELECT 'geo', p || '|{el(4)}', CASE WHEN has THEN ']}}' ELSE '}}' END FROM {lvl}",
+        ]
+    parts += [
+        f"SELECT 'geo', p || '|{el(0)}', CASE WHEN first THEN '' ELSE ',' END || '{{\"name\":\"' || nm || '\",\"fields\":[' FROM CP",
+        f"SELECT 'geo', p || '|{el(1, 0)}', '{{\"name\":\"Balance\",\"value\":\"' || CAST(bal AS VARCHAR) || '\",\"type\":\"' || {S_GETTYPE('CAST(bal AS VARCHAR)')} || '\"}}' FROM CP",
+        f"SELECT 'geo', p || '|{el(1, 1)}', ',{{\"name\":\"Segment\",\"value\":\"' || seg || '\",\"relationKey\":\"segments\"}}' FROM CP",
+        f"SELECT 'geo', p || '|{el(1, 2)}', ',{{\"name\":\"Rich\",\"value\":true}}' FROM CP WHERE bal > 9000",
+        f"SELECT 'geo', p || '|{el(2)}', '],\"templateKey\":\"customer\"' FROM CP",
+        f"SELECT 'geo', p || '|{el(4)}', '}}' FROM CP",
+    ]
+    body = "\nUNION ALL ".join(parts).replace('\\"', '"')
+    return f"""
+WITH R AS (SELECT r_regionkey AS rk, r_name AS nm, CAST(r_regionkey AS BIGINT) * {R} AS ri FROM region),
+N AS (SELECT n_nationkey AS nk, n_name AS nm, n_regionkey AS rk,
+             CAST(n_regionkey AS BIGINT) * {R} + (CAST(n_nationkey AS BIGINT) + 1) * {N} AS ri FROM nation),
+C AS (SELECT c.c_custkey AS ck, {S_SLUG('c.c_name')} AS nm, c.c_acctbal AS bal, c.c_mktsegment AS seg,
+             n.ri + c.c_custkey + 1 AS ri, n.nk FROM customer c JOIN N n ON c.c_nationkey = n.nk),
+RP AS (SELECT R.*, '{el(3)}|3.0..' || CAST(ri AS VARCHAR) || '.0' AS p, ri = (SELECT MIN(ri) FROM R) AS first,
+              EXISTS (SELECT 1 FROM N WHERE N.rk = R.rk) AS has FROM R),
+NP AS (SELECT N.nk, N.nm, N.ri, RP.p || '|3.0..' || CAST(N.ri AS VARCHAR) || '.0' AS p,
+              N.ri = MIN(N.ri) OVER (PARTITION BY N.rk) AS first,
+              EXISTS (SELECT 1 FROM C WHERE C.nk = N.nk) AS has FROM N JOIN RP ON N.rk = RP.rk),
+CP AS (SELECT C.nm, C.bal, C.seg, NP.p || '|3.0..' || CAST(C.ri AS VARCHAR) || '.0' AS p,
+              C.ri = MIN(C.ri) OVER (PARTITION BY C.nk) AS first FROM C JOIN NP ON C.nk = NP.nk)
+{body}
+"""
+
+
 @query("hierarchy_doc")
 def hierarchy_doc(spark, sf):
     """J6 + S4 + S6: the nested document as ordered JSON fragments (flagship output)."""
@@ -974,3 +1019,6 @@ SELECT page_id, CAST(length(c) AS BIGINT) AS n, md5(c) AS md5_c FROM (SELECT pag
 def text_clean(spark, sf):
     p = _t(spark, sf, "pages").select("page_id", xl.clean(F.col("html")).alias("c"))
     return p.select("page_id", F.length("c").cast("bigint").alias("n"), F.md5("c").alias("md5_c"))
+
+
+ORACLE["hierarchy_doc"] = _hierarchy_doc_sql().strip()
