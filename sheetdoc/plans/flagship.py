@@ -41,3 +41,49 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
+
+
+def flagship_oracle_sql() -> str:
+    """DuckDB SQL producing the same fragments straight from ``events``."""
+    from ..operators.document import sitecore_config
+    from .queries import S_GETTYPE, S_SLUG
+
+    cfg, rel = sitecore_config(EVENTS_SPEC["sitecore_config"])
+    el = lambda k, i=0: f"{k}.{i}..0.0"
+    name = S_SLUG("event_type || ' #' || CAST(event_id AS VARCHAR)")
+    value_field = ("'{\"name\":\"Value\",\"value\":\"' || v || '\",\"type\":\"' || "
+                   + S_GETTYPE("v") + " || '\"}'")
+    open_item = "CASE WHEN first THEN '' ELSE ',' END || '{\"name\":\"' || nm || '\",\"fields\":['"
+    parts = [
+        f"SELECT wb AS workbook_id, '{el(0)}' AS frag_key, '[' AS text FROM W",
+        f"SELECT wb, '{el(4)}', ']' FROM W",
+        f"SELECT wb, '{el(3)}|{el(0)}', '{{\"sitecoreConfig\":{cfg},\"relations\":{rel},\"items\":[' FROM W",
+        f"SELECT wb, '{el(3)}|{el(4)}', ']}}' FROM W",
+        f"SELECT wb, p || '|{el(0)}', {open_item} FROM S",
+        f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM S",
+        f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Big\",\"value\":' || CASE WHEN value > 250 THEN 'true' ELSE 'false' END || ',\"type\":\"boolean\"}}' FROM S",
+        f"SELECT wb, p || '|{el(2)}', '],\"templateKey\":\"session\"' || CASE WHEN has THEN ',\"children\":[' ELSE '' END FROM S",
+        f"SELECT wb, p || '|{el(4)}', CASE WHEN has THEN ']}}' ELSE '}}' END FROM S",
+        f"SELECT wb, p || '|{el(0)}', {open_item} FROM C",
+        f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM C",
+        f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Props\",\"value\":' || CAST(json(props) AS VARCHAR) || '}}' FROM C",
+        f"SELECT wb, p || '|{el(2)}', '],\"templateKey\":\"event\"' FROM C",
+        f"SELECT wb, p || '|{el(4)}', '}}' FROM C",
+    ]
+    body = "\nUNION ALL ".join(parts).replace('\\"', '"')
+    return f"""
+WITH e AS (SELECT event_id, CAST(user_id AS VARCHAR) AS wb, event_type, value, CAST(value AS VARCHAR) AS v, props,
+                  {name} AS nm,
+                  MAX(CASE WHEN event_type = 'signup' THEN event_id END)
+                    OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+           FROM events),
+S AS (SELECT e.*, '{el(3)}|3.0..' || CAST(event_id AS VARCHAR) || '.0' AS p,
+             event_id = MIN(event_id) OVER (PARTITION BY wb) AS first,
+             EXISTS (SELECT 1 FROM e c WHERE c.wb = e.wb AND c.seg = e.event_id AND c.event_type <> 'signup') AS has
+      FROM e WHERE event_type = 'signup'),
+C AS (SELECT e.*, '{el(3)}|3.0..' || CAST(seg AS VARCHAR) || '.0|3.0..' || CAST(event_id AS VARCHAR) || '.0' AS p,
+             event_id = MIN(event_id) OVER (PARTITION BY wb, seg) AS first
+      FROM e WHERE seg IS NOT NULL AND event_type <> 'signup'),
+W AS (SELECT DISTINCT wb FROM S)
+{body}
+""".strip()
