@@ -57,7 +57,8 @@ class SheetSpecRunner:
     """Build the items/fields/violations plan of one sheet definition."""
 
     def __init__(self, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-                 materialize_scopes: bool = True):
+                 materialize_scopes: bool = True, cells: DataFrame | None = None,
+                 relations: DataFrame | None = None):
         self.spec = sheet_spec or {}
         cols = self.spec.get("source_structure", {}) or {}
         self.base_col = cols.get("column_base", "") or ""
@@ -66,6 +67,9 @@ class SheetSpecRunner:
         # Checkpoint each scoped level's tagged rows once: items, fields, dynamic fields and the
         # children's context all read them (a stage boundary that also cuts the lineage).
         self.materialize_scopes = materialize_scopes
+        # Relation-sourced dynamic fields read flat relation edges and the source rows.
+        self.cells = cells
+        self.relations = relations
         self.warnings: list[str] = []
         self._items: list[DataFrame] = []
         self._items_static: list[DataFrame] = []
@@ -228,6 +232,28 @@ class SheetSpecRunner:
                 "__path", "__ppath")
             self._level(child_ctx, iview, children, depth + 1, parents_next, iview, generated_in)
 
+    def _mapped_rows(self, src: str, dyn: dict, chosen: DataFrame) -> DataFrame:
+        """Rows of the source sheets related to each chosen row (``__MAPPED_<sheet>``),
+        in source-row order, each with its ``__MAP_VALUE__`` cell."""
+        from ..model import cells_to_sheet
+        from ..operators.relate import attach_name
+
+        edges = self.relations.where(attach_name(F.col("source_sheet")) == src)
+        heads = [h for h in [dyn.get("name_from"), dyn.get("value_from"), *dyn.get("columns", [])] if h]
+        src_cells = self.cells.join(
+            edges.select(WB, F.col("source_sheet").alias(SHEET)).distinct(), [WB, SHEET], "left_semi")
+        src_rows = cells_to_sheet(src_cells, [h for h in heads if h != "__MAP_VALUE__"])
+        items = chosen.select(WB, F.col(SHEET).alias("target_sheet"), F.col(ROW).alias("target_row"), "__item")
+        j = edges.join(items, [WB, "target_sheet", "target_row"]).join(
+            src_rows.withColumnRenamed(SHEET, "source_sheet").withColumnRenamed(ROW, "source_row"),
+            [WB, "source_sheet", "source_row"], "left")
+        return j.select(
+            WB, F.col("target_sheet").alias(SHEET), F.col("source_row").alias(ROW), "__item",
+            F.col("source_row").alias("__ord"), F.lit(0).cast("bigint").alias("__sub"),
+            *[F.col(f"`{h}`") for h in heads if h != "__MAP_VALUE__"],
+            F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias("__MAP_VALUE__"),
+        )
+
     def _filter(self, inp: DataFrame, expr) -> Column:
         if expr is None or (isinstance(expr, str) and expr.strip() in ("", ".")):
             return F.lit(True)
@@ -244,6 +270,9 @@ class SheetSpecRunner:
             rows, key = grouped
             scope_rows = rows.withColumn("__gkey", key).join(
                 chosen.select(*part, "__gkey", "__item"), [*part, "__gkey"])
+        elif src and src.startswith("__MAPPED_") and self.relations is not None and self.cells is not None:
+            scope_rows = self._mapped_rows(src, dyn, chosen)
+            iview = pj.RowView(headers=set(scope_rows.columns) - INTERNAL - {WB, SHEET, ROW})
         elif src:
             scope_rows = None  # a source key the row lacks -> no rows
         else:
@@ -276,8 +305,9 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 
 def run_sheet(rows: DataFrame, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
-              strict: bool = False, materialize_scopes: bool = True) -> SheetResult:
+              strict: bool = False, materialize_scopes: bool = True, cells: DataFrame | None = None,
+              relations: DataFrame | None = None) -> SheetResult:
     """R1 for one sheet definition over the sheet frame ``rows``."""
-    res = SheetSpecRunner(sheet_spec, block_rows, materialize_scopes).run(rows)
+    res = SheetSpecRunner(sheet_spec, block_rows, materialize_scopes, cells, relations).run(rows)
     qa.enforce(res.violations, strict)
     return res

@@ -79,7 +79,9 @@ def sheet_headers(cells: DataFrame, sheet: str, sheet_spec: dict) -> list[str]:
 
 
 def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
-                  block_rows: int | None = DEFAULT_BLOCK_ROWS) -> RunResult:
+                  block_rows: int | None = DEFAULT_BLOCK_ROWS, relations: DataFrame | None = None) -> RunResult:
+    """R2 over a corpus of workbooks. ``relations`` (from ``plans.extract.run_extract``) enables
+    ``dynamic_fields.source: "__MAPPED_<sheet>"``."""
     spark = cells.sparkSession
     names, sheets, report = select_sheets(cells, spec)
     defs = spec.get("sheets", {}) or {}
@@ -87,7 +89,7 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     for s in names:
         sdef = defs[s] or {}
         rows = cells_to_sheet(cells.where(F.col("sheet") == s), sheet_headers(cells, s, sdef))
-        res = run_sheet(rows, sdef, block_rows=block_rows, strict=False)
+        res = run_sheet(rows, sdef, block_rows=block_rows, strict=False, cells=cells, relations=relations)
         items.append(res.items)
         fields.append(res.fields)
         viols.append(res.violations)

@@ -10,5 +10,5 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from sheetdoc.session import get_session
 
-    s = get_session("local[4]", "sheetdoc-tests", {"spark.sql.shuffle.partitions": "4"})
+    s = get_session("local[4]", "sheetdoc-tests", {"spark.sql.shuffle.partitions": "2"})
     yield s
