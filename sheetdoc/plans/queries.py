@@ -1022,3 +1022,58 @@ def text_clean(spark, sf):
 
 
 ORACLE["hierarchy_doc"] = _hierarchy_doc_sql().strip()
+
+
+# ============================================================================================
+# The extraction run end to end on raw grids derived from the tables
+# ============================================================================================
+def _region_grid(spark, sf) -> DataFrame:
+    """One workbook per region. ``Nations``: header row + one row per nation. ``Customers``:
+    header row with ``[MAP] <nation> (link)`` for each nation of the region, then one row per
+    customer with ``x`` under its own nation and ``""`` under the others."""
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    n = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = _t(spark, sf, "region").select("r_regionkey", "r_name")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey)
+    none = F.lit(None).cast("string")
+
+    def g(wb, sheet, ordv, row, col, text):
+        return [wb.alias("workbook_id"), F.lit(sheet).alias("sheet"), F.lit(ordv).alias("sheet_ord"),
+                row.cast("int").alias("row"), col.cast("int").alias("col"), text.cast("string").alias("text"),
+                none.alias("comment"), none.alias("comment_author")]
+
+    wb = F.col("r_name")
+    nat_head = r.select(F.col("r_name"), F.explode(F.array(
+        F.struct(F.lit(1).alias("col"), F.lit("Nation (Key)").alias("text")),
+        F.struct(F.lit(2).alias("col"), F.lit("Region (info)").alias("text")))).alias("h")).select(
+        *g(wb, "Nations", 0, F.lit(1), F.col("h.col"), F.col("h.text")))
+    nat_rows = nr.select(F.col("r_name"), F.col("n_nationkey"), F.explode(F.array(
+        F.struct(F.lit(1).alias("col"), F.col("n_name").alias("text")),
+        F.struct(F.lit(2).alias("col"), F.col("r_name").alias("text")))).alias("h")).select(
+        *g(wb, "Nations", 0, F.col("n_nationkey") + 2, F.col("h.col"), F.col("h.text")))
+    cus_head = r.select("r_name").select(*g(wb, "Customers", 1, F.lit(1), F.lit(1), F.lit("Customer")))
+    map_head = nr.select(*g(wb, "Customers", 1, F.lit(1), F.col("n_nationkey") + 2,
+                            F.concat(F.lit("[MAP] "), F.col("n_name"), F.lit(" (link)"))))
+    cn = c.join(nr.select(F.col("n_nationkey").alias("own"), F.col("n_regionkey").alias("rk"), "r_name"),
+                c.c_nationkey == F.col("own"))
+    cus_name = cn.select(*g(wb, "Customers", 1, F.col("c_custkey") + 2, F.lit(1), F.col("c_name")))
+    per_nation = cn.join(n.select(F.col("n_nationkey").alias("nk"), F.col("n_regionkey").alias("nrk")),
+                         F.col("rk") == F.col("nrk"))
+    cus_map = per_nation.select(*g(wb, "Customers", 1, F.col("c_custkey") + 2, F.col("nk") + 2,
+                                   F.when(F.col("nk") == F.col("own"), F.lit("x")).otherwise(F.lit(""))))
+    return (nat_head.unionByName(nat_rows).unionByName(cus_head).unionByName(map_head)
+            .unionByName(cus_name).unionByName(cus_map))
+
+
+@query("extract_relations", """
+SELECT r.r_name AS workbook_id, n.n_name AS target_key, 'Nations' AS target_sheet, c.c_custkey AS source_row,
+       'X' AS map_value
+FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+""")
+def extract_relations(spark, sf):
+    """Raw grids -> normalized headers, cleaned cells, collapsed rows -> key index and
+    matrix relations, one plan for all region workbooks."""
+    from .extract import run_extract
+
+    ex = run_extract(_region_grid(spark, sf))
+    return ex.relations.select("workbook_id", "target_key", "target_sheet", "source_row", "map_value")
