@@ -89,6 +89,6 @@ def dynamic_fields(scope: DataFrame, view: RowView, dyn: dict, n_static: int,
         F.lit(None).cast("string").alias("relationKey"), fkey.alias("fkey"),
     )
     return rows.where(name != "").select(
-        "workbook_id", "sheet", "__item", "row_idx", st.alias("f"),
+        "workbook_id", "sheet", "__item", "__ipath", "row_idx", st.alias("f"),
         ((value == "") & F.lit(bool(dyn.get("required")))).alias("__empty_required"),
     )

@@ -62,8 +62,10 @@ def flagship_oracle_sql() -> str:
         f"SELECT wb, p || '|{el(0)}', {open_item} FROM S",
         f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM S",
         f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Big\",\"value\":' || CASE WHEN value > 250 THEN 'true' ELSE 'false' END || ',\"type\":\"boolean\"}}' FROM S",
-        f"SELECT wb, p || '|{el(2)}', '],\"templateKey\":\"session\"' || CASE WHEN has THEN ',\"children\":[' ELSE '' END FROM S",
-        f"SELECT wb, p || '|{el(4)}', CASE WHEN has THEN ']}}' ELSE '}}' END FROM S",
+        f"SELECT wb, p || '|{el(2)}', '],\"templateKey\":\"session\"' FROM S",
+        f"SELECT wb, p || '|{el(2, 1)}', ',\"children\":[' FROM S WHERE has",
+        f"SELECT wb, p || '|{el(3, (1 << 31) - 1)}', ']' FROM S WHERE has",
+        f"SELECT wb, p || '|{el(4)}', '}}' FROM S",
         f"SELECT wb, p || '|{el(0)}', {open_item} FROM C",
         f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM C",
         f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Props\",\"value\":' || CAST(json(props) AS VARCHAR) || '}}' FROM C",

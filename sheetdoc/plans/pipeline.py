@@ -201,8 +201,8 @@ class SheetSpecRunner:
         self._items_static.append(base.drop("__viol").withColumn(
             "static_fields", F.filter("__fields", lambda x: x.isNotNull())).drop("__fields"))
         self._fields.append(base.select(
-            WB, SHEET, "item_id", F.explode(F.filter("__fields", lambda x: x.isNotNull())).alias("f"),
-        ).select(WB, SHEET, "item_id", "f.*"))
+            WB, SHEET, "item_id", "path", F.explode(F.filter("__fields", lambda x: x.isNotNull())).alias("f"),
+        ).select(WB, SHEET, "item_id", "path", "f.*"))
         if fviols:
             self._viol.append(base.select(
                 WB, SHEET, "item_id", ROW, F.explode(F.filter("__viol", lambda x: x.isNotNull())).alias("field"),
@@ -243,12 +243,13 @@ class SheetSpecRunner:
         src_cells = self.cells.join(
             edges.select(WB, F.col("source_sheet").alias(SHEET)).distinct(), [WB, SHEET], "left_semi")
         src_rows = cells_to_sheet(src_cells, [h for h in heads if h != "__MAP_VALUE__"])
-        items = chosen.select(WB, F.col(SHEET).alias("target_sheet"), F.col(ROW).alias("target_row"), "__item")
+        items = chosen.select(WB, F.col(SHEET).alias("target_sheet"), F.col(ROW).alias("target_row"), "__item",
+                              F.col("__path").alias("__ipath"))
         j = edges.join(items, [WB, "target_sheet", "target_row"]).join(
             src_rows.withColumnRenamed(SHEET, "source_sheet").withColumnRenamed(ROW, "source_row"),
             [WB, "source_sheet", "source_row"], "left")
         return j.select(
-            WB, F.col("target_sheet").alias(SHEET), F.col("source_row").alias(ROW), "__item",
+            WB, F.col("target_sheet").alias(SHEET), F.col("source_row").alias(ROW), "__item", "__ipath",
             F.col("source_row").alias("__ord"), F.lit(0).cast("bigint").alias("__sub"),
             *[F.col(f"`{h}`") for h in heads if h != "__MAP_VALUE__"],
             F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias("__MAP_VALUE__"),
@@ -269,7 +270,7 @@ class SheetSpecRunner:
         if src == "__scope__" and grouped is not None:
             rows, key = grouped
             scope_rows = rows.withColumn("__gkey", key).join(
-                chosen.select(*part, "__gkey", "__item"), [*part, "__gkey"])
+                chosen.select(*part, "__gkey", "__item", F.col("__path").alias("__ipath")), [*part, "__gkey"])
         elif src and src.startswith("__MAPPED_") and self.relations is not None and self.cells is not None:
             scope_rows = self._mapped_rows(src, dyn, chosen)
             iview = pj.RowView(headers=set(scope_rows.columns) - INTERNAL - {WB, SHEET, ROW})
@@ -285,7 +286,7 @@ class SheetSpecRunner:
                     self.warnings.append(f"dynamic_fields filter {dyn['filter']!r} failed; no rows")
                     fcol = F.lit(False)
             df = gen.dynamic_fields(scope_rows, iview, dyn, n_static, fcol)
-            self._fields.append(df.select(WB, SHEET, F.col("__item").alias("item_id"), "f.*"))
+            self._fields.append(df.select(WB, SHEET, F.col("__item").alias("item_id"), F.col("__ipath").alias("path"), "f.*"))
             if dyn.get("required"):
                 self._viol.append(df.where("__empty_required").select(
                     WB, SHEET, F.col("__item").alias("item_id"), ROW, F.col("f.name").alias("field"),
@@ -296,7 +297,7 @@ class SheetSpecRunner:
 
 ITEMS_DDL = (f"workbook_id string, sheet string, item_id string, parent_id string, depth int, "
              f"path array<{PATH_EL}>, row_idx bigint, name string, branch_key string, template_key string")
-FIELDS_DDL = (f"workbook_id string, sheet string, item_id string, name string, value variant, text string, "
+FIELDS_DDL = (f"workbook_id string, sheet string, item_id string, path array<{PATH_EL}>, name string, value variant, text string, "
               f"type string, relationKey string, fkey struct<i:int,r:bigint,s:bigint>")
 
 

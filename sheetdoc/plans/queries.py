@@ -880,8 +880,10 @@ def _hierarchy_doc_sql() -> str:
         parts += [
             f"SELECT 'geo', p || '|{el(0)}', CASE WHEN first THEN '' ELSE ',' END || '{{\"name\":\"' || nm || '\",\"fields\":[' FROM {lvl}",
             f"SELECT 'geo', p || '|{el(1)}', '{{\"name\":\"Label\",\"value\":\"' || nm || '\"}}' FROM {lvl}",
-            f"SELECT 'geo', p || '|{el(2)}', '],\"templateKey\":\"{tpl}\"' || CASE WHEN has THEN ',\"children\":[' ELSE '' END FROM {lvl}",
-            f"SELECT 'geo', p || '|{el(4)}', CASE WHEN has THEN ']}}' ELSE '}}' END FROM {lvl}",
+            f"SELECT 'geo', p || '|{el(2)}', '],\"templateKey\":\"{tpl}\"' FROM {lvl}",
+            f"SELECT 'geo', p || '|{el(2, 1)}', ',\"children\":[' FROM {lvl} WHERE has",
+            f"SELECT 'geo', p || '|{el(3, (1 << 31) - 1)}', ']' FROM {lvl} WHERE has",
+            f"SELECT 'geo', p || '|{el(4)}', '}}' FROM {lvl}",
         ]
     parts += [
         f"SELECT 'geo', p || '|{el(0)}', CASE WHEN first THEN '' ELSE ',' END || '{{\"name\":\"' || nm || '\",\"fields\":[' FROM CP",

@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoint files of collected DataFrames are removed (they are only stage boundaries)
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
