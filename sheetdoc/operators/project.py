@@ -191,13 +191,13 @@ def item_name(view: RowView, item_def: dict) -> Column:
     if name:
         if isinstance(name, str):
             return F.lit(name)
-        v = tx.py_strip(token_value(view, name["field"]))
+        v = tx.py_strip(view.value(name["field"]))
         if name.get("transform"):
             v = apply_transform(v, name["transform"])
         return v
     slug = item_def.get("name_slug")
     if slug:
-        return tx.slugify(token_value(view, slug["field"]))
+        return tx.slugify(view.value(slug["field"]))
     if view.variant:
         return F.coalesce(F.col(COLUMN), F.lit(""))
     return F.lit("unnamed")

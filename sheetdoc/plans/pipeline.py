@@ -82,8 +82,11 @@ class SheetSpecRunner:
     def run(self, rows: DataFrame) -> SheetResult:
         """``rows``: sheet frame (workbook_id, sheet, row_idx, <header cells>) of this sheet."""
         headers = {c for c in rows.columns if c not in (WB, SHEET, ROW)}
+        # Every row also exposes its base cell as ``__base_cell__`` (conditions may use it).
+        base = F.col(f"`{self.base_col}`") if self.base_col in headers else F.lit(None).cast(gen.NULL_CELL)
         ctx = rows.select(
             *[F.col(f"`{c}`") for c in rows.columns],
+            base.alias(pj.BASE_CELL),
             F.lit("").alias("__parent"),
             F.array().cast(f"array<{PATH_EL}>").alias("__ppath"),
             F.col(ROW).alias("__ord"),

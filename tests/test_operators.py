@@ -139,3 +139,13 @@ def test_pipeline_invariant_to_input_order_and_partitions(spark):
     base = result(sheet, None)
     assert base == result(sheet.repartition(5, F.rand(7)), 1 << 20)
     assert base == result(sheet.repartition(3, F.rand(11)), 1 << 30)
+
+
+def test_workbook_json_bare_and_list_documents(spark):
+    bare = json.dumps({"s": [{"A": {"value": "1"}}]})
+    lst = json.dumps([{"A": {"value": "x"}}, {"A": {"value": "y"}}])
+    docs = spark.createDataFrame([("bare", bare), ("list", lst)], "workbook_id string, value string")
+    got = sorted((c.workbook_id, c.sheet, c.row_idx, c.value)
+                 for c in documents_to_cells(docs, list_sheets=["s1", "s2"]).collect())
+    assert got == [("bare", "s", 0, "1"), ("list", "s1", 0, "x"), ("list", "s1", 1, "y"),
+                   ("list", "s2", 0, "x"), ("list", "s2", 1, "y")]
