@@ -26,36 +26,85 @@ def write_flat(items: DataFrame, fields: DataFrame, path: str) -> None:
         "overwrite").parquet(f"{path}/fields")
 
 
-def workbook_json_fragments(cells: DataFrame, workbook_key: str = "workbook") -> DataFrame:
-    """S5 nested form ``{"workbook": {sheet: [ {header: {value, annotation?}} ]}}`` as fragments.
+def _json_key(c):
+    j = F.to_json(F.array(c))
+    return j.substr(F.lit(2), F.length(j) - 2)
 
-    A row becomes one JSON object built from its own cells (bounded by the column count); rows,
-    sheets and workbooks are stitched by sort key, never collected."""
-    el = lambda *xs: F.array(*[F.lit(x) if not hasattr(x, "alias") else x for x in xs])
+
+def workbook_json_fragments(cells: DataFrame, workbook_key: str = "workbook",
+                            relations: DataFrame | None = None) -> DataFrame:
+    """S5 nested form ``{"workbook": {sheet: [ {header: {value, annotation?}, ...} ]}}`` as
+    ordered fragments ``(workbook_id, sheet, key array<bigint>, text)``.
+
+    A row's own cells form one fragment (bounded by the column count). With ``relations``
+    (J4), a key row also gets ``"__MAPPED_<sheet>": [copies of the related source rows, each
+    with "__MAP_VALUE__"]``: the bracket pair per source sheet and every copy are separate
+    fragments, so a key referenced by millions of rows never becomes one record. Sort key:
+    ``[sheet_ord, part, row, sub, src_sheet_ord, src_row, src_col]``."""
+    big = 1 << 62
     cell = F.when(F.col("annotation").isNotNull() & (F.col("annotation") != ""),
                   F.to_json(F.struct("value", "annotation"))).otherwise(F.to_json(F.struct("value")))
-    kv = F.struct(F.col("col_idx"), F.concat(F.to_json(F.array("header")).substr(F.lit(2), F.length(F.to_json(F.array("header"))) - 2),
-                                              F.lit(":"), cell).alias("kv"))
-    rows = cells.groupBy(*K, "sheet_ord", "row_idx").agg(F.array_sort(F.collect_list(kv)).alias("kvs"))
-    first_row = rows.groupBy(*K).agg(F.min("row_idx").alias("__fr"))
+    kv = F.struct(F.col("col_idx"), F.concat(_json_key(F.col("header")), F.lit(":"), cell).alias("kv"))
+    bodies = cells.groupBy(*K, "sheet_ord", "row_idx").agg(F.array_sort(F.collect_list(kv)).alias("kvs")).select(
+        *K, "sheet_ord", "row_idx", F.array_join(F.transform("kvs", lambda x: x["kv"]), ",").alias("body"))
+    first_row = bodies.groupBy(*K).agg(F.min("row_idx").alias("__fr"))
+
+    def key(*xs):
+        return F.array(*[(x if hasattr(x, "alias") else F.lit(x)).cast("bigint") for x in xs])
+
+    r = bodies.join(first_row, K).select(
+        *K, key(F.col("sheet_ord"), 1, F.col("row_idx"), 0, 0, 0, 0).alias("key"),
+        F.concat(F.when(F.col("row_idx") == F.col("__fr"), "").otherwise(","), F.lit("{"), F.col("body")).alias("text"))
+    r_close = bodies.select(*K, key(F.col("sheet_ord"), 1, F.col("row_idx"), 9, 0, 0, 0).alias("key"), F.lit("}").alias("text"))
+    parts = [r, r_close]
+    if relations is not None:
+        from ..operators.relate import attach_name
+
+        so = cells.select(*K, "sheet_ord").distinct()
+        e = (relations
+             .join(so.select("workbook_id", F.col("sheet").alias("target_sheet"), F.col("sheet_ord").alias("t_ord")),
+                   ["workbook_id", "target_sheet"])
+             .join(so.select("workbook_id", F.col("sheet").alias("source_sheet"), F.col("sheet_ord").alias("s_ord")),
+                   ["workbook_id", "source_sheet"])
+             .withColumn("attach", attach_name(F.col("source_sheet"))))
+        # Copies of the source rows as they were before injection, plus the map value.
+        src = bodies.select("workbook_id", F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"), "body")
+        copies = e.join(src, ["workbook_id", "source_sheet", "source_row"], "left")
+        firsts = copies.groupBy("workbook_id", "target_sheet", "target_row", "s_ord").agg(
+            F.min(F.struct("source_row", F.xxhash64("map_value").alias("h"))).alias("__f"))
+        c = copies.join(firsts, ["workbook_id", "target_sheet", "target_row", "s_ord"])
+        comma = F.when(F.struct("source_row", F.xxhash64("map_value").alias("h")) == F.col("__f"), "").otherwise(",")
+        body = F.concat(F.lit("{"), F.coalesce("body", F.lit("")),
+                        F.when(F.coalesce("body", F.lit("")) == "", "").otherwise(","),
+                        F.lit('"__MAP_VALUE__":'), _json_key(F.col("map_value")), F.lit("}"))
+        parts.append(c.select(F.col("workbook_id"), F.col("target_sheet").alias("sheet"),
+                              key(F.col("t_ord"), 1, F.col("target_row"), 2, F.col("s_ord"), F.col("source_row"),
+                                  F.xxhash64("map_value")).alias("key"),
+                              F.concat(comma, body).alias("text")))
+        grp = firsts.join(e.select("workbook_id", "target_sheet", "s_ord", "attach", "t_ord").distinct(),
+                          ["workbook_id", "target_sheet", "s_ord"])
+        parts.append(grp.select("workbook_id", F.col("target_sheet").alias("sheet"),
+                                key(F.col("t_ord"), 1, F.col("target_row"), 1, F.col("s_ord"), 0, 0).alias("key"),
+                                F.concat(F.lit(","), _json_key(F.col("attach")), F.lit(":[")).alias("text")))
+        parts.append(grp.select("workbook_id", F.col("target_sheet").alias("sheet"),
+                                key(F.col("t_ord"), 1, F.col("target_row"), 3, F.col("s_ord"), 0, 0).alias("key"),
+                                F.lit("]").alias("text")))
     sheets = cells.select(*K, "sheet_ord").distinct()
     first_sheet = sheets.groupBy("workbook_id").agg(F.min("sheet_ord").alias("__fs"))
-    r = rows.join(first_row, K).select(
-        *K, F.array(F.col("sheet_ord").cast("bigint"), F.lit(1), F.col("row_idx")).alias("key"),
-        F.concat(F.when(F.col("row_idx") == F.col("__fr"), "").otherwise(","), F.lit("{"),
-                 F.array_join(F.transform("kvs", lambda x: x["kv"]), ","), F.lit("}")).alias("text"))
-    s = sheets.join(first_sheet, "workbook_id")
-    s_open = s.select(*K, F.array(F.col("sheet_ord").cast("bigint"), F.lit(0), F.lit(0)).alias("key"),
-                      F.concat(F.when(F.col("sheet_ord") == F.col("__fs"), "").otherwise(","),
-                               F.to_json(F.array("sheet")).substr(F.lit(2), F.length(F.to_json(F.array("sheet"))) - 2),
-                               F.lit(":[")).alias("text"))
-    s_close = s.select(*K, F.array(F.col("sheet_ord").cast("bigint"), F.lit(2), F.lit(0)).alias("key"), F.lit("]").alias("text"))
+    s2 = sheets.join(first_sheet, "workbook_id")
+    parts.append(s2.select(*K, key(F.col("sheet_ord"), 0, 0, 0, 0, 0, 0).alias("key"),
+                           F.concat(F.when(F.col("sheet_ord") == F.col("__fs"), "").otherwise(","),
+                                    _json_key(F.col("sheet")), F.lit(":[")).alias("text")))
+    parts.append(s2.select(*K, key(F.col("sheet_ord"), 2, 0, 0, 0, 0, 0).alias("key"), F.lit("]").alias("text")))
     wbs = sheets.select("workbook_id").distinct()
-    w_open = wbs.select("workbook_id", F.lit(None).cast("string").alias("sheet"), el(-1, 0, 0).cast("array<bigint>").alias("key"),
-                        F.lit("{" + json.dumps(workbook_key) + ":{").alias("text"))
-    w_close = wbs.select("workbook_id", F.lit(None).cast("string").alias("sheet"),
-                         el((1 << 62), 0, 0).cast("array<bigint>").alias("key"), F.lit("}}").alias("text"))
-    return w_open.unionByName(s_open).unionByName(r).unionByName(s_close).unionByName(w_close)
+    none = F.lit(None).cast("string").alias("sheet")
+    parts.append(wbs.select("workbook_id", none, key(-1, 0, 0, 0, 0, 0, 0).alias("key"),
+                            F.lit("{" + json.dumps(workbook_key) + ":{").alias("text")))
+    parts.append(wbs.select("workbook_id", none, key(big, 0, 0, 0, 0, 0, 0).alias("key"), F.lit("}}").alias("text")))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 __all__ = ["write_cells", "write_flat", "write_documents", "workbook_json_fragments"]
