@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import KEY, ROW, SHEET, WB
+from ..model import ROW, SHEET, WB
 from ..operators import generate as gen
 from ..operators import project as pj
 from ..operators import quality as qa

@@ -17,7 +17,7 @@ from ..functions import xl
 from ..model import as_sheet
 from ..operators import clean, generate as gen, quality as qa, relate
 from ..operators.segment import forward_fill
-from .flat import pivot_fields, run_flat
+from .flat import run_flat
 from .pipeline import run_sheet
 from .run import select_sheets
 from ..session import materialize
