@@ -19,6 +19,7 @@ from ..operators import quality as qa
 from ..operators.segment import DEFAULT_BLOCK_ROWS
 from ..session import materialize
 from .pipeline import FIELDS_DDL, ITEMS_DDL, run_sheet
+from .spec import require_spec
 
 MAX_HEADERS = 100_000
 
@@ -83,6 +84,7 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     """R2 over a corpus of workbooks. ``relations`` (from ``plans.extract.run_extract``) enables
     ``dynamic_fields.source: "__MAPPED_<sheet>"``."""
     spark = cells.sparkSession
+    require_spec(spec)
     names, sheets, report = select_sheets(cells, spec)
     defs = spec.get("sheets", {}) or {}
     items, fields, viols, warnings = [], [], [], []

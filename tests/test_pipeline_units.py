@@ -144,3 +144,15 @@ def test_sheet_selection_and_missing(spark):
     assert len(docs) == 2 and docs[0]["items"][0]["name"] == "unnamed"
     assert sorted((r.sheet, r.status) for r in res.report.collect()) == [("nodef", "no_definition"),
                                                                          ("zzz", "missing_sheet")]
+
+
+def test_bad_specs_rejected():
+    from sheetdoc.plans.spec import SpecError, check_spec, require_spec
+
+    bad = [(["not", "a", "mapping"], "mapping at the top level"), ({"input": {}}, "missing the required 'sheets'"),
+           ({"sheets": {}}, "non-empty mapping"), ({"sheets": {"s1": ["x"]}}, "'s1' must be a mapping")]
+    for spec, msg in bad:
+        assert msg in check_spec(spec)[0]
+        with pytest.raises(SpecError):
+            require_spec(spec)
+    assert check_spec({"sheets": {"s1": {"items": []}}}) == []
