@@ -1,0 +1,57 @@
+"""Row predicates with the reference's two-valued semantics.
+
+jq compares ``null`` like any value: ``.X.value != ""`` is true for a missing cell. Spark's
+``NULL <> ''`` is NULL and drops the row, so these helpers use null-safe equality.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .text import col_, lit_
+
+
+def eq(a, b) -> Column:
+    """``a == b`` with NULL equal to NULL and never NULL itself."""
+    return col_(a).eqNullSafe(lit_(b))
+
+
+def ne(a, b) -> Column:
+    """``a != b``: true when one side is missing."""
+    return ~col_(a).eqNullSafe(lit_(b))
+
+
+def is_null(a) -> Column:
+    return col_(a).isNull()
+
+
+def test(a, pattern: str) -> Column:
+    """jq ``test(re)`` (NULL input -> false rather than an error)."""
+    return F.coalesce(col_(a).rlike(pattern), F.lit(False))
+
+
+def longer_than(a, n: int) -> Column:
+    """jq ``length > n`` for text or arrays (NULL has length 0)."""
+    c = col_(a)
+    return F.coalesce(F.length(c), F.lit(0)) > n
+
+
+def row_filter(df: DataFrame, predicate) -> DataFrame:
+    """keep rows where the predicate (Column or Spark SQL text) holds; ``None``, ``""``
+    and ``"."`` are identity. Order is carried by the row key, not by position."""
+    if predicate is None or (isinstance(predicate, str) and predicate.strip() in ("", ".")):
+        return df
+    p = F.expr(predicate) if isinstance(predicate, str) else predicate
+    return df.where(F.coalesce(p, F.lit(False)))
+
+
+def head_rows(df: DataFrame, partition_by: list[str], order_col: str, predicate=None) -> DataFrame:
+    """F3 ``[.[0] | select(P)]``: the first row of each context, only if it satisfies P.
+
+    ``min_by`` over the whole row is a partial aggregate: a context holding a third of all rows
+    is reduced map-side, never sorted in one task."""
+    cols = [c for c in df.columns if c not in partition_by]
+    first = df.groupBy(*partition_by).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order_col).alias("__r"))
+    out = first.select(*partition_by, *[F.col("__r").getField(c).alias(c) for c in cols])
+    return row_filter(out, predicate)

@@ -1,11 +1,12 @@
 """R3 extraction run end to end on a hand-made grid, then G5 relation-sourced fields."""
 
 import json
+import tempfile
 
 from sheetdoc.operators.document import assemble_small
 from sheetdoc.plans.extract import run_extract
 from sheetdoc.plans.run import run_transform
-from sheetdoc.sources.sinks import workbook_json_fragments
+from sheetdoc.sources.sinks import workbook_json_fragments, write_cells
 
 GRID_DDL = ("workbook_id string, sheet string, sheet_ord int, row int, col int, text string, "
             "comment string, comment_author string")
@@ -41,6 +42,10 @@ def test_extract_then_transform_with_relations(spark):
     assert rel == [("C-001", 0, "YES, X"), ("C-002", 2, "Y")]
     assert [tuple(r) for r in ex.report.select("edges", "matched", "unmatched").collect()] == [(2, 2, 0)]
 
+    out = tempfile.mkdtemp(prefix="sheetdoc-cells-", dir="/tmp")
+    write_cells(ex.cells, out)
+    assert spark.read.parquet(out).count() == ex.cells.count()
+
     doc = json.loads(assemble_small(workbook_json_fragments(ex.cells)))
     assert list(doc["workbook"]) == ["colors", "cars"]
     assert doc["workbook"]["colors"][0] == {"Color ID (Key)": {"value": "C-001"},

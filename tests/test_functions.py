@@ -134,3 +134,16 @@ def test_json_promote_and_strict(spark):
     got = ev(spark, [F.to_json(F.struct(tx.json_promote(F.lit(v)).alias("v"))) for v in vals])
     assert got == ['{"v":{"a":1}}', '{"v":[1,2]}', '{"v":"[bad"}', '{"v":"42"}', '{"v":"true"}',
                    '{"v":"{\\"k\\": 1} trailing"}', '{"v":{"x":[1]}}']
+
+
+def test_predicates(spark):
+    from sheetdoc.functions import predicates as P
+
+    df = spark.createDataFrame([(1, "a", None), (2, "b", ""), (3, "a", "x")], "k int, g string, v string")
+    assert [r.k for r in df.where(P.ne("v", "")).orderBy("k").collect()] == [1, 3]
+    assert [r.k for r in df.where(P.eq("v", None)).collect()] == [1]
+    assert [r.k for r in P.row_filter(df, "v = 'x'").collect()] == [3]
+    assert P.row_filter(df, ".").count() == 3
+    heads = P.head_rows(df, ["g"], "k", P.ne("v", ""))
+    assert sorted((r.g, r.k) for r in heads.collect()) == [("a", 1)]
+    assert [r.k for r in df.where(P.test("v", "^x") | P.longer_than("g", 5)).collect()] == [3]
