@@ -33,7 +33,6 @@ WS_CHARS = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 
-_STRIP_RE = f"^[{WS}]+|[{WS}]+$"
 # Python's Unicode ``\w`` approximated by letters, numbers and underscore.
 _WORD = r"\p{L}\p{N}_"
 
@@ -96,13 +95,19 @@ def check_pattern(pattern: str) -> None:
         raise ValueError(f"regex transform needs a capture group: {pattern!r}")
 
 
+def java_pattern(pattern: str) -> str:
+    """Python ``re`` spellings Java lacks: ``(?P<n>..)`` -> ``(?<n>..)``, ``(?P=n)`` -> ``\\k<n>``."""
+    p = re.sub(r"\(\?P<([A-Za-z][A-Za-z0-9]*)>", r"(?<\1>", pattern)
+    return re.sub(r"\(\?P=([A-Za-z][A-Za-z0-9]*)\)", r"\\k<\1>", p)
+
+
 def regex_capture(c, pattern: str) -> Column:
     """First group of the first match, stripped; no match -> the whole value stripped.
 
     ``(?d)`` makes ``.`` and ``$`` treat only LF as a line end, as Python does.
     """
     check_pattern(pattern)
-    p = "(?d)" + pattern
+    p = "(?d)" + java_pattern(pattern)
     v = F.coalesce(col_(c).cast("string"), F.lit(""))
     return F.when(v.rlike(p), py_strip(F.regexp_extract(v, p, 1))).otherwise(py_strip(v))
 

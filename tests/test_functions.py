@@ -147,3 +147,8 @@ def test_predicates(spark):
     heads = P.head_rows(df, ["g"], "k", P.ne("v", ""))
     assert sorted((r.g, r.k) for r in heads.collect()) == [("a", 1)]
     assert [r.k for r in df.where(P.test("v", "^x") | P.longer_than("g", 5)).collect()] == [3]
+
+
+def test_python_named_groups(spark):
+    got = ev(spark, [tx.regex_capture(F.lit("ID 2024-2024"), r"(?P<y>\d{4})-(?P=y)")])
+    assert got == ["2024"]
