@@ -82,7 +82,10 @@ def apply_transform(value: Column, transform) -> Column:
     if isinstance(transform, dict):
         transform = transform.get("steps", [])
     if isinstance(transform, (list, tuple)):
-        return tx.jq_text(value, [tuple(s) if isinstance(s, (list, tuple)) else (s,) for s in transform])
+        steps = [tuple(s) if isinstance(s, (list, tuple)) else (s,) for s in transform]
+        # YAML reads a bare ``null`` step as None.
+        steps = [("null", *s[1:]) if s and s[0] is None else s for s in steps]
+        return tx.jq_text(value, steps)
     return tx.regex_capture(value, str(transform))
 
 

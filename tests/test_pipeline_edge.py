@@ -12,3 +12,13 @@ def test_edge_sheets_document(spark):
     res = run_transform(cells, EDGE_SPEC)
     got = json.loads(assemble_small(res.fragments))
     assert got == EDGE_EXPECTED
+
+
+def test_edge_sheets_from_yaml_spec(spark):
+    import os
+
+    from sheetdoc.plans.spec import load_spec
+
+    spec = load_spec(os.path.join(os.path.dirname(__file__), "..", "examples", "edge_cases.yaml"))
+    res = run_transform(cells_from_python(spark, EDGE_WORKBOOK), spec)
+    assert json.loads(assemble_small(res.fragments)) == EDGE_EXPECTED
