@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 
 WB, SHEET, ROW = "workbook_id", "sheet", "row_idx"
 KEY = [WB, SHEET]
+# Above this many headers a sheet frame is built through a per-row map (see cells_to_sheet).
+WIDE_HEADERS = 32
 
 CELL_TYPE = T.StructType([
     T.StructField("value", T.StringType()),
@@ -89,9 +91,15 @@ def cells_to_sheet(cells: DataFrame, headers: list[str]) -> DataFrame:
     Cells must be unique per (workbook, sheet, row, header)
     (see ``operators.clean.resolve_duplicate_headers``).
     """
-    aggs = [
-        F.max(F.when(F.col("header") == h, F.struct(F.col("value"), F.col("annotation")))).alias(h)
-        for h in headers
-    ] or [F.lit(1).alias("__n")]
+    c = F.struct(F.col("value"), F.col("annotation"))
+    if len(headers) > WIDE_HEADERS:
+        # Wide sheets: one map per row from the row's own cells (bounded by its column count),
+        # then one lookup per header, instead of one CASE per header for every cell.
+        m = cells.where(F.col("header").isin(*headers)).groupBy(WB, SHEET, ROW).agg(
+            F.map_from_entries(F.collect_list(F.struct(F.col("header"), c))).alias("__m"))
+        rows = cells.select(WB, SHEET, ROW).distinct()
+        wide = rows.join(m, [WB, SHEET, ROW], "left")
+        return wide.select(WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers])
+    aggs = [F.max(F.when(F.col("header") == h, c)).alias(h) for h in headers] or [F.count(F.lit(1)).alias("__n")]
     wide = cells.groupBy(WB, SHEET, ROW).agg(*aggs)
     return wide if headers else wide.drop("__n")

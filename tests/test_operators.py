@@ -149,3 +149,21 @@ def test_workbook_json_bare_and_list_documents(spark):
                  for c in documents_to_cells(docs, list_sheets=["s1", "s2"]).collect())
     assert got == [("bare", "s", 0, "1"), ("list", "s1", 0, "x"), ("list", "s1", 1, "y"),
                    ("list", "s2", 0, "x"), ("list", "s2", 1, "y")]
+
+
+def test_cells_to_sheet_narrow_and_wide_agree(spark):
+    import sheetdoc.model as M
+
+    rows = [("w", "s", 0, r, c + 1, f"h{c}", f"v{r}{c}", None) for r in range(3) for c in range(40) if (r + c) % 3]
+    rows.append(("w", "s", 0, 3, 1, "other", "x", None))  # a row with no selected header
+    cells = spark.createDataFrame(rows, CELLS_SCHEMA)
+    heads = [f"h{c}" for c in range(40)]
+    wide = M.cells_to_sheet(cells, heads)
+    old = M.WIDE_HEADERS
+    try:
+        M.WIDE_HEADERS = 1000
+        narrow = M.cells_to_sheet(cells, heads)
+    finally:
+        M.WIDE_HEADERS = old
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert key(wide) == key(narrow) and wide.count() == 4
