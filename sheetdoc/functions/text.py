@@ -209,7 +209,11 @@ def jq_text(value: Column, steps: list) -> Column:
         else:
             raise ValueError(f"unknown transform step {name!r}")
     if kind == "arr":
-        out = F.to_json(v)
+        # json.dumps spacing: ", " between elements (P9 re-parses the text for plain fields).
+        def elem(x):
+            j = F.to_json(F.array(x))
+            return j.substr(F.lit(2), F.length(j) - 2)
+        out = F.concat(F.lit("["), F.array_join(F.transform(v, elem), ", "), F.lit("]"))
     elif kind == "bool":
         out = F.when(v, F.lit("True")).when(~v, F.lit("False"))
     else:

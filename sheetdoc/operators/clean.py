@@ -20,7 +20,9 @@ from .segment import DEFAULT_BLOCK_ROWS, prefix_max
 
 K = ["workbook_id", "sheet"]
 
-_TRAILING_PARENS = f"([{tx.WS}]*\\([^)]*\\)[{tx.WS}]*)+$"
+# Possessive quantifiers: no backtracking on long runs of groups; the result cannot change
+# because whitespace never matches "(" and "[^)]" never matches ")".
+_TRAILING_PARENS = f"(?:[{tx.WS}]*+\\([^)]*+\\))++[{tx.WS}]*+$"
 
 
 def _strip_parens(h: Column) -> Column:
@@ -80,7 +82,8 @@ def fill_merged(cells: DataFrame, merges: DataFrame) -> DataFrame:
     """Every data cell a merged range covers takes the range's top-left cell.
 
     Ranges expand to covered (row, col) pairs (``sequence`` x ``sequence``) and join on
-    equality - no range join. Header-row parts are ignored. Overlapping ranges (not possible in
+    equality - no range join. Header-row parts and positions outside the grid are ignored.
+    Overlapping ranges (not possible in
     a real workbook) resolve to the range with the greatest (min_row, min_col)."""
     tl = merges.join(cells.select(*K, F.col("row").alias("min_row"), F.col("col").alias("min_col"),
                                   F.col("value").alias("tl_value"), F.col("annotation").alias("tl_ann")),
@@ -91,7 +94,9 @@ def fill_merged(cells: DataFrame, merges: DataFrame) -> DataFrame:
     cov = cov.select(*K, "row", F.explode(F.sequence("c0", "c1")).alias("col"),
                      F.struct("min_row", "min_col").alias("prio"), "tl_value", "tl_ann")
     win = cov.groupBy(*K, "row", "col").agg(F.max_by(F.struct("tl_value", "tl_ann"), "prio").alias("m"))
-    j = cells.join(win, [*K, "row", "col"], "full")
+    # Only positions the grid has are filled (a grid carries every position, blanks included);
+    # a range reaching past the sheet's last row or column adds nothing there.
+    j = cells.join(win, [*K, "row", "col"], "left")
     merged = F.col("m").isNotNull()
     return j.select(
         *K, "row", "col",

@@ -126,7 +126,7 @@ def test_jq_steps(spark):
         tx.jq_text(F.lit("abc"), [("test", "b")]),
         tx.jq_text(F.lit("v"), [("wrap",)]),
     ])
-    assert got == ["ex.com", "#ERR:ValueError", "", '["a","b"]', "x", "True", '["v"]']
+    assert got == ["ex.com", "#ERR:ValueError", "", '["a", "b"]', "x", "True", '["v"]']
 
 
 def test_json_promote_and_strict(spark):
