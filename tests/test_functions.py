@@ -152,3 +152,11 @@ def test_predicates(spark):
 def test_python_named_groups(spark):
     got = ev(spark, [tx.regex_capture(F.lit("ID 2024-2024"), r"(?P<y>\d{4})-(?P=y)")])
     assert got == ["2024"]
+
+
+def test_plan_time_checks(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        tx.regex_capture(F.lit("x"), r"\d+")  # no capture group (T13)
+    assert ev(spark, [xl.value(F.lit("inf")), xl.value(F.lit("nan")), xl.value(F.lit("1e3"))]) == [None, None, 1000.0]

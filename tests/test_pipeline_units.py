@@ -156,3 +156,9 @@ def test_bad_specs_rejected():
         with pytest.raises(SpecError):
             require_spec(spec)
     assert check_spec({"sheets": {"s1": {"items": []}}}) == []
+
+
+def test_scope_over_generated_rows_rejected(spark):
+    items = [{"templateKey": "item", "explode": {"column": "A", "sep": "|"}, "scope_children": True, "filter": "."}]
+    with pytest.raises(ValueError):
+        run(spark, [{"A": {"value": "a|b"}}], items)
