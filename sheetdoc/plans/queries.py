@@ -643,7 +643,7 @@ def omit_if_false(spark, sf):
     spec = {"items": [{"templateKey": "order", "filter": ".", "fields": ORDER_COMPUTED}]}
     res = run_sheet(_orders_sheet(spark, sf), spec)
     return res.items_static.select(F.col("row_idx").alias("o_orderkey"),
-                                   F.size("static_fields").cast("bigint").alias("n_fields"))
+                                   F.size("static_fields").cast("int").alias("n_fields"))
 
 
 EMAIL = "([a-z0-9._%+-]+)@[a-z0-9.-]+"
