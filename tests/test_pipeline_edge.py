@@ -22,3 +22,17 @@ def test_edge_sheets_from_yaml_spec(spark):
     spec = load_spec(os.path.join(os.path.dirname(__file__), "..", "examples", "edge_cases.yaml"))
     res = run_transform(cells_from_python(spark, EDGE_WORKBOOK), spec)
     assert json.loads(assemble_small(res.fragments)) == EDGE_EXPECTED
+
+
+def test_transform_job_entry_point(spark, tmp_path):
+    import glob
+    import os
+
+    from sheetdoc.__main__ import main
+
+    (tmp_path / "wb.json").write_text(json.dumps({"workbook": EDGE_WORKBOOK}))
+    spec = os.path.join(os.path.dirname(__file__), "..", "examples", "edge_cases.yaml")
+    assert main(["transform", "--documents", str(tmp_path / "wb.json"), "--spec", spec, "--out", str(tmp_path / "out")]) == 0
+    parts = sorted(glob.glob(str(tmp_path / "out" / "documents" / "workbook_id=*" / "part-*")))
+    assert json.loads("".join(open(p).read().replace("\n", "") for p in parts)) == EDGE_EXPECTED
+    assert spark.read.parquet(str(tmp_path / "out" / "items")).count() == 18
