@@ -91,6 +91,11 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     for s in names:
         sdef = defs[s] or {}
         rows = cells_to_sheet(cells.where(F.col("sheet") == s), sheet_headers(cells, s, sdef))
+        defs_top = sdef.get("items", []) or []
+        if len(defs_top) > 1 or any(d.get("scope_children") or d.get("templateKey") == "group" for d in defs_top):
+            # Several definitions (each checkpointed scope is its own job) read the same widened
+            # sheet: widen once.
+            rows = materialize(rows)
         res = run_sheet(rows, sdef, block_rows=block_rows, strict=False, cells=cells, relations=relations)
         items.append(res.items)
         fields.append(res.fields)

@@ -65,3 +65,16 @@ def test_extract_then_transform_with_relations(spark):
     items = json.loads(assemble_small(res.fragments))[0]["items"]
     assert [(i["name"], [(f["name"], f["value"]) for f in i["fields"]]) for i in items] == [
         ("C-001", [("Sedan", "YES, X")]), ("C-002", [("Coupe", "Y")])]
+
+
+def test_extract_job_entry_point(spark, tmp_path):
+    from sheetdoc.__main__ import main
+
+    g = [("w", "k", 0, 1, 1, "ID (Key)", None, None), ("w", "k", 0, 2, 1, "K1", None, None),
+         ("w", "s", 1, 1, 1, "Item", None, None), ("w", "s", 1, 1, 2, "[MAP] K1", None, None),
+         ("w", "s", 1, 2, 1, "A", None, None), ("w", "s", 1, 2, 2, "yes", None, None)]
+    spark.createDataFrame(g, GRID_DDL).write.parquet(str(tmp_path / "grid"))
+    assert main(["extract", "--grid", str(tmp_path / "grid"), "--out", str(tmp_path / "out")]) == 0
+    rel = spark.read.parquet(str(tmp_path / "out" / "relations")).collect()
+    assert [(r.target_key, r.source_sheet, r.map_value) for r in rel] == [("K1", "s", "YES")]
+    assert spark.read.parquet(str(tmp_path / "out" / "cells")).count() == 3
