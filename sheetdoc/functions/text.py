@@ -179,7 +179,9 @@ def jq_text(value: Column, steps: list) -> Column:
             err = err | v.isNull()
             v, kind = split_literal(v, args[0]), "arr"
         elif name == "index":
-            v, kind = F.get(v, F.lit(int(args[0]))), "str"
+            # jq ``.[n]``: 0-based, negative from the end, out of range -> null.
+            n = int(args[0])
+            v, kind = F.try_element_at(v, F.lit(n + 1 if n >= 0 else n)), "str"
         elif name in ("ascii_upcase", "ascii_downcase", "gsub", "ltrimstr", "rtrimstr", "test", "length"):
             # jq raises on NULL for the string builtins; ltrimstr/rtrimstr pass it through
             # and ``null | length`` is 0.

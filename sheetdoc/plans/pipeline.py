@@ -93,8 +93,7 @@ class SheetSpecRunner:
             F.lit(0).cast("bigint").alias("__sub"),
         )
         view = pj.RowView(headers=headers, base_col=self.base_col)
-        self._level(ctx, view, self.spec.get("items", []) or [], depth=1, parents=None,
-                    parent_view=None, generated=False)
+        self._level(ctx, view, self.spec.get("items", []) or [], depth=1, parents=None, generated=False)
         spark = rows.sparkSession
         items = _union(self._items) if self._items else None
         fields = _union(self._fields) if self._fields else None
@@ -112,7 +111,7 @@ class SheetSpecRunner:
 
     # -- one level of the spec ---------------------------------------------------------
     def _level(self, ctx: DataFrame, view: pj.RowView, defs: list, depth: int,
-               parents: DataFrame | None, parent_view: pj.RowView | None, generated: bool) -> None:
+               parents: DataFrame | None, generated: bool) -> None:
         for d_idx, idef in enumerate(defs):
             self._definition(ctx, view, idef, d_idx, depth, parents, generated)
 
@@ -233,7 +232,7 @@ class SheetSpecRunner:
             child_ctx = child_ctx.drop("__gkey") if "__gkey" in child_ctx.columns else child_ctx
             parents_next = chosen.drop("__parent", "__ppath").withColumnRenamed("__item", "__parent").withColumnRenamed(
                 "__path", "__ppath")
-            self._level(child_ctx, iview, children, depth + 1, parents_next, iview, generated_in)
+            self._level(child_ctx, iview, children, depth + 1, parents_next, generated_in)
 
     def _mapped_rows(self, src: str, dyn: dict, chosen: DataFrame) -> DataFrame:
         """Rows of the source sheets related to each chosen row (``__MAPPED_<sheet>``),

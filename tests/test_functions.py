@@ -125,8 +125,10 @@ def test_jq_steps(spark):
         tx.jq_text(F.lit(" x "), [("ltrimstr", " "), ("rtrimstr", " ")]),
         tx.jq_text(F.lit("abc"), [("test", "b")]),
         tx.jq_text(F.lit("v"), [("wrap",)]),
+        tx.jq_text(F.lit("a/b/c"), [("split", "/"), ("index", -1)]),
+        tx.jq_text(F.lit("a/b"), [("split", "/"), ("index", 5)]),
     ])
-    assert got == ["ex.com", "#ERR:ValueError", "", '["a", "b"]', "x", "True", '["v"]']
+    assert got == ["ex.com", "#ERR:ValueError", "", '["a", "b"]', "x", "True", '["v"]', "c", ""]
 
 
 def test_json_promote_and_strict(spark):
