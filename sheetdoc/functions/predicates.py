@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..model import qcol
 from .text import col_, lit_
 
 
@@ -52,6 +53,6 @@ def head_rows(df: DataFrame, partition_by: list[str], order_col: str, predicate=
     ``min_by`` over the whole row is a partial aggregate: a context holding a third of all rows
     is reduced map-side, never sorted in one task."""
     cols = [c for c in df.columns if c not in partition_by]
-    first = df.groupBy(*partition_by).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), order_col).alias("__r"))
+    first = df.groupBy(*partition_by).agg(F.min_by(F.struct(*[qcol(c) for c in cols]), order_col).alias("__r"))
     out = first.select(*partition_by, *[F.col("__r").getField(c).alias(c) for c in cols])
     return row_filter(out, predicate)

@@ -36,6 +36,11 @@ CELLS_SCHEMA = T.StructType([
 ])
 
 
+def qcol(name: str) -> Column:
+    """Column by exact name (headers may hold dots, spaces or backticks)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def cell(value, annotation=None) -> Column:
     """Build a cell struct from a value (Column or literal) and optional annotation."""
     v = value if isinstance(value, Column) else F.lit(value)
@@ -70,7 +75,7 @@ def sheet_to_cells(sheet_df: DataFrame, headers: list[str], sheet_ord: Column |
     """Wide sheet frame -> long ``cells`` (one row per non-NULL cell), via ``unpivot``."""
     tagged = sheet_df.select(
         WB, SHEET, ROW,
-        *[F.struct(F.lit(i + 1).alias("col_idx"), F.lit(h).alias("header"), F.col(f"`{h}`").alias("c")).alias(f"c{i}")
+        *[F.struct(F.lit(i + 1).alias("col_idx"), F.lit(h).alias("header"), qcol(h).alias("c")).alias(f"c{i}")
           for i, h in enumerate(headers)],
     )
     long = tagged.unpivot([WB, SHEET, ROW], [f"c{i}" for i in range(len(headers))], "k", "x")

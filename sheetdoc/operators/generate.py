@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..model import qcol
 from .project import BASE_CELL, CELL, COLUMN, RowView
 
 NULL_CELL = "struct<value:string,annotation:string>"
@@ -21,7 +22,7 @@ def unpivot_variants(parents: DataFrame, keep: list[str], base_col: str, data_co
     ``__cell__``, ``__base_cell__``; ``__ord`` is the variant's position. A header the sheet
     lacks gives a cell with NULL value (the reference's ``{}``)."""
     def cell_of(h):
-        return F.col(f"`{h}`") if h in headers else F.lit(None).cast(NULL_CELL)
+        return qcol(h) if h in headers else F.lit(None).cast(NULL_CELL)
 
     base = cell_of(base_col) if base_col else F.lit(None).cast(NULL_CELL)
     variants = F.array(*[
@@ -65,7 +66,7 @@ def group_representatives(ctx: DataFrame, partition_by: list[str], key: Column,
         keyed = keyed.where(F.coalesce(F.col("__gkey"), F.lit("")) != "")
     extra = [F.count(F.lit(1)).alias(count_as)] if count_as else []
     rep = keyed.groupBy(*partition_by, "__gkey").agg(
-        F.min_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.struct(F.col("__ord"), F.col("__sub"))).alias("__r"),
+        F.min_by(F.struct(*[qcol(c) for c in cols]), F.struct(F.col("__ord"), F.col("__sub"))).alias("__r"),
         *extra,
     )
     return rep.select(*partition_by, "__gkey", *[F.col("__r").getField(c).alias(c) for c in cols],

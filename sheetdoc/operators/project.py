@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..model import qcol
 
 log = logging.getLogger(__name__)
 
@@ -44,13 +45,13 @@ class RowView:
         if name == BASE_CELL:
             return self.cell(self.base_col) if self.base_col else None
         if name in self.headers:
-            return F.col(f"`{name}`")
+            return qcol(name)
         return None
 
     def value(self, name: str) -> Column:
         """Value of a column; missing -> ''; a plain (non-cell) column -> its text."""
         if (self.variant and name == COLUMN) or name in self.extra:
-            return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+            return F.coalesce(qcol(name).cast("string"), F.lit(""))
         c = self.cell(name)
         return F.lit("") if c is None else F.coalesce(c.getField("value"), F.lit(""))
 

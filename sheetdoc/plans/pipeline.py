@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..model import ROW, SHEET, WB
+from ..model import ROW, SHEET, WB, qcol
 from ..operators import generate as gen
 from ..operators import project as pj
 from ..operators import quality as qa
@@ -83,9 +83,9 @@ class SheetSpecRunner:
         """``rows``: sheet frame (workbook_id, sheet, row_idx, <header cells>) of this sheet."""
         headers = {c for c in rows.columns if c not in (WB, SHEET, ROW)}
         # Every row also exposes its base cell as ``__base_cell__`` (conditions may use it).
-        base = F.col(f"`{self.base_col}`") if self.base_col in headers else F.lit(None).cast(gen.NULL_CELL)
+        base = qcol(self.base_col) if self.base_col in headers else F.lit(None).cast(gen.NULL_CELL)
         ctx = rows.select(
-            *[F.col(f"`{c}`") for c in rows.columns],
+            *[qcol(c) for c in rows.columns],
             base.alias(pj.BASE_CELL),
             F.lit("").alias("__parent"),
             F.array().cast(f"array<{PATH_EL}>").alias("__ppath"),
@@ -253,7 +253,7 @@ class SheetSpecRunner:
         return j.select(
             WB, F.col("target_sheet").alias(SHEET), F.col("source_row").alias(ROW), "__item", "__ipath",
             F.col("source_row").alias("__ord"), F.lit(0).cast("bigint").alias("__sub"),
-            *[F.col(f"`{h}`") for h in heads if h != "__MAP_VALUE__"],
+            *[qcol(h) for h in heads if h != "__MAP_VALUE__"],
             F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias("__MAP_VALUE__"),
         )
 

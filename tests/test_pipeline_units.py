@@ -162,3 +162,10 @@ def test_scope_over_generated_rows_rejected(spark):
     items = [{"templateKey": "item", "explode": {"column": "A", "sep": "|"}, "scope_children": True, "filter": "."}]
     with pytest.raises(ValueError):
         run(spark, [{"A": {"value": "a|b"}}], items)
+
+
+def test_odd_header_names(spark):
+    row = {"Ver. 1.0": {"value": "x"}, "we`ird": {"value": "y"}, "sp ace": {"value": "z"}}
+    it = one(spark, [{"name": "a", "value": "Ver. 1.0"}, {"name": "b", "value": "we`ird"},
+                     {"name": "c", "value": "sp ace"}], row=row, name={"field": "we`ird"})
+    assert [f["value"] for f in it["fields"]] == ["x", "y", "z"] and it["name"] == "y"
