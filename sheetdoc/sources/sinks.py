@@ -19,11 +19,21 @@ def write_cells(cells: DataFrame, path: str) -> None:
      .sortWithinPartitions(*K, "row_idx", "col_idx").write.mode("overwrite").parquet(path))
 
 
+def value_json(c="value"):
+    """Exact JSON text of a variant value (``"s"``, ``true``, ``[..]``, ``{..}``)."""
+    j = F.to_json(F.struct(F.col(c).alias("v")))  # {"v":<json>}
+    return j.substr(F.lit(6), F.length(j) - 6)
+
+
+def flat_fields(fields: DataFrame) -> DataFrame:
+    """Fields with the variant value as portable JSON text (``value_json``)."""
+    return fields.withColumn("value_json", value_json("value")).drop("value")
+
+
 def write_flat(items: DataFrame, fields: DataFrame, path: str) -> None:
     """S4 flat form: ``items`` and ``fields`` Parquet (no nesting; children by ``parent_id``)."""
     items.write.mode("overwrite").parquet(f"{path}/items")
-    fields.withColumn("value", F.to_json(F.struct("value")).substr(F.lit(10), F.lit(1 << 30))).write.mode(
-        "overwrite").parquet(f"{path}/fields")
+    flat_fields(fields).write.mode("overwrite").parquet(f"{path}/fields")
 
 
 def _json_key(c):
@@ -107,4 +117,4 @@ def workbook_json_fragments(cells: DataFrame, workbook_key: str = "workbook",
     return out
 
 
-__all__ = ["write_cells", "write_flat", "write_documents", "workbook_json_fragments"]
+__all__ = ["write_cells", "write_flat", "flat_fields", "value_json", "write_documents", "workbook_json_fragments"]

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.document import write_documents
 from ..plans.run import run_transform
 from ..session import ensure_checkpoint_dir
+from ..sources.sinks import flat_fields
 from ..sources.workbook_json import documents_to_cells
 
 
@@ -39,8 +40,7 @@ def start_transform_stream(spark: SparkSession, input_dir: str, spec: dict, outp
         res = run_transform(cells, spec)
         part = f"batch_id={batch_id}"
         res.items.write.mode("overwrite").parquet(f"{output_dir}/items/{part}")
-        res.fields.withColumn("value", F.to_json(F.struct("value"))).write.mode("overwrite").parquet(
-            f"{output_dir}/fields/{part}")
+        flat_fields(res.fields).write.mode("overwrite").parquet(f"{output_dir}/fields/{part}")
         res.violations.write.mode("overwrite").parquet(f"{output_dir}/violations/{part}")
         write_documents(res.fragments, f"{output_dir}/documents/{part}")
 

@@ -36,3 +36,5 @@ def test_transform_job_entry_point(spark, tmp_path):
     parts = sorted(glob.glob(str(tmp_path / "out" / "documents" / "workbook_id=*" / "part-*")))
     assert json.loads("".join(open(p).read().replace("\n", "") for p in parts)) == EDGE_EXPECTED
     assert spark.read.parquet(str(tmp_path / "out" / "items")).count() == 18
+    vals = {r.value_json for r in spark.read.parquet(str(tmp_path / "out" / "fields")).collect()}
+    assert {'"42"', '""', '"Note for ColA on A"'} <= vals
