@@ -24,6 +24,23 @@ BOOL_WORDS = ("yes", "no", "true", "false", "✓", "✗")
 FALSY_MAP_VALUES = ("", "0", "FALSE", "NO", "N")
 # Error sentinel prefix carried by a failed expression transform.
 ERR_PREFIX = "#ERR:"
+# Header conventions: a header ending in this suffix is a key column and is kept whole; a
+# header starting with this prefix (any case) is a relation column; these headers are dropped.
+KEY_SUFFIX = "(Key)"
+MAP_PREFIX = "[MAP]"
+UNNAMED_PREFIX = "Unnamed"
+# Relation copies: attach-column prefix and the key holding the map cell's value.
+MAPPED_PREFIX = "__MAPPED_"
+MAP_VALUE_KEY = "__MAP_VALUE__"
+# Spreadsheet comment metadata: a thread marker line, an id line prefix, and a line made of the
+# author, two or more spaces and an opening "(yyyy-mm-dd" date; else a leading "author:" line.
+COMMENT_MARKER = "======"
+COMMENT_ID_PREFIX = "ID#"
+# Merged-group collapse: values dropped before joining, and the separator.
+COLLAPSE_SKIP = ("", "nan")
+COLLAPSE_SEP = ", "
+# Name of an item whose definition resolves no name.
+UNNAMED_ITEM = "unnamed"
 # ---------------------------------------------------------------------------------------------
 
 # The same set as literal characters, for ``btrim`` (strips only at the ends, linear time).
@@ -235,10 +252,10 @@ def parse_annotation(text, author) -> Column:
     threaded = F.array_join(
         F.filter(
             F.split(t, "\n", -1),
-            lambda l: ~(l.startswith("======") | l.startswith("ID#") | l.rlike(stamp)),
+            lambda l: ~(l.startswith(COMMENT_MARKER) | l.startswith(COMMENT_ID_PREFIX) | l.rlike(stamp)),
         ),
         "\n",
     )
     prefix = F.concat(a, F.lit(":\n"))
     plain = F.when((a != "") & t.startswith(prefix), t.substr(F.length(prefix) + 1, F.lit(1 << 30))).otherwise(t)
-    return py_strip(F.when(t.contains("======"), threaded).otherwise(plain))
+    return py_strip(F.when(t.contains(COMMENT_MARKER), threaded).otherwise(plain))

@@ -36,23 +36,23 @@ def normalize_header(h) -> Column:
     ``Unnamed*`` and empty headers are returned as they are (stripped); NULL stays NULL."""
     raw = tx.col_(h)
     s = tx.py_strip(raw)
-    is_map = F.upper(s).startswith("[MAP]")
+    is_map = F.upper(s).startswith(tx.MAP_PREFIX)
     br = F.instr(s, "]")
     prefix = s.substr(F.lit(1), br)
     slug = _strip_parens(tx.py_strip(s.substr(br + 1, F.lit(1 << 30))))
     map_h = F.when(slug == "", prefix).otherwise(tx.py_strip(F.concat(prefix, F.lit(" "), slug)))
     return (
         F.when(raw.isNull(), F.lit(None).cast("string"))
-        .when((s == "") | s.startswith("Unnamed"), s)
+        .when((s == "") | s.startswith(tx.UNNAMED_PREFIX), s)
         .when(is_map, map_h)
-        .when(s.rlike(f"\\(Key\\)[{tx.WS}]*$"), s)
+        .when(s.rlike(tx.quote_literal(tx.KEY_SUFFIX) + f"[{tx.WS}]*$"), s)
         .otherwise(_strip_parens(s))
     )
 
 
 def keep_header(h: Column) -> Column:
     """Headers that are NULL, empty or start with ``Unnamed`` are dropped."""
-    return h.isNotNull() & (h != "") & ~h.startswith("Unnamed")
+    return h.isNotNull() & (h != "") & ~h.startswith(tx.UNNAMED_PREFIX)
 
 
 def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
@@ -155,11 +155,11 @@ def collapse_groups(cells: DataFrame, group_col: str = "group_id", order_col: st
     distinct values - the size of the output cell itself."""
     v = tx.py_strip(F.coalesce(F.col("value"), F.lit("")))
     keyed = cells.withColumn("__v", v)
-    firsts = keyed.where((F.col("__v") != "") & (F.col("__v") != "nan")).groupBy(*K, group_col, "header", "__v").agg(
+    firsts = keyed.where(~F.col("__v").isin(*tx.COLLAPSE_SKIP)).groupBy(*K, group_col, "header", "__v").agg(
         F.min(order_col).alias("__first"))
     joined = firsts.groupBy(*K, group_col, "header").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__first", "__v"))), lambda x: x["__v"]),
-                     ", ").alias("value"))
+                     tx.COLLAPSE_SEP).alias("value"))
     ann = keyed.groupBy(*K, group_col, "header").agg(
         F.min_by(F.when(F.coalesce(F.col("annotation"), F.lit("")) != "", F.col("annotation")),
                  F.when(F.coalesce(F.col("annotation"), F.lit("")) != "", F.col(order_col))).alias("annotation"),

@@ -204,4 +204,4 @@ def item_name(view: RowView, item_def: dict) -> Column:
         return tx.slugify(view.value(slug["field"]))
     if view.variant:
         return F.coalesce(F.col(COLUMN), F.lit(""))
-    return F.lit("unnamed")
+    return F.lit(tx.UNNAMED_ITEM)

@@ -21,7 +21,7 @@ def key_index(cells: DataFrame) -> DataFrame:
     (sheet order, then row). ``cells`` needs ``sheet_ord``.
 
     Returns ``(workbook_id, key, sheet, row_idx)``. Both steps are partial aggregates."""
-    key_cols = cells.where(F.col("header").contains("(Key)")).groupBy(*K).agg(
+    key_cols = cells.where(F.col("header").contains(tx.KEY_SUFFIX)).groupBy(*K).agg(
         F.min_by("header", "col_idx").alias("key_header"))
     vals = cells.join(key_cols, K).where(F.col("header") == F.col("key_header")).select(
         "workbook_id", "sheet", "sheet_ord", "row_idx", tx.py_strip(F.coalesce("value", F.lit(""))).alias("key"))
@@ -34,11 +34,12 @@ def map_edges(cells: DataFrame) -> DataFrame:
     """A ``[MAP]`` cell (header prefix any case) whose upper-trimmed value is not one of
     the falsy values makes an edge ``(workbook_id, source_sheet, source_row, slug, map_value)``;
     slug = header text after the 5-character prefix, trimmed."""
-    m = cells.where(F.upper(F.col("header")).startswith("[MAP]"))
+    m = cells.where(F.upper(F.col("header")).startswith(tx.MAP_PREFIX))
     val = F.upper(tx.py_strip(F.coalesce("value", F.lit(""))))
     return m.select(
         "workbook_id", F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"),
-        tx.py_strip(F.col("header").substr(F.lit(6), F.lit(1 << 30))).alias("slug"), val.alias("map_value"),
+        tx.py_strip(F.col("header").substr(F.lit(len(tx.MAP_PREFIX) + 1), F.lit(1 << 30))).alias("slug"),
+        val.alias("map_value"),
     ).where(~F.col("map_value").isin(*tx.FALSY_MAP_VALUES))
 
 
@@ -55,7 +56,7 @@ def match_edges(edges: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame
 
 def attach_name(source_sheet: Column) -> Column:
     """The ``__MAPPED_<sheet>`` attach column (non-alphanumerics -> ``_``)."""
-    return F.concat(F.lit("__MAPPED_"), F.regexp_replace(source_sheet, "[^a-zA-Z0-9]", "_"))
+    return F.concat(F.lit(tx.MAPPED_PREFIX), F.regexp_replace(source_sheet, "[^a-zA-Z0-9]", "_"))
 
 
 def relation_report(edges: DataFrame, rel: DataFrame, unmatched: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import MAP_VALUE_KEY, MAPPED_PREFIX
 from ..model import ROW, SHEET, WB, qcol
 from ..operators import generate as gen
 from ..operators import project as pj
@@ -244,7 +245,7 @@ class SheetSpecRunner:
         heads = [h for h in [dyn.get("name_from"), dyn.get("value_from"), *dyn.get("columns", [])] if h]
         src_cells = self.cells.join(
             edges.select(WB, F.col("source_sheet").alias(SHEET)).distinct(), [WB, SHEET], "left_semi")
-        src_rows = cells_to_sheet(src_cells, [h for h in heads if h != "__MAP_VALUE__"])
+        src_rows = cells_to_sheet(src_cells, [h for h in heads if h != MAP_VALUE_KEY])
         items = chosen.select(WB, F.col(SHEET).alias("target_sheet"), F.col(ROW).alias("target_row"), "__item",
                               F.col("__path").alias("__ipath"))
         j = edges.join(items, [WB, "target_sheet", "target_row"]).join(
@@ -253,8 +254,8 @@ class SheetSpecRunner:
         return j.select(
             WB, F.col("target_sheet").alias(SHEET), F.col("source_row").alias(ROW), "__item", "__ipath",
             F.col("source_row").alias("__ord"), F.lit(0).cast("bigint").alias("__sub"),
-            *[qcol(h) for h in heads if h != "__MAP_VALUE__"],
-            F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias("__MAP_VALUE__"),
+            *[qcol(h) for h in heads if h != MAP_VALUE_KEY],
+            F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias(MAP_VALUE_KEY),
         )
 
     def _filter(self, inp: DataFrame, expr) -> Column:
@@ -273,7 +274,7 @@ class SheetSpecRunner:
             rows, key = grouped
             scope_rows = rows.withColumn("__gkey", key).join(
                 chosen.select(*part, "__gkey", "__item", F.col("__path").alias("__ipath")), [*part, "__gkey"])
-        elif src and src.startswith("__MAPPED_") and self.relations is not None and self.cells is not None:
+        elif src and src.startswith(MAPPED_PREFIX) and self.relations is not None and self.cells is not None:
             scope_rows = self._mapped_rows(src, dyn, chosen)
             iview = pj.RowView(headers=set(scope_rows.columns) - INTERNAL - {WB, SHEET, ROW})
         elif src:

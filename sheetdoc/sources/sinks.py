@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import MAP_VALUE_KEY
 from ..operators.document import write_documents
 
 K = ["workbook_id", "sheet"]
@@ -86,7 +87,7 @@ def workbook_json_fragments(cells: DataFrame, workbook_key: str = "workbook",
         comma = F.when(F.struct("source_row", F.xxhash64("map_value").alias("h")) == F.col("__f"), "").otherwise(",")
         body = F.concat(F.lit("{"), F.coalesce("body", F.lit("")),
                         F.when(F.coalesce("body", F.lit("")) == "", "").otherwise(","),
-                        F.lit('"__MAP_VALUE__":'), _json_key(F.col("map_value")), F.lit("}"))
+                        F.lit(json.dumps(MAP_VALUE_KEY) + ":"), _json_key(F.col("map_value")), F.lit("}"))
         parts.append(c.select(F.col("workbook_id"), F.col("target_sheet").alias("sheet"),
                               key(F.col("t_ord"), 1, F.col("target_row"), 2, F.col("s_ord"), F.col("source_row"),
                                   F.xxhash64("map_value")).alias("key"),
