@@ -185,9 +185,10 @@ class SheetSpecRunner:
 
         # 4. items, static fields, violations: one select over the chosen rows.
         fdefs = idef.get("fields", []) or []
+        chosen, fdefs, fview = self._lookups(chosen, fdefs, iview)
         fstructs, fviols = [], []
         for i, f in enumerate(fdefs):
-            st, viol = pj.static_field(chosen, iview, f, i)
+            st, viol = pj.static_field(chosen, fview, f, i)
             fstructs.append(st)
             if viol is not None:
                 fviols.append(F.when(viol, F.lit(f["name"])))
@@ -235,6 +236,36 @@ class SheetSpecRunner:
                 "__path", "__ppath")
             self._level(child_ctx, iview, children, depth + 1, parents_next, generated_in)
 
+    def _lookups(self, chosen: DataFrame, fdefs: list, view: pj.RowView):
+        """J5 / F6 in a spec: ``lookup: {sheet, key, take, on | equals}`` reads ``take`` from the
+        first row (sheet order) of another sheet whose ``key`` cell equals this row's ``on``
+        value (a column or token) or the literal ``equals``; no match gives ''. The other sheet
+        is reduced to one row per key (partial aggregate) before a left join, so rows never
+        multiply; a catalog-sized side is broadcast by AQE."""
+        if not any(f.get("lookup") for f in fdefs):
+            return chosen, fdefs, view
+        if self.cells is None:
+            raise ValueError("lookup fields need the cells table (run_transform / run_sheet(cells=...))")
+        out, extra = [], set()
+        for i, f in enumerate(fdefs):
+            lk = f.get("lookup")
+            if not lk:
+                out.append(f)
+                continue
+            col = f"__lk{i}"
+            c = self.cells.where((F.col(SHEET) == lk["sheet"]) & F.col("header").isin(lk["key"], lk["take"]))
+            per_row = c.groupBy(WB, ROW).agg(
+                F.max(F.when(F.col("header") == lk["key"], F.col("value"))).alias("__k"),
+                F.max(F.when(F.col("header") == lk["take"], F.col("value"))).alias("__t"))
+            first = per_row.where(F.col("__k").isNotNull()).groupBy(WB, "__k").agg(
+                F.min_by("__t", ROW).alias(col))
+            probe = F.lit(lk["equals"]) if "equals" in lk else pj.token_value(view, lk["on"])
+            chosen = chosen.withColumn("__probe", probe).join(
+                first.withColumnRenamed("__k", "__probe"), [WB, "__probe"], "left").drop("__probe")
+            out.append({k: v for k, v in f.items() if k != "lookup"} | {"value": col})
+            extra.add(col)
+        return chosen, out, pj.RowView(view.headers, view.variant, view.base_col, view.extra | extra)
+
     def _mapped_rows(self, src: str, dyn: dict, chosen: DataFrame) -> DataFrame:
         """Rows of the source sheets related to each chosen row (``__MAPPED_<sheet>``),
         in source-row order, each with its ``__MAP_VALUE__`` cell."""

@@ -169,3 +169,22 @@ def test_odd_header_names(spark):
     it = one(spark, [{"name": "a", "value": "Ver. 1.0"}, {"name": "b", "value": "we`ird"},
                      {"name": "c", "value": "sp ace"}], row=row, name={"field": "we`ird"})
     assert [f["value"] for f in it["fields"]] == ["x", "y", "z"] and it["name"] == "y"
+
+
+def test_lookup_fields(spark):
+    wb = {
+        "bap_powertrains": [{"Powertrain ID (Key)": {"value": "eng-001"}, "Title": {"value": "2.0 Turbo"}},
+                            {"Powertrain ID (Key)": {"value": "eng-002"}, "Title": {"value": "Hybrid"}},
+                            {"Powertrain ID (Key)": {"value": "eng-001"}, "Title": {"value": "later dup"}}],
+        "models": [{"Model": {"value": "A"}, "Powertrain": {"value": "eng-002"}},
+                   {"Model": {"value": "B"}, "Powertrain": {"value": "none"}}],
+    }
+    look = {"sheet": "bap_powertrains", "key": "Powertrain ID (Key)", "take": "Title"}
+    spec = {"sheets": {"models": {"items": [{
+        "templateKey": "model", "filter": ".", "name": {"field": "Model"},
+        "fields": [{"name": "Engine", "lookup": {**look, "on": "Powertrain"}, "default": "?"},
+                   {"name": "Fixed", "lookup": {**look, "equals": "eng-001"}, "transform": "(\\d\\.\\d)"}]}]}}}
+    res = run_transform(cells_from_python(spark, wb), spec)
+    items = json.loads(assemble_small(res.fragments))[0]["items"]
+    assert [(i["name"], [f["value"] for f in i["fields"]]) for i in items] == [
+        ("A", ["Hybrid", "2.0"]), ("B", ["?", "2.0"])]
