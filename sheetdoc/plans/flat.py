@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from .pipeline import SheetResult, run_sheet
 
 
-def pivot_fields(res: SheetResult, names: list[str], what: str = "text",
+def pivot_fields(res, names: list[str], what: str = "text",
                  extra: dict[str, tuple[str, str]] | None = None) -> DataFrame:
-    """Items with one column per field name (last duplicate by field order wins); ``extra``
+    """Items of a ``SheetResult``/``RunResult`` with one column per field name (last duplicate
+    by field order wins); ``extra``
     adds ``alias -> (field name, attribute)`` columns such as a field's ``type``.
 
     Static-only specs read the item's own field array (a projection); with dynamic fields it
@@ -18,7 +19,7 @@ def pivot_fields(res: SheetResult, names: list[str], what: str = "text",
     cols = [(n, n, what) for n in names] + [(a, n, w) for a, (n, w) in (extra or {}).items()]
     if not cols:
         return res.items
-    if not res.has_dynamic and res.items_static is not None:
+    if not getattr(res, "has_dynamic", True) and getattr(res, "items_static", None) is not None:
         # Static fields only: read them from the item's own array - a projection, no shuffle.
         def last(n, w):
             hit = F.filter("static_fields", lambda f: f["name"] == n)

@@ -1079,3 +1079,34 @@ def extract_relations(spark, sf):
 
     ex = run_extract(_region_grid(spark, sf))
     return ex.relations.select("workbook_id", "target_key", "target_sheet", "source_row", "map_value")
+
+
+@query("spec_lookup", f"""
+SELECT s.s_suppkey, coalesce(n.n_name, '') AS nation, coalesce(CAST(n.n_regionkey AS VARCHAR), '-') AS region_key,
+       CASE WHEN n.n_regionkey IS NULL THEN 'string' ELSE 'number' END AS region_key_type
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+""")
+def spec_lookup(spark, sf):
+    """R2 + J5 in a spec: a suppliers sheet reads nation fields from a nations key sheet of the
+    same workbook through ``lookup`` fields (first match; default when missing)."""
+    from ..model import sheet_to_cells
+    from .flat import pivot_fields
+    from .run import run_transform
+
+    s = _t(spark, sf, "supplier")
+    n = _t(spark, sf, "nation")
+    sup = as_sheet(s, "geo", "suppliers", "s_suppkey", {"Supplier": "s_name", "NationKey": "s_nationkey"})
+    nat = as_sheet(n, "geo", "nations", "n_nationkey", {"Nation ID (Key)": "n_nationkey", "Name": "n_name",
+                                                         "Region": "n_regionkey"})
+    cells = sheet_to_cells(sup, ["Supplier", "NationKey"], 0).unionByName(
+        sheet_to_cells(nat, ["Nation ID (Key)", "Name", "Region"], 1))
+    look = {"sheet": "nations", "key": "Nation ID (Key)", "on": "NationKey"}
+    spec = {"sheets": {"suppliers": {
+        "source_structure": {"columns": ["Supplier", "NationKey"]},
+        "items": [{"templateKey": "supplier", "filter": ".", "name": {"field": "Supplier"}, "fields": [
+            {"name": "Nation", "lookup": {**look, "take": "Name"}},
+            {"name": "RegionKey", "lookup": {**look, "take": "Region"}, "default": "-", "type": "getType"}]}]}}}
+    res = run_transform(cells, spec)
+    flat = pivot_fields(res, ["Nation", "RegionKey"], extra={"region_key_type": ("RegionKey", "type")})
+    return flat.select(F.col("row_idx").alias("s_suppkey"), F.col("Nation").alias("nation"),
+                       F.col("RegionKey").alias("region_key"), "region_key_type")
