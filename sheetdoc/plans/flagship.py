@@ -38,7 +38,8 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     res = run_sheet(events_sheet(spark, sf), EVENTS_SPEC)
     items, fields = materialize(res.items), materialize(res.fields)
     sheets = items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
-    frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]})
+    frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]},
+                               sheet_ords={"events": 0})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 

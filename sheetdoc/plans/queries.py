@@ -796,7 +796,7 @@ def sheet_selection(spark, sf):
     """S3: listed sheets in order, once each; undefined and missing sheets reported."""
     e = _t(spark, sf, "events").select(
         F.concat(F.lit("wb"), (F.col("user_id") % 4).cast("string")).alias("workbook_id"), F.col("event_type").alias("sheet"))
-    _, sheets, report = select_sheets(e, SELECTION_SPEC)
+    _, sheets, report, _ = select_sheets(e, SELECTION_SPEC)
     counts = e.groupBy("workbook_id", "sheet").agg(F.count("*").alias("n_rows"))
     sel = sheets.join(counts, ["workbook_id", "sheet"]).select(
         "workbook_id", "sheet", F.lit("selected").alias("status"), "sheet_ord", "n_rows")
@@ -919,7 +919,7 @@ def hierarchy_doc(spark, sf):
     res = run_sheet(_hierarchy_sheet(spark, sf), HIERARCHY_SPEC)
     sheets = spark.createDataFrame([("geo", "hierarchy", 0)], "workbook_id string, sheet string, sheet_ord int")
     frags = document_fragments(materialize(res.items), materialize(res.fields), sheets,
-                               {"hierarchy": HIERARCHY_SPEC["sitecore_config"]})
+                               {"hierarchy": HIERARCHY_SPEC["sitecore_config"]}, sheet_ords={"hierarchy": 0})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 

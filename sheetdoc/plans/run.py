@@ -35,12 +35,12 @@ class RunResult:
     warnings: list[str] = field(default_factory=list)
 
 
-def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, DataFrame]:
+def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, DataFrame, dict[str, int]]:
     """S3: sheets to process in listed order (default: all spec sheets).
 
     Returns (spec sheet names to run, ``sheets(workbook_id, sheet, sheet_ord)`` present in the
     data, report ``(workbook_id, sheet, status)`` for sheets skipped: no definition, or missing
-    from a workbook). A sheet listed twice runs once.
+    from a workbook), and each run sheet's position. A sheet listed twice runs once.
     """
     spark = cells.sparkSession
     defs = spec.get("sheets", {}) or {}
@@ -63,7 +63,8 @@ def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, D
     no_def = have.select("workbook_id", F.explode(without).alias("sheet"), F.lit("no_definition").alias("status"))
     missing = have.select("workbook_id", F.explode(F.array_except(with_def, F.col("__have"))).alias("sheet"),
                           F.lit("missing_sheet").alias("status"))
-    return [s for s in order if s in defs], sheets, no_def.unionByName(missing)
+    return [s for s in order if s in defs], sheets, no_def.unionByName(missing), {
+        s: i for i, s in enumerate(order) if s in defs}
 
 
 def sheet_headers(cells: DataFrame, sheet: str, sheet_spec: dict) -> list[str]:
@@ -85,7 +86,7 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     ``dynamic_fields.source: "__MAPPED_<sheet>"``."""
     spark = cells.sparkSession
     require_spec(spec)
-    names, sheets, report = select_sheets(cells, spec)
+    names, sheets, report, ords = select_sheets(cells, spec)
     defs = spec.get("sheets", {}) or {}
     items, fields, viols, warnings = [], [], [], []
     for s in names:
@@ -107,5 +108,6 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     qa.enforce(vi, strict)
     # items/fields feed several aggregates and joins of the document writer: materialize once.
     it, fl = materialize(it), materialize(fl)
-    frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get("sitecore_config", {}) for s in names})
+    frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get("sitecore_config", {}) for s in names},
+                                   sheet_ords=ords)
     return RunResult(it, fl, vi, frags, sheets, report, warnings)
