@@ -41,6 +41,9 @@ COLLAPSE_SKIP = ("", "nan")
 COLLAPSE_SEP = ", "
 # Name of an item whose definition resolves no name.
 UNNAMED_ITEM = "unnamed"
+# Keys of the target format: the spec's per-sheet config block and the document's copy of it.
+SPEC_CONFIG_KEY = "sitecore_config"
+DOC_CONFIG_KEY = "sitecoreConfig"
 # ---------------------------------------------------------------------------------------------
 
 # The same set as literal characters, for ``btrim`` (strips only at the ends, linear time).

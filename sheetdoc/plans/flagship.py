@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..model import as_sheet
 from ..operators.document import document_fragments
 from ..session import materialize
 from .pipeline import run_sheet
 
 EVENTS_SPEC = {
-    "sitecore_config": {"rootPath": "/events", "dictionaries": {"templates": {"session": "{S}", "event": "{E}"}}},
+    tx.SPEC_CONFIG_KEY: {"rootPath": "/events", "dictionaries": {"templates": {"session": "{S}", "event": "{E}"}}},
     "items": [{
         "templateKey": "session", "filter": "event_type.value = 'signup'", "scope_children": True,
         "name_slug": {"field": "label"},
@@ -38,7 +39,7 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     res = run_sheet(events_sheet(spark, sf), EVENTS_SPEC)
     items, fields = materialize(res.items), materialize(res.fields)
     sheets = items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
-    frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC["sitecore_config"]},
+    frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC[tx.SPEC_CONFIG_KEY]},
                                sheet_ords={"events": 0})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
@@ -46,10 +47,10 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
 
 def flagship_oracle_sql() -> str:
     """DuckDB SQL producing the same fragments straight from ``events``."""
-    from ..operators.document import sitecore_config
+    from ..operators.document import config_block
     from .queries import S_GETTYPE, S_SLUG
 
-    cfg, rel = sitecore_config(EVENTS_SPEC["sitecore_config"])
+    cfg, rel = config_block(EVENTS_SPEC[tx.SPEC_CONFIG_KEY])
     el = lambda k, i=0: f"{k}.{i}..0.0"
     name = S_SLUG("event_type || ' #' || CAST(event_id AS VARCHAR)")
     value_field = ("'{\"name\":\"Value\",\"value\":\"' || v || '\",\"type\":\"' || "
@@ -58,7 +59,7 @@ def flagship_oracle_sql() -> str:
     parts = [
         f"SELECT wb AS workbook_id, '{el(0)}' AS frag_key, '[' AS text FROM W",
         f"SELECT wb, '{el(4)}', ']' FROM W",
-        f"SELECT wb, '{el(3)}|{el(0)}', '{{\"sitecoreConfig\":{cfg},\"relations\":{rel},\"items\":[' FROM W",
+        f"SELECT wb, '{el(3)}|{el(0)}', '{{\"{tx.DOC_CONFIG_KEY}\":{cfg},\"relations\":{rel},\"items\":[' FROM W",
         f"SELECT wb, '{el(3)}|{el(4)}', ']}}' FROM W",
         f"SELECT wb, p || '|{el(0)}', {open_item} FROM S",
         f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM S",

@@ -2,7 +2,7 @@
 
 The spec keeps the reference's keys (``items``, ``filter``, ``scope_children``,
 ``expand_variants``, ``fields``, ``dynamic_fields``, ``children``, ``name``/``name_static``/
-``name_slug``, ``branchKey``/``templateKey``, ``source_structure``, ``sitecore_config``), but
+``name_slug``, ``branchKey``/``templateKey``, ``source_structure``, the config block), but
 ``filter`` and ``condition`` hold **Spark SQL boolean expressions** over the row's cell columns
 (``NOT (Category.value <=> '')``), and ``transform`` is a regex (first group) or a list of steps
 (see ``functions.text.jq_text``). The jq idioms for head rows, multi-value explode and group

@@ -828,7 +828,7 @@ def _hierarchy_sheet(spark, sf) -> DataFrame:
 
 
 HIERARCHY_SPEC = {
-    "sitecore_config": {"rootPath": "/geo", "dictionaries": {"templates": {"region": "{R}", "nation": "{N}", "customer": "{C}"}}},
+    tx.SPEC_CONFIG_KEY: {"rootPath": "/geo", "dictionaries": {"templates": {"region": "{R}", "nation": "{N}", "customer": "{C}"}}},
     "items": [{
         "templateKey": "region", "filter": NOT_BLANK.format("Region"), "scope_children": True,
         "name": {"field": "Region"}, "fields": [{"name": "Label", "value": "Region"}],
@@ -865,15 +865,15 @@ def hierarchy_items(spark, sf):
 
 
 def _hierarchy_doc_sql() -> str:
-    from ..operators.document import sitecore_config
+    from ..operators.document import config_block
 
-    cfg, rel = sitecore_config(HIERARCHY_SPEC["sitecore_config"])
+    cfg, rel = config_block(HIERARCHY_SPEC[tx.SPEC_CONFIG_KEY])
     R, N = 1 << 41, 1 << 35
     el = lambda k, i=0: f"{k}.{i}..0.0"
     parts = [
         f"SELECT 'geo' AS workbook_id, '{el(0)}' AS frag_key, '[' AS text",
         f"SELECT 'geo', '{el(4)}', ']'",
-        f"SELECT 'geo', '{el(3)}|{el(0)}', '{{\"sitecoreConfig\":{cfg},\"relations\":{rel},\"items\":['".replace('\\"', '"'),
+        f"SELECT 'geo', '{el(3)}|{el(0)}', '{{\"{tx.DOC_CONFIG_KEY}\":{cfg},\"relations\":{rel},\"items\":['".replace('\\"', '"'),
         f"SELECT 'geo', '{el(3)}|{el(4)}', ']}}'",
     ]
     for lvl, tpl in (("RP", "region"), ("NP", "nation")):
@@ -919,7 +919,7 @@ def hierarchy_doc(spark, sf):
     res = run_sheet(_hierarchy_sheet(spark, sf), HIERARCHY_SPEC)
     sheets = spark.createDataFrame([("geo", "hierarchy", 0)], "workbook_id string, sheet string, sheet_ord int")
     frags = document_fragments(materialize(res.items), materialize(res.fields), sheets,
-                               {"hierarchy": HIERARCHY_SPEC["sitecore_config"]}, sheet_ords={"hierarchy": 0})
+                               {"hierarchy": HIERARCHY_SPEC[tx.SPEC_CONFIG_KEY]}, sheet_ords={"hierarchy": 0})
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 

@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import SPEC_CONFIG_KEY
 from ..model import cells_to_sheet
 from ..operators import document as doc
 from ..operators import quality as qa
@@ -108,6 +109,6 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     qa.enforce(vi, strict)
     # items/fields feed several aggregates and joins of the document writer: materialize once.
     it, fl = materialize(it), materialize(fl)
-    frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get("sitecore_config", {}) for s in names},
+    frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get(SPEC_CONFIG_KEY, {}) for s in names},
                                    sheet_ords=ords)
     return RunResult(it, fl, vi, frags, sheets, report, warnings)

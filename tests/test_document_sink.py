@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sheetdoc.operators.document import document_fragments, write_documents
 from sheetdoc.plans import flagship as FL
+from sheetdoc.functions.text import SPEC_CONFIG_KEY
 from sheetdoc.plans.pipeline import run_sheet
 
 
@@ -18,7 +19,7 @@ def test_documents_split_across_parts_reassemble(spark):
     try:
         res = run_sheet(FL.events_sheet(spark, "/root/testdata/sf0.001"), FL.EVENTS_SPEC)
         sheets = res.items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
-        frags = document_fragments(res.items, res.fields, sheets, {"events": FL.EVENTS_SPEC["sitecore_config"]})
+        frags = document_fragments(res.items, res.fields, sheets, {"events": FL.EVENTS_SPEC[SPEC_CONFIG_KEY]})
         out = tempfile.mkdtemp(prefix="sheetdoc-docs-", dir="/tmp")
         write_documents(frags, out)
     finally:
