@@ -35,6 +35,7 @@ from ..session import materialize
 log = logging.getLogger(__name__)
 
 PATH_EL = "struct<k:int,d:int,g:string,r:bigint,s:bigint>"
+BLOCK_ROWS_CONF = "spark.sheetdoc.scan.blockRows"
 INTERNAL = {"__parent", "__ppath", "__ord", "__sub", "__gkey", "__item", "__seg", "__sel", "__first"}
 
 
@@ -82,6 +83,9 @@ class SheetSpecRunner:
     # -- entry -------------------------------------------------------------------------
     def run(self, rows: DataFrame) -> SheetResult:
         """``rows``: sheet frame (workbook_id, sheet, row_idx, <header cells>) of this sheet."""
+        if self.block_rows == DEFAULT_BLOCK_ROWS:
+            # A cluster may size the scan blocks without code changes.
+            self.block_rows = int(rows.sparkSession.conf.get(BLOCK_ROWS_CONF, str(DEFAULT_BLOCK_ROWS)))
         headers = {c for c in rows.columns if c not in (WB, SHEET, ROW)}
         # Every row also exposes its base cell as ``__base_cell__`` (conditions may use it).
         base = qcol(self.base_col) if self.base_col in headers else F.lit(None).cast(gen.NULL_CELL)

@@ -167,3 +167,17 @@ def test_cells_to_sheet_narrow_and_wide_agree(spark):
         M.WIDE_HEADERS = old
     key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
     assert key(wide) == key(narrow) and wide.count() == 4
+
+
+def test_pushdown_and_pruning_reach_the_scan(spark):
+    from sheetdoc.plans.queries import QUERIES
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = QUERIES["merge_islands"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(o_orderpriority,1-URGENT)" in plan.split("PushedFilters:")[1]
+    plan = QUERIES["computed_field"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    scan = [l for l in plan.splitlines() if "FileScan parquet" in l][0]
+    assert "o_orderdate" not in scan and "o_custkey" not in scan and "o_totalprice" in scan
