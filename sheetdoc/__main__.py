@@ -44,8 +44,14 @@ def _transform(spark: SparkSession, a) -> int:
     if a.cells:
         cells = spark.read.parquet(a.cells)
     else:
+        from .operators.quality import workbook_check
+
         key = (spec.get("input", {}) or {}).get("workbook_key", "workbook")
-        cells = documents_to_cells(read_documents(spark, a.documents), key)
+        docs = read_documents(spark, a.documents)
+        # V4: the structure of every input document, reported next to the outputs.
+        workbook_check(docs, "value", key).select("workbook_id", "status").write.mode("overwrite").parquet(
+            f"{a.out}/document_report")
+        cells = documents_to_cells(docs, key)
     relations = spark.read.parquet(a.relations) if a.relations else None
     try:
         res = run_transform(cells, spec, strict=a.strict, relations=relations)

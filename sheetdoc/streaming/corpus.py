@@ -31,7 +31,8 @@ def document_stream(spark: SparkSession, input_dir: str, max_files_per_trigger:
 
 def start_transform_stream(spark: SparkSession, input_dir: str, spec: dict, output_dir: str,
                            checkpoint: str | None = None, workbook_key: str = "workbook",
-                           available_now: bool = False, query_name: str = "sheetdoc_transform") -> StreamingQuery:
+                           available_now: bool = False, query_name: str = "sheetdoc_transform",
+                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental transform; returns the running query."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
 
@@ -44,6 +45,7 @@ def start_transform_stream(spark: SparkSession, input_dir: str, spec: dict, outp
         res.violations.write.mode("overwrite").parquet(f"{output_dir}/violations/{part}")
         write_documents(res.fragments, f"{output_dir}/documents/{part}")
 
-    w = document_stream(spark, input_dir).writeStream.foreachBatch(batch).option("checkpointLocation", ckpt)
+    w = document_stream(spark, input_dir, max_files_per_trigger).writeStream.foreachBatch(batch).option(
+        "checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w
     return w.queryName(query_name).start()

@@ -38,3 +38,4 @@ def test_transform_job_entry_point(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "items")).count() == 18
     vals = {r.value_json for r in spark.read.parquet(str(tmp_path / "out" / "fields")).collect()}
     assert {'"42"', '""', '"Note for ColA on A"'} <= vals
+    assert [r.status for r in spark.read.parquet(str(tmp_path / "out" / "document_report")).collect()] == ["ok"]
