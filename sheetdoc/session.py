@@ -20,6 +20,9 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.showConsoleProgress": "false",
+    # checkpoints and shuffled objects serialize faster with Kryo (measured ~10% on the
+    # document queries)
+    "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
     # checkpoint files of collected DataFrames are removed (they are only stage boundaries)
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
