@@ -54,10 +54,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+MATERIALIZE_CONF = "spark.sheetdoc.materialize"
+
+
 def materialize(df):
     """Cut lineage at a stage boundary by checkpointing into the shared checkpoint folder.
 
     Reliable checkpoint files survive executor loss (unlike cached blocks or local
-    checkpoints); used where a result is read several times (items/fields of a document)."""
+    checkpoints); used where a result is read several times (scoped contexts, items/fields of a
+    document, extracted cells). ``spark.sheetdoc.materialize=none`` keeps the plan lazy
+    instead (recompute rather than write), for clusters where that is cheaper."""
+    if df.sparkSession.conf.get(MATERIALIZE_CONF, "checkpoint") == "none":
+        return df
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

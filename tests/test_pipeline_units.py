@@ -188,3 +188,18 @@ def test_lookup_fields(spark):
     items = json.loads(assemble_small(res.fragments))[0]["items"]
     assert [(i["name"], [f["value"] for f in i["fields"]]) for i in items] == [
         ("A", ["Hybrid", "2.0"]), ("B", ["?", "2.0"])]
+
+
+def test_materialize_switch_keeps_results(spark):
+    from sheetdoc.session import MATERIALIZE_CONF
+
+    rows = [{"Cat": {"value": v}, "Item": {"value": i}} for v, i in [("A", ""), ("", "a"), ("B", ""), ("", "b")]]
+    items = [{"templateKey": "g", "filter": "NOT (Cat.value <=> '')", "scope_children": True, "name": {"field": "Cat"},
+              "children": [{"templateKey": "i", "filter": "NOT (Item.value <=> '')", "name": {"field": "Item"}}]}]
+    with_ckpt, _ = run(spark, rows, items)
+    spark.conf.set(MATERIALIZE_CONF, "none")
+    try:
+        lazy, _ = run(spark, rows, items)
+    finally:
+        spark.conf.unset(MATERIALIZE_CONF)
+    assert with_ckpt == lazy
