@@ -186,7 +186,8 @@ def jq_text(value: Column, steps: list) -> Column:
     ``steps`` is a list of ``(name, *args)``. A string step that receives NULL turns the whole
     result into ``#ERR:ValueError``; a final NULL renders as ''. Arrays render as JSON text
     (P9 re-parses them). Supported steps: split, index, ascii_upcase, ascii_downcase, gsub,
-    ltrimstr, rtrimstr, prefix, suffix, test, length, null, wrap (``[.]``).
+    ltrimstr, rtrimstr, prefix, suffix, test, length, null, wrap (``[.]``), fromjson and get
+    (a JSON path into the parsed value).
     """
     v = value
     err = F.lit(False)
@@ -228,8 +229,19 @@ def jq_text(value: Column, steps: list) -> Column:
             v = F.concat(F.coalesce(v, F.lit("")), F.lit(args[0]))
         elif name == "wrap":
             v, kind = F.array(v), "arr"
+        elif name == "fromjson":
+            # jq raises on null or invalid JSON text.
+            parsed = strict_json(v)
+            err = err | parsed.isNull()
+            v, kind = parsed, "json"
+        elif name == "get":
+            # ``.a.b`` / ``.[n]`` on a parsed value, as a JSON path ("$.a.b", "$[0]").
+            v = F.try_variant_get(v if kind == "json" else F.try_parse_json(v), args[0], "variant")
+            kind = "json"
         else:
             raise ValueError(f"unknown transform step {name!r}")
+        if kind == "json" and name not in ("fromjson", "get"):
+            raise ValueError(f"step {name!r} after fromjson/get is not supported")
     if kind == "arr":
         # json.dumps spacing: ", " between elements (P9 re-parses the text for plain fields).
         def elem(x):
@@ -238,6 +250,11 @@ def jq_text(value: Column, steps: list) -> Column:
         out = F.concat(F.lit("["), F.array_join(F.transform(v, elem), ", "), F.lit("]"))
     elif kind == "bool":
         out = F.when(v, F.lit("True")).when(~v, F.lit("False"))
+    elif kind == "json":
+        # containers render as JSON text, scalars as their text; JSON null as ''
+        shape = F.schema_of_variant(v)
+        out = F.when(shape.rlike("^(OBJECT|ARRAY)"), F.to_json(v)).otherwise(
+            py_strip(F.try_variant_get(v, "$", "string")))
     else:
         out = py_strip(v)
     return F.when(err, F.lit(ERR_PREFIX + "ValueError")).otherwise(F.coalesce(out, F.lit("")))

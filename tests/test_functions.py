@@ -162,3 +162,15 @@ def test_plan_time_checks(spark):
     with pytest.raises(ValueError):
         tx.regex_capture(F.lit("x"), r"\d+")  # no capture group (T13)
     assert ev(spark, [xl.value(F.lit("inf")), xl.value(F.lit("nan")), xl.value(F.lit("1e3"))]) == [None, None, 1000.0]
+
+
+def test_fromjson_steps(spark):
+    doc = F.lit('{"k": 69, "a": {"b": "x"}, "l": [1, 2]}')
+    got = ev(spark, [
+        tx.jq_text(doc, [("fromjson",), ("get", "$.k")]),
+        tx.jq_text(doc, [("fromjson",), ("get", "$.a.b")]),
+        tx.jq_text(doc, [("fromjson",), ("get", "$.l")]),
+        tx.jq_text(doc, [("fromjson",), ("get", "$.missing")]),
+        tx.jq_text(F.lit("{bad"), [("fromjson",)]),
+    ])
+    assert got == ["69", "x", "[1,2]", "", "#ERR:ValueError"]
