@@ -35,3 +35,23 @@ def test_documents_split_across_parts_reassemble(spark):
     assert len(dirs) == res.items.select("workbook_id").distinct().count()
     assert sessions == res.items.where("depth = 1").count()
     assert multi > 0
+
+
+def test_json_escaping_round_trips(spark):
+    import json as _json
+
+    from sheetdoc.operators.document import assemble_small
+    from sheetdoc.plans.run import run_transform
+    from sheetdoc.sources.sinks import workbook_json_fragments
+    from sheetdoc.sources.workbook_json import cells_from_python
+
+    tricky = 'say "hi" \\ back\nslash\ttab é ✓'
+    wb = {'she"et': [{'Na"me\\': {"value": tricky, "annotation": 'a "note"\nline2'}}]}
+    cells = cells_from_python(spark, wb)
+    doc = _json.loads(assemble_small(workbook_json_fragments(cells)))
+    assert doc == {"workbook": {'she"et': [{'Na"me\\': {"value": tricky, "annotation": 'a "note"\nline2'}}]}}
+    spec = {"sheets": {'she"et': {"items": [{"templateKey": 't"k', "filter": ".", "name": {"field": 'Na"me\\'},
+                                             "fields": [{"name": 'f"1', "value": 'Na"me\\'}]}]}}}
+    res = run_transform(cells, spec)
+    out = _json.loads(assemble_small(res.fragments))
+    assert out[0]["items"] == [{"name": tricky.strip(), "fields": [{"name": 'f"1', "value": tricky}], "templateKey": 't"k'}]
