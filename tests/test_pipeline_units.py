@@ -203,3 +203,12 @@ def test_materialize_switch_keeps_results(spark):
     finally:
         spark.conf.unset(MATERIALIZE_CONF)
     assert with_ckpt == lazy
+
+
+def test_top_level_variants_are_empty(spark):
+    items = [{"templateKey": "v", "expand_variants": True, "filter": ".",
+              "fields": [{"name": "val", "value": "$variant"}, {"name": "base", "value": "$base"}]}]
+    docs, _ = run(spark, [{"A": {"value": "x"}, "B": {"value": "y"}}], items,
+                  extra={"source_structure": {"column_base": "A", "column_data": ["A", "B"]}})
+    got = [(i["name"], [f["value"] for f in i["fields"]]) for i in docs[0]["items"]]
+    assert got == [("A", ["", ""]), ("B", ["", ""])]
