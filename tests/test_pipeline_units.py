@@ -212,3 +212,16 @@ def test_top_level_variants_are_empty(spark):
                   extra={"source_structure": {"column_base": "A", "column_data": ["A", "B"]}})
     got = [(i["name"], [f["value"] for f in i["fields"]]) for i in docs[0]["items"]]
     assert got == [("A", ["", ""]), ("B", ["", ""])]
+
+
+def test_scoped_dynamic_fields_and_empty_head_guard(spark):
+    rows = [{"Comp": {"value": c}, "Attr": {"value": a}, "Val": {"value": v}} for c, a, v in
+            [("Auth", "", ""), ("", "Tipo", "Service"), ("", "Ver", "1.0"), ("Api", "", ""), ("", "Count", "42")]]
+    items = [{"templateKey": "c", "filter": "NOT (Comp.value <=> '')", "scope_children": True,
+              "name": {"field": "Comp"},
+              "dynamic_fields": {"name_from": "Attr", "value_from": "Val", "type": "getType"}},
+             {"templateKey": "h", "head_only": True, "filter": "Comp.value = 'nobody'"}]
+    docs, _ = run(spark, rows, items)
+    got = [(i["name"], [(f["name"], f["value"], f["type"]) for f in i["fields"]]) for i in docs[0]["items"]]
+    assert got == [("Auth", [("Tipo", "Service", "string"), ("Ver", "1.0", "number")]),
+                   ("Api", [("Count", "42", "number")])]
