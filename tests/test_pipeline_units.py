@@ -225,3 +225,10 @@ def test_scoped_dynamic_fields_and_empty_head_guard(spark):
     got = [(i["name"], [(f["name"], f["value"], f["type"]) for f in i["fields"]]) for i in docs[0]["items"]]
     assert got == [("Auth", [("Tipo", "Service", "string"), ("Ver", "1.0", "number")]),
                    ("Api", [("Count", "42", "number")])]
+
+
+def test_explode_literal_split_and_single_space_trim(spark):
+    items = [{"templateKey": "k", "explode": {"column": "Keys", "sep": "|", "as": "Key"}, "filter": ".",
+              "name": {"field": "Comp"}, "fields": [{"name": "Key", "value": "Key"}]}]
+    docs, _ = run(spark, [{"Comp": {"value": "C"}, "Keys": {"value": " a |  b|c  |"}}], items)
+    assert [i["fields"][0]["value"] for i in docs[0]["items"]] == ["a", " b", "c ", ""]
