@@ -232,3 +232,11 @@ def test_explode_literal_split_and_single_space_trim(spark):
               "name": {"field": "Comp"}, "fields": [{"name": "Key", "value": "Key"}]}]
     docs, _ = run(spark, [{"Comp": {"value": "C"}, "Keys": {"value": " a |  b|c  |"}}], items)
     assert [i["fields"][0]["value"] for i in docs[0]["items"]] == ["a", " b", "c ", ""]
+
+
+def test_group_by_keeps_empty_key_and_sorts_by_key(spark):
+    items = [{"templateKey": "g", "group_by": {"column": "Component"}, "filter": ".", "name": {"field": "Component"},
+              "dynamic_fields": {"source": "__scope__", "name_from": "Attribute Name", "value_from": "Value"}}]
+    docs, _ = run(spark, EAV, items)
+    got = [(i["name"], [f["name"] for f in i["fields"]]) for i in docs[0]["items"]]
+    assert got == [("", ["Orphan"]), ("Api", ["Count"]), ("Auth", ["Tipo", "Version"])]
