@@ -8,6 +8,7 @@ configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -43,12 +44,14 @@ def get_session(master: str = "local[8]", app: str = "sheetdoc", extra: dict | N
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system; it is read from the session. Only
-    when it is unset (local tests) is a fresh scratch folder created.
-    """
+    It must be on a file system that the driver and all executors share, so it is read from the
+    session. Where it is unset, a session on a local master (tests, bench) gets a scratch folder;
+    on a cluster there is no safe default and the call raises."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="sheetdoc-ckpt-", dir=os.environ.get("SHEETDOC_SCRATCH", "/tmp"))
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="sheetdoc-ckpt-", dir=os.environ.get("SHEETDOC_SCRATCH"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
