@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, language_id, token_counts
+from sheetdoc.llm import decontaminate, language_id, mixing, token_counts
 
 OVER_TOKENS = 2048
 
@@ -16,6 +16,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.word_count().alias("size"), mixing.shuffle_key().alias("key"),
+    )
+    return mixing.mix(docs).select(
+        "doc_id", "size", F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
+        (F.col("size") * F.col("mix_copies")).alias("taken"),
+    )
+
+
+OP1_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END AS size,
+         md5(concat_ws('|', 'mix', CAST(doc_id AS VARCHAR), text)) AS key
+  FROM documents
+), per AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS rank
+  FROM sized GROUP BY source
+), weighted AS (
+  SELECT *, [5, 2, 1][1 + (rank - 1) % 3] AS weight, CAST(sum(source_size) OVER () AS BIGINT) AS total,
+         3 * source_size AS cap
+  FROM per
+), filled AS (
+  SELECT *, cap / weight AS fill,
+         (total - coalesce(CAST(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0))
+         / CAST(sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS lv
+  FROM weighted
+), levelled AS (
+  SELECT *, max(lv) OVER () AS level FROM filled
+), queued AS (
+  SELECT s.doc_id, s.size, s.key, l.*,
+         CAST(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.key) AS BIGINT) AS done
+  FROM sized s JOIN levelled l ON s.source IS NOT DISTINCT FROM l.source
+), copies AS (
+  SELECT *, CAST(sum(size) OVER (ORDER BY (done + e * source_size) / weight, rank, key) AS BIGINT) AS running
+  FROM queued CROSS JOIN (VALUES (0), (1), (2)) AS epochs(e)
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size,
+       CASE WHEN fill <= level THEN CAST(cap AS DOUBLE) ELSE level * weight END AS target,
+       CAST(sum(CASE WHEN running <= total THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM copies GROUP BY doc_id, size, key, source_size, cap, fill, level, weight
+"""
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,9 +93,12 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": op1_source_mixing,
     "op2_token_counts": op2_token_counts,
     "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_source_mixing": OP1_SQL,
+}
