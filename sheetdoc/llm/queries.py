@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, language_id, mixing, token_counts, url_filter
+from sheetdoc.llm import decontaminate, jaccard_join, language_id, mixing, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -72,6 +72,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_components(docs, k=4, num=85, den=100)
+
+
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
     ("allow", "com/fr/"), ("block", "com/de/"),
@@ -106,6 +111,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_token_counts": op2_token_counts,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
     "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
