@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 
 from sheetdoc.llm.common import bound_batches
 
-#: Documents of the sample that names the frequent runs, and how many of these are broadcast.
+#: Documents (about) of the sample that names the frequent runs, and how many of these are broadcast.
 #: With runs of at most MAX_RUN bytes the broadcast table stays under about 5 MB.
 SAMPLE_DOCS = 2000
 TABLE_ROWS = 30_000
 MAX_RUN = 64
 #: Entries of a worker's cache; a full cache is emptied.
-CACHE_ROWS = 300_000
+CACHE_ROWS = 150_000
 
 
 class _Lengths(dict):
@@ -68,7 +68,9 @@ def _frequent_runs(docs: DataFrame, text: str, tokenizer_file: str) -> dict[byte
         yield pd.DataFrame({"run": runs, "n": lengths.encode(runs)})
 
     # the sample only fills a cache: it has no influence on any count
-    sample = docs.select(F.col(text)).limit(SAMPLE_DOCS).coalesce(1)
+    there = docs.count()
+    share = int((1 << 20) * min(1.0, SAMPLE_DOCS / max(there, 1)))
+    sample = docs.select(F.col(text)).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < share).repartition(1)
     return {bytes(r.run): r.n for r in sample.mapInPandas(count, "run binary, n long").collect()}
 
 
