@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, jaccard_join, language_id, mixing, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -88,6 +88,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language_id.train(docs.where(language_id.fold() != 0))
@@ -113,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
