@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, pii, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -88,6 +88,20 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find_personal_data(docs, pii.train(docs))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *map(count, pii.KINDS), F.sha2(pii.joined(base), 256).alias("base_sha256"),
+        pii.joined(F.col("pii")).alias("spans"),
+    )
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
@@ -117,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
+    "op6_personal_data": op6_personal_data,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
