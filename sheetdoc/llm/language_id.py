@@ -22,12 +22,12 @@ from pyspark.sql import functions as F
 from sheetdoc.llm.common import bound_batches, stage
 
 #: Labelled documents to learn from, and the most frequent entries kept of words and of each n.
-TRAIN_DOCS = 3_000
+TRAIN_DOCS = 2_000
 WORDS_KEPT = 60_000
 GRAMS_KEPT = 20_000
 LONGEST_GRAM = 5
 MAX_WORD = 64
-CACHE_ROWS = 200_000
+CACHE_ROWS = 300_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -53,44 +53,53 @@ class LanguageModel:
     rows: list[dict[str, int]]
     logs: np.ndarray
 
-    def word(self, word: str) -> np.ndarray:
-        known = self.rows[0].get(word)
-        if known is not None:
-            return self.logs[known]
+    def known(self, word: str) -> list[int]:
+        """Rows that stand for a word: its own, else those of its longest known n-grams."""
+        row = self.rows[0].get(word)
+        if row is not None:
+            return [row]
         for n in range(LONGEST_GRAM, 0, -1):
-            found = [r for g in _grams(word, n) if (r := self.rows[n].get(g)) is not None]
+            rows = self.rows[n]
+            found = [rows[g] for g in _grams(word, n) if g in rows]
             if found:
-                return self.logs[found].mean(axis=0)
-        return np.zeros(len(self.langs))
+                return found
+        return []
 
+    def words(self, words: list[str]) -> np.ndarray:
+        """A row of log frequencies for each word; zeros where nothing of it is known."""
+        out = np.zeros((len(words), len(self.langs)))
+        found = [self.known(w) for w in words]
+        many = np.array([len(f) for f in found])
+        some = np.flatnonzero(many)
+        if len(some):
+            flat = np.fromiter((r for f in found for r in f), np.int64, many.sum())
+            starts = np.concatenate(([0], np.cumsum(many[some])[:-1]))
+            out[some] = np.add.reduceat(self.logs[flat], starts, axis=0) / many[some, None]
+        return out
 
-class _Rows(dict):
-    """Word -> row of ``matrix``; an unseen word is scored once and remembered."""
+
+class _Scores(dict):
+    """Word -> row of ``matrix``: the words that a worker has scored so far."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.matrix = np.empty((4096, len(self.model.langs)))
+        self.matrix = np.empty((0, len(model.langs)))
 
-    def __missing__(self, word: str) -> int:
-        row = len(self)
-        if row == len(self.matrix):
-            self.matrix = np.concatenate((self.matrix, np.empty_like(self.matrix)))
-        self.matrix[row] = self.model.word(word)
-        self[word] = row
-        return row
+    def learn(self, words: set[str]) -> None:
+        """Score those words that are new; a full cache is emptied first."""
+        if len(self) > CACHE_ROWS:
+            self.clear()
+            self.matrix = self.matrix[:0]
+        new = [w for w in words - self.keys() if len(w) <= MAX_WORD]
+        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+        self.matrix = np.concatenate((self.matrix, self.model.words(new)))
 
     def total(self, words: list[str]) -> np.ndarray:
-        if len(self) > CACHE_ROWS:
-            self.reset()
         long = [w for w in words if len(w) > MAX_WORD]
         if long:
             words = [w for w in words if len(w) <= MAX_WORD]
         rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        return self.matrix[rows].sum(axis=0) + sum(self.model.word(w) for w in long)
+        return self.matrix[rows].sum(axis=0) + self.model.words(long).sum(axis=0)
 
 
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = TRAIN_DOCS) -> LanguageModel | None:
@@ -155,18 +164,20 @@ def predict(docs: DataFrame, model: LanguageModel | None, text: str = "text", ou
 
     @F.pandas_udf("lang string, score double")
     def guess(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        rows = _Rows(shared.value) if shared.value else None
+        scores_of = _Scores(shared.value) if shared.value else None
         for batch in batches:
+            texts = [letters(t) if scores_of is not None else [] for t in batch]
+            if scores_of is not None:
+                scores_of.learn(set().union(*texts))
             langs, scores = [], []
-            for t in batch:
-                words = letters(t) if rows is not None else []
+            for words in texts:
                 if not words:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
                     continue
-                total = rows.total(words)
+                total = scores_of.total(words)
                 best = int(np.argmax(total))
-                langs.append(rows.model.langs[best])
+                langs.append(scores_of.model.langs[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))
             yield pd.DataFrame({"lang": langs, "score": scores})
 
