@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sheetdoc.llm.common import bound_batches, stage
 
 #: Labelled documents to learn from, and the most frequent entries kept of words and of each n.
-TRAIN_DOCS = 2_000
+TRAIN_DOCS = 1_200
 WORDS_KEPT = 60_000
 GRAMS_KEPT = 20_000
 LONGEST_GRAM = 5

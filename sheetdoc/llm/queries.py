@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, pii, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, pii, suffix_dedup, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -115,6 +115,16 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeats(docs)
+    lengths = F.aggregate("repeats.removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), lengths.alias("n_removed"),
+        F.size("repeats.removed").cast("long").alias("n_spans"), F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_benchmark(docs, _table(spark, sf_dir, "benchmark"))
@@ -134,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_personal_data": op6_personal_data,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
