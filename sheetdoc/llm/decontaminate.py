@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetdoc.llm.common import bound_batches
+from sheetdoc.llm.common import bound_batches, free_name
 
 #: Consecutive words that count as a test question or answer seen again.
 WINDOW = 13
@@ -117,15 +117,16 @@ def _parts(benchmark: DataFrame, item: str, text: str, part_chars: int) -> int:
 def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
     item_text: str = "text", window: int = WINDOW, part_chars: int = PART_CHARS,
+    out: str = "benchmark_hits",
 ) -> DataFrame:
-    """``docs`` with a struct column ``benchmark_hits``: ``n_words`` (words of the document),
+    """``docs`` with a struct column ``out``: ``n_words`` (words of the document),
     ``n_hit`` (those inside an occurrence of a window), ``items`` (sorted ids of the items with an
     occurring window) and ``spans`` (code-point ranges of the original text that hits cover; where
     the benchmark needs several automata, ranges of each).
 
     A null or empty text has no words and no hits; an item without words has no window; a row of
     the benchmark without an id hits words but is not listed; repeated items count once. Extra
-    columns stay (one named ``benchmark_hits`` is replaced)."""
+    columns stay (one named ``out`` is replaced)."""
     spark = docs.sparkSession
     bound_batches(spark)
     parts = _parts(benchmark, item, item_text, part_chars)
@@ -135,17 +136,17 @@ def find_benchmark(
         if parts > 1:  # dealt by content: no part holds much more than its share
             own = own.where(F.pmod(F.xxhash64("t"), F.lit(parts)) == part)
         found.append(_scanner(spark.sparkContext.broadcast(_patterns([tuple(r) for r in own.collect()], window)))(F.col(text)))
-    raw = docs.withColumn("benchmark_hits", found[0])
+    more = free_name(docs, "benchmark_more")
+    raw = docs.withColumn(out, found[0])
     for other in found[1:]:
-        raw = raw.withColumn("_bench_more", other).withColumn("benchmark_hits", F.struct(
-            F.col("benchmark_hits.n_words"),
-            F.array_union("benchmark_hits.hit", "_bench_more.hit").alias("hit"),
-            F.array_sort(F.array_union("benchmark_hits.items", "_bench_more.items")).alias("items"),
-            F.array_sort(F.array_union("benchmark_hits.spans", "_bench_more.spans")).alias("spans"),
-        )).drop("_bench_more")
-    return raw.withColumn("benchmark_hits", F.struct(
-        "benchmark_hits.n_words", F.size("benchmark_hits.hit").cast("long").alias("n_hit"),
-        "benchmark_hits.items", "benchmark_hits.spans",
+        raw = raw.withColumn(more, other).withColumn(out, F.struct(
+            F.col(f"{out}.n_words"),
+            F.array_union(f"{out}.hit", f"{more}.hit").alias("hit"),
+            F.array_sort(F.array_union(f"{out}.items", f"{more}.items")).alias("items"),
+            F.array_sort(F.array_union(f"{out}.spans", f"{more}.spans")).alias("spans"),
+        )).drop(more)
+    return raw.withColumn(out, F.struct(
+        f"{out}.n_words", F.size(f"{out}.hit").cast("long").alias("n_hit"), f"{out}.items", f"{out}.spans",
     ))
 
 

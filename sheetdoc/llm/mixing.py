@@ -22,6 +22,8 @@ from sheetdoc.llm.common import stage
 WEIGHTS = (5, 2, 1)
 #: Passes over a source that its target allows at most.
 EPOCHS = 3
+#: Columns that ``mix`` adds.
+ADDED = ("mix_source_size", "mix_target", "mix_copies", "mix_finish")
 #: Leading hex digits of the shuffle hash that name a block: 16**3 blocks in each source.
 BLOCK_DIGITS = 3
 
@@ -79,8 +81,9 @@ def mix(
     ``size`` is a column of non-negative integers and ``key`` one that orders a source's queue;
     rows of one source with the same key (repeated rows) stand at one place and are taken or left
     together. A null source is a source of its own, last in rank. Documents of size 0 take up no
-    room and are in the mix 0 times. No documents give no rows; extra columns stay."""
-    cols = docs.columns
+    room and are in the mix 0 times. No documents give no rows; extra columns stay
+    (those named like the four results are replaced)."""
+    cols = [c for c in docs.columns if c.lower() not in ADDED]
     queue = docs.select(
         F.col(source).alias("source"), F.col(size).cast("long").alias("size"), F.col(key).alias("key"),
         F.substring(F.col(key), 1, BLOCK_DIGITS).alias("block"), F.struct(*(F.col(f"`{c}`") for c in cols)).alias("row"),
