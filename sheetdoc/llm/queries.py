@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, pii, suffix_dedup, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, passages, pii, suffix_dedup, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -88,6 +88,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op5_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find_personal_data(docs, pii.train(docs))
@@ -141,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_url_filter": op4_url_filter,
+    "op5_fuzzy_passages": op5_fuzzy_passages,
     "op6_personal_data": op6_personal_data,
     "op7_embedding_dedup": op7_embedding_dedup,
     "op8_language_id": op8_language_id,
