@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from sheetdoc.llm.common import stage
 
-#: Bits of a filter that is broadcast for a set of keys, at most (32 MB); a larger set is joined.
+#: Bits of a filter that is broadcast for a set of keys, at most (32 MB): eight to sixteen
+#: a key. A larger set is joined.
 FILTER_BITS = 1 << 28
 
 
@@ -20,13 +21,13 @@ class KeySet:
 
     def __init__(self, keys: DataFrame, low_bits: int = 64):
         self.low_bits, self.keys, self.bits = low_bits, stage(keys, "keys"), None
-        many = 1 << max(16, (16 * max(1, self.keys.count()) - 1).bit_length())
+        many = 1 << max(16, (8 * max(1, self.keys.count()) - 1).bit_length())
         if many <= FILTER_BITS:
             place = F.col("finger").bitwiseAND(F.lit(many - 1))
             bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-            got = self.keys.select(F.shiftright(place, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+            got = self.keys.select(F.shiftright(place, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
             table = np.zeros(many >> 6, np.uint64)
-            table[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).view(np.uint64)
+            table[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
             self.bits = keys.sparkSession.sparkContext.broadcast(table)
 
     def only(self, rows: DataFrame, column: str = "key") -> DataFrame:

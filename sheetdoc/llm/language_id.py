@@ -126,7 +126,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = T
                 for g in _grams(w, n):
                     found[name, n, g] += c
         keys = list(found)
-        yield pd.DataFrame({"lang": [k[0] for k in keys], "n": [k[1] for k in keys], "gram": [k[2] for k in keys], "c": [found[k] for k in keys]})
+        if keys:
+            yield pd.DataFrame({"lang": [k[0] for k in keys], "n": [k[1] for k in keys], "gram": [k[2] for k in keys], "c": [found[k] for k in keys]})
 
     counts = (
         rows.mapInPandas(count, "lang string, n int, gram string, c long")
