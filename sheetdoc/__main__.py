@@ -38,9 +38,10 @@ def _transform(spark: SparkSession, a) -> int:
     from .plans.run import run_transform
     from .plans.spec import load_spec
     from .sources.sinks import write_flat
-    from .sources.workbook_json import documents_to_cells, read_documents
+    from .sources.workbook_json import read_documents, read_workbooks
 
     spec = load_spec(a.spec)
+    books = None
     if a.cells:
         cells = spark.read.parquet(a.cells)
     else:
@@ -51,10 +52,14 @@ def _transform(spark: SparkSession, a) -> int:
         # V4: the structure of every input document, reported next to the outputs.
         workbook_check(docs, "value", key).select("workbook_id", "status").write.mode("overwrite").parquet(
             f"{a.out}/document_report")
-        cells = documents_to_cells(docs, key)
+        books = read_workbooks(docs, key)
+        cells = books.cells
     relations = spark.read.parquet(a.relations) if a.relations else None
     try:
-        res = run_transform(cells, spec, strict=a.strict, relations=relations)
+        own = {} if books is None else {"rows": books.rows, "sheets": books.sheets}
+        if books is not None and relations is None:
+            own["mapped"] = books.mapped
+        res = run_transform(cells, spec, strict=a.strict, relations=relations, **own)
     except RequiredFieldError as e:
         print(str(e), file=sys.stderr)
         return 2

@@ -16,8 +16,6 @@ from pyspark.sql import types as T
 
 WB, SHEET, ROW = "workbook_id", "sheet", "row_idx"
 KEY = [WB, SHEET]
-# Above this many headers a sheet frame is built through a per-row map (see cells_to_sheet).
-WIDE_HEADERS = 32
 
 CELL_TYPE = T.StructType([
     T.StructField("value", T.StringType()),
@@ -87,24 +85,26 @@ def sheet_to_cells(sheet_df: DataFrame, headers: list[str], sheet_ord: Column |
     )
 
 
-def cells_to_sheet(cells: DataFrame, headers: list[str]) -> DataFrame:
+def cells_to_sheet(cells: DataFrame, headers: list[str], rows: DataFrame | None = None) -> DataFrame:
     """Long ``cells`` -> wide sheet frame over *only* the given headers.
 
-    One conditional aggregation keyed by (workbook, sheet, row): map-side partial aggregation
-    folds each row's cells into one narrow record before the shuffle, so a wide workbook only
-    ships the columns a spec references, and rows with no referenced cell still appear.
-    Cells must be unique per (workbook, sheet, row, header)
-    (see ``operators.clean.resolve_duplicate_headers``).
+    One aggregation keyed by (workbook, sheet, row): each row's own cells of these headers are
+    gathered (as many as the row has columns), and each header reads its own; where a header
+    occurs twice the last column wins. The cost is per cell, whatever the number of headers. Rows
+    with no referenced cell still appear; ``rows`` (workbook_id, sheet, row_idx) adds those that
+    have no cell at all.
     """
     c = F.struct(F.col("value"), F.col("annotation"))
-    if len(headers) > WIDE_HEADERS:
-        # Wide sheets: one map per row from the row's own cells (bounded by its column count),
-        # then one lookup per header, instead of one CASE per header for every cell.
-        m = cells.where(F.col("header").isin(*headers)).groupBy(WB, SHEET, ROW).agg(
-            F.map_from_entries(F.collect_list(F.struct(F.col("header"), c))).alias("__m"))
-        rows = cells.select(WB, SHEET, ROW).distinct()
-        wide = rows.join(m, [WB, SHEET, ROW], "left")
-        return wide.select(WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers])
-    aggs = [F.max(F.when(F.col("header") == h, c)).alias(h) for h in headers] or [F.count(F.lit(1)).alias("__n")]
-    wide = cells.groupBy(WB, SHEET, ROW).agg(*aggs)
-    return wide if headers else wide.drop("__n")
+    own = F.when(F.col("header").isin(*headers), F.struct("col_idx", "header", c.alias("c"))) if headers else F.lit(None).cast("struct<col_idx:int,header:string,c:struct<value:string,annotation:string>>")
+    base = cells.select(WB, SHEET, ROW, own.alias("__c"))
+    if rows is not None:
+        base = base.unionByName(rows.select(WB, SHEET, ROW), allowMissingColumns=True)
+    got = base.groupBy(WB, SHEET, ROW).agg(F.array_sort(F.collect_list("__c")).alias("__cs"))
+    if not headers:
+        return got.drop("__cs")
+    heads = F.transform("__cs", lambda e: e["header"])
+    last = F.transform(F.array_distinct(heads), lambda h: F.element_at(F.filter("__cs", lambda e: e["header"] == h), -1))
+    once = F.when(F.size(F.array_distinct(heads)) == F.size(heads), F.col("__cs")).otherwise(last)
+    m = F.map_from_entries(F.transform(once, lambda e: F.struct(e["header"].alias("key"), e["c"].alias("value"))))
+    return got.select(WB, SHEET, ROW, m.alias("__m")).select(
+        WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers])

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import json
 import logging
+import re
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,16 +102,26 @@ def _py_text(v) -> str:
     return str(v)  # Python spelling: True/False
 
 
+#: A quoted text or backquoted name (kept as it is), or a plain cast.
+_CAST = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`)|\bcast\s*\(", re.IGNORECASE)
+
+
+def tolerant(condition: str) -> str:
+    """``condition`` with casts that give NULL where a text does not fit, so that one bad cell
+    makes its own row false instead of ending the job."""
+    return _CAST.sub(lambda m: m[1] or "try_cast(", condition)
+
+
 def condition_column(df: DataFrame, condition) -> Column | None:
     """Parse a Spark SQL condition against the context. An unparsable or unresolvable
     condition counts as false, as in the reference (warning logged)."""
     if isinstance(condition, Column):
         return F.coalesce(condition, F.lit(False))
     try:
-        c = F.expr(condition)
+        c = F.expr(tolerant(condition))
         df.select(c.cast("boolean")).schema  # force analysis
         return F.coalesce(c.cast("boolean"), F.lit(False))
-    except Exception as e:  # noqa: BLE001 - analysis/parse errors only
+    except (AnalysisException, ParseException) as e:
         log.warning("condition %r failed to resolve: %s", condition, e)
         return None
 

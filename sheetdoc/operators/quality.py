@@ -20,26 +20,30 @@ def empty_violations(spark) -> DataFrame:
     )
 
 
-def required_names_violations(items: DataFrame, fields: DataFrame, names: list[str],
-                              item_filter: Column | None = None) -> DataFrame:
-    """V3: every named field must exist and be non-blank per item; the last duplicate wins.
+def required_names_violations(items: DataFrame, generated: DataFrame | None, names: list[str]) -> DataFrame | None:
+    """V3: every named field must be among an item's generated fields (``generated``) and be
+    non-blank there; the last duplicate wins. Static fields do not count.
 
-    One conditional aggregation per item (no cross join): ``max_by(text, fkey)`` per name."""
+    One conditional aggregation per item (no cross join): ``max_by(text, fkey)`` per name. Item ids
+    repeat in every workbook and sheet, so both are part of the key."""
     if not names:
         return None
-    agg = fields.groupBy("item_id").agg(*[
-        F.max_by(F.when(F.col("name") == n, F.col("text")), F.when(F.col("name") == n, F.col("fkey"))).alias(f"__r{i}")
-        for i, n in enumerate(names)
-    ])
-    it = items if item_filter is None else items.where(item_filter)
-    j = it.select("workbook_id", "sheet", "item_id", "row_idx").join(agg, "item_id", "left")
+    key = ["workbook_id", "sheet", "item_id"]
+    it = items.select(*key, "row_idx")
+    if generated is None:
+        j = it.select("*", *[F.lit(None).cast("string").alias(f"__r{i}") for i in range(len(names))])
+    else:
+        agg = generated.groupBy(*key).agg(*[
+            F.max_by(F.when(F.col("name") == n, F.col("text")), F.when(F.col("name") == n, F.col("fkey"))).alias(f"__r{i}")
+            for i, n in enumerate(names)
+        ])
+        j = it.join(agg, key, "left")
     per = F.array(*[
         F.when(tx.is_blank(F.col(f"__r{i}")), F.struct(F.lit(n).alias("field"), F.lit("required_field_missing").alias("reason")))
         for i, n in enumerate(names)
     ])
-    return j.select("workbook_id", "sheet", "item_id", "row_idx",
-                    F.explode(F.filter(per, lambda x: x.isNotNull())).alias("v")).select(
-        "workbook_id", "sheet", "item_id", "row_idx", F.col("v.field").alias("field"), F.col("v.reason").alias("reason"))
+    return j.select(*key, "row_idx", F.explode(F.filter(per, lambda x: x.isNotNull())).alias("v")).select(
+        *key, "row_idx", F.col("v.field").alias("field"), F.col("v.reason").alias("reason"))
 
 
 def error_values(fields: DataFrame) -> DataFrame:
@@ -54,7 +58,7 @@ def enforce(violations: DataFrame, strict: bool) -> None:
         if first:
             r = first[0]
             raise RequiredFieldError(
-                f"[REQUIRED FIELD MISSING] sheet={r['sheet']} field={r['field']} item={r['item_id']} row={r['row_idx']}"
+                f"field {r['field']!r} of item {r['item_id']} is blank (workbook {r['workbook_id']}, sheet {r['sheet']}, row {r['row_idx']})"
             )
 
 

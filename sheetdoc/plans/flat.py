@@ -15,7 +15,7 @@ def pivot_fields(res, names: list[str], what: str = "text",
     adds ``alias -> (field name, attribute)`` columns such as a field's ``type``.
 
     Static-only specs read the item's own field array (a projection); with dynamic fields it
-    is one conditional aggregation per item (partial aggregates) and one join on item_id."""
+    is one conditional aggregation per item (partial aggregates) and one join on the item's key."""
     cols = [(n, n, what) for n in names] + [(a, n, w) for a, (n, w) in (extra or {}).items()]
     if not cols:
         return res.items
@@ -25,11 +25,11 @@ def pivot_fields(res, names: list[str], what: str = "text",
             hit = F.filter("static_fields", lambda f: f["name"] == n)
             return F.get(hit, F.size(hit) - 1)[w]
         return res.items_static.select(*res.items.columns, *[last(n, w).alias(a) for a, n, w in cols])
-    agg = res.fields.groupBy("item_id").agg(*[
+    agg = res.fields.groupBy("workbook_id", "sheet", "item_id").agg(*[
         F.max_by(F.when(F.col("name") == n, F.col(w)), F.when(F.col("name") == n, F.col("fkey"))).alias(a)
         for a, n, w in cols
     ])
-    return res.items.join(agg, "item_id", "left")
+    return res.items.join(agg, ["workbook_id", "sheet", "item_id"], "left")
 
 
 def run_flat(rows: DataFrame, spec: dict, names: list[str], block_rows=None,

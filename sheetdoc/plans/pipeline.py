@@ -60,7 +60,7 @@ class SheetSpecRunner:
 
     def __init__(self, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
                  materialize_scopes: bool = True, cells: DataFrame | None = None,
-                 relations: DataFrame | None = None):
+                 relations: DataFrame | None = None, mapped: DataFrame | None = None):
         self.spec = sheet_spec or {}
         cols = self.spec.get("source_structure", {}) or {}
         self.base_col = cols.get("column_base", "") or ""
@@ -72,13 +72,14 @@ class SheetSpecRunner:
         # Relation-sourced dynamic fields read flat relation edges and the source rows.
         self.cells = cells
         self.relations = relations
+        self.mapped = mapped
         self.warnings: list[str] = []
         self._items: list[DataFrame] = []
         self._items_static: list[DataFrame] = []
         self._has_dynamic = False
         self._fields: list[DataFrame] = []
         self._viol: list[DataFrame] = []
-        self._req_names: list[tuple[list[str], DataFrame]] = []
+        self._req_names: list[tuple[list[str], DataFrame, DataFrame | None]] = []
 
     # -- entry -------------------------------------------------------------------------
     def run(self, rows: DataFrame) -> SheetResult:
@@ -106,8 +107,8 @@ class SheetSpecRunner:
             items = spark.createDataFrame([], ITEMS_DDL)
             fields = spark.createDataFrame([], FIELDS_DDL)
         viols = list(self._viol)
-        for names, it_filter_items in self._req_names:
-            v = qa.required_names_violations(it_filter_items, fields, names)
+        for names, of_items, generated_fields in self._req_names:
+            v = qa.required_names_violations(of_items, generated_fields, names)
             if v is not None:
                 viols.append(v)
         violations = _union(viols) if viols else qa.empty_violations(spark)
@@ -123,7 +124,7 @@ class SheetSpecRunner:
     def _definition(self, ctx: DataFrame, view: pj.RowView, idef: dict, d_idx: int, depth: int,
                     parents: DataFrame | None, generated: bool) -> None:
         if not idef.get("branchKey") and not idef.get("templateKey"):
-            raise ValueError(f"Item definition requires branchKey or templateKey: {idef.get('name', idef)}")
+            raise ValueError(f"an item definition needs a branchKey or a templateKey: {idef.get('name', idef)}")
         part = [WB, SHEET, "__parent"]
 
         # 1. input: the context, or the parent row's variants (G1).
@@ -163,11 +164,12 @@ class SheetSpecRunner:
             generated_in = True
 
         # 3. filter (F1-F5); a filter that fails to resolve selects nothing (T7, as reference).
-        sel = self._filter(inp, idef.get("filter"))
         if idef.get("head_only"):
-            first = inp.groupBy(*part).agg(F.min("__ord").alias("__first"))
-            inp = inp.join(first, part, "left")
-            sel = sel & (F.col("__ord") == F.col("__first"))
+            # the first row of each context in its full order: group key, row, part
+            order = F.struct(gkey.cast("string"), F.col("__ord"), F.col("__sub"))
+            inp = inp.groupBy(*part).agg(F.min_by(F.struct(*[qcol(c) for c in inp.columns if c not in part]), order).alias("__head"))
+            inp = inp.select(*part, "__head.*")
+        sel = self._filter(inp, idef.get("filter"))
 
         scope = bool(idef.get("scope_children")) or idef.get("templateKey") == "group"
         if scope and generated_in:
@@ -293,6 +295,18 @@ class SheetSpecRunner:
             F.struct(F.col("map_value").alias("value"), F.lit(None).cast("string").alias("annotation")).alias(MAP_VALUE_KEY),
         )
 
+    def _attached_rows(self, src: str, dyn: dict, chosen: DataFrame) -> DataFrame:
+        """G5 from workbook JSON: the related rows that the document itself carries."""
+        from ..plans.spec import referenced_headers
+
+        heads = sorted({*referenced_headers({"items": [dyn]}), MAP_VALUE_KEY} - {src})
+        c = F.struct("value", "annotation")
+        rows = self.mapped.where(F.col("attach") == src).groupBy(WB, SHEET, ROW, "ord").agg(
+            *[F.max(F.when(F.col("header") == h, c)).alias(h) for h in heads])
+        items = chosen.select(WB, SHEET, ROW, "__item", F.col("__path").alias("__ipath"))
+        return items.join(rows, [WB, SHEET, ROW]).withColumn("__ord", F.col("ord").cast("bigint")).withColumn(
+            "__sub", F.lit(0).cast("bigint")).drop("ord")
+
     def _filter(self, inp: DataFrame, expr) -> Column:
         if expr is None or (isinstance(expr, str) and expr.strip() in ("", ".")):
             return F.lit(True)
@@ -309,13 +323,14 @@ class SheetSpecRunner:
             rows, key = grouped
             scope_rows = rows.withColumn("__gkey", key).join(
                 chosen.select(*part, "__gkey", "__item", F.col("__path").alias("__ipath")), [*part, "__gkey"])
-        elif src and src.startswith(MAPPED_PREFIX) and self.relations is not None and self.cells is not None:
-            scope_rows = self._mapped_rows(src, dyn, chosen)
+        elif src and src.startswith(MAPPED_PREFIX) and (self.mapped is not None or (self.relations is not None and self.cells is not None)):
+            scope_rows = self._attached_rows(src, dyn, chosen) if self.mapped is not None else self._mapped_rows(src, dyn, chosen)
             iview = pj.RowView(headers=set(scope_rows.columns) - INTERNAL - {WB, SHEET, ROW})
         elif src:
             scope_rows = None  # a source key the row lacks -> no rows
         else:
             scope_rows = scoped
+        generated = None
         if scope_rows is not None:
             fcol = None
             if dyn.get("filter"):
@@ -324,13 +339,14 @@ class SheetSpecRunner:
                     self.warnings.append(f"dynamic_fields filter {dyn['filter']!r} failed; no rows")
                     fcol = F.lit(False)
             df = gen.dynamic_fields(scope_rows, iview, dyn, n_static, fcol)
-            self._fields.append(df.select(WB, SHEET, F.col("__item").alias("item_id"), F.col("__ipath").alias("path"), "f.*"))
+            generated = df.select(WB, SHEET, F.col("__item").alias("item_id"), F.col("__ipath").alias("path"), "f.*")
+            self._fields.append(generated)
             if dyn.get("required"):
                 self._viol.append(df.where("__empty_required").select(
                     WB, SHEET, F.col("__item").alias("item_id"), ROW, F.col("f.name").alias("field"),
                     F.lit("required_dynamic_value").alias("reason")))
         if dyn.get("required_fields"):
-            self._req_names.append((list(dyn["required_fields"]), base.select(WB, SHEET, "item_id", ROW)))
+            self._req_names.append((list(dyn["required_fields"]), base.select(WB, SHEET, "item_id", ROW), generated))
 
 
 ITEMS_DDL = (f"workbook_id string, sheet string, item_id string, parent_id string, depth int, "
@@ -345,8 +361,8 @@ def _union(dfs: list[DataFrame]) -> DataFrame:
 
 def run_sheet(rows: DataFrame, sheet_spec: dict, block_rows: int | None = DEFAULT_BLOCK_ROWS,
               strict: bool = False, materialize_scopes: bool = True, cells: DataFrame | None = None,
-              relations: DataFrame | None = None) -> SheetResult:
+              relations: DataFrame | None = None, mapped: DataFrame | None = None) -> SheetResult:
     """R1 for one sheet definition over the sheet frame ``rows``."""
-    res = SheetSpecRunner(sheet_spec, block_rows, materialize_scopes, cells, relations).run(rows)
+    res = SheetSpecRunner(sheet_spec, block_rows, materialize_scopes, cells, relations, mapped).run(rows)
     qa.enforce(res.violations, strict)
     return res

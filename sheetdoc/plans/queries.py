@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import xl
-from ..model import as_sheet
+from ..model import as_sheet, sheet_to_cells
 from ..operators import clean, generate as gen, quality as qa, relate
 from ..operators.segment import forward_fill
 from .flat import run_flat
 from .pipeline import run_sheet
-from .run import select_sheets
+from .run import run_transform, select_sheets
 from ..session import materialize
+from ..sources.workbook_json import read_workbooks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
+#: Item ids repeat in every workbook and sheet.
+ITEM_KEY = ["workbook_id", "sheet", "item_id"]
+
 
 def query(name: str, sql: str | None = None):
     def deco(fn):
@@ -250,7 +254,7 @@ def dynamic_fields(spark, sf):
     """G3 + G4: suppliers as entity-attribute-value rows -> one item per entity, one field per
     attribute row (empty names skipped, ``getType`` inferred)."""
     res = run_sheet(_eav_sheet(spark, sf), _eav_spec(False))
-    f = res.fields.join(res.items.select("item_id", "name").withColumnRenamed("name", "item_name"), "item_id")
+    f = res.fields.join(res.items.select(*ITEM_KEY, F.col("name").alias("item_name")), ITEM_KEY)
     return f.select(F.col("item_name").cast("bigint").alias("s_suppkey"), (F.col("fkey.r") % 8).alias("attr_idx"),
                     "name", F.col("text").alias("value"), "type")
 
@@ -263,10 +267,45 @@ SELECT DISTINCT s_suppkey, 'Rating', 'required_field_missing' FROM eav
 def dynamic_required(spark, sf):
     """V2 + V3: empty dynamic values and required field names missing per item."""
     res = run_sheet(_eav_sheet(spark, sf), _eav_spec(True))
-    v = res.violations.join(res.items.select("item_id", "name"), "item_id")
+    v = res.violations.join(res.items.select(*ITEM_KEY, "name"), ITEM_KEY)
     return v.select(F.col("name").cast("bigint").alias("s_suppkey"), "field", "reason")
 
 
+CORPUS_SQL = """
+WITH attr AS (
+  SELECT c_mktsegment AS wb, c_nationkey AS comp, c_custkey AS r,
+         CASE c_custkey % 3 WHEN 0 THEN 'Code' WHEN 1 THEN 'Level' ELSE 'Note' END AS a,
+         CASE WHEN c_custkey % 5 = 0 THEN '' ELSE 'v' || CAST(c_custkey AS VARCHAR) END AS v
+  FROM customer),
+item AS (SELECT DISTINCT wb, comp FROM attr),
+want AS (SELECT 'Code' AS f UNION ALL SELECT 'Level' UNION ALL SELECT 'Static'),
+last AS (SELECT wb, comp, a, arg_max(v, r) AS v FROM attr GROUP BY wb, comp, a)
+"""
+
+
+@query("dynamic_required_corpus", CORPUS_SQL + """
+SELECT item.wb AS workbook_id, CAST(item.comp AS BIGINT) AS component, want.f AS field
+FROM item CROSS JOIN want LEFT JOIN last ON last.wb = item.wb AND last.comp = item.comp AND last.a = want.f
+WHERE coalesce(last.v, '') = ''
+""")
+def dynamic_required_corpus(spark, sf):
+    """V3 over several workbooks whose sheets share row numbers: each item is checked on its own
+    generated fields; a static field of a required name does not count."""
+    c = _t(spark, sf, "customer").select("c_mktsegment", "c_nationkey", "c_custkey")
+    attr = F.when(F.col("c_custkey") % 3 == 0, "Code").when(F.col("c_custkey") % 3 == 1, "Level").otherwise("Note")
+    val = F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.concat(F.lit("v"), F.col("c_custkey").cast("string")))
+    sheet = as_sheet(c, F.col("c_mktsegment"), "attrs", "c_custkey", {
+        "Component": F.col("c_nationkey").cast("string"), "Attribute": attr, "Value": val})
+    spec = {"items": [{
+        "templateKey": "nation", "group_by": {"column": "Component"}, "filter": ".", "name": {"field": "Component"},
+        "fields": [{"name": "Static", "value": "Component"}],
+        "dynamic_fields": {"source": "__scope__", "name_from": "Attribute", "value_from": "Value",
+                           "required_fields": ["Code", "Level", "Static"]}}]}
+    res = run_sheet(sheet, spec)
+    v = res.violations.join(res.items.select(*ITEM_KEY, "name"), ITEM_KEY)
+    return v.select("workbook_id", F.col("name").cast("bigint").alias("component"), "field")
+
+
 # ============================================================================================
 # C1-C9 cleaning
 # ============================================================================================
@@ -540,7 +579,10 @@ def row_filter_nullsafe(spark, sf):
     """two-valued comparison - a missing label passes ``quality != 1``."""
     d = _t(spark, sf, "documents").select("doc_id", "lang")
     lab = _t(spark, sf, "labels").select("doc_id", "quality")
-    return d.join(lab, "doc_id", "left").where(~F.col("quality").eqNullSafe(1)).select("doc_id", "lang")
+    sheet = as_sheet(d.join(lab, "doc_id", "left"), F.lit("wb"), "docs", "doc_id",
+                     {"lang": "lang", "quality": F.col("quality").cast("string")})
+    spec = {"items": [{"templateKey": "doc", "filter": "NOT (quality.value <=> '1')", "name": {"field": "lang"}}]}
+    return run_sheet(sheet, spec).items.select(F.col("row_idx").alias("doc_id"), F.col("name").alias("lang"))
 
 
 @query("head_guard", """
@@ -556,6 +598,85 @@ def head_guard(spark, sf):
     return res.items.select(F.col("workbook_id").alias("source"), F.col("row_idx").alias("doc_id"))
 
 
+@query("head_guard_generated", """
+SELECT o_orderpriority AS workbook_id, arg_min(o_orderstatus, (o_orderstatus, o_orderkey)) AS first_group
+FROM orders GROUP BY o_orderpriority
+""")
+def head_guard_generated(spark, sf):
+    """F3 after ``group_by``: the head is the first group by key, not that of the first row."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    sheet = as_sheet(o, F.col("o_orderpriority"), "orders", "o_orderkey", {"status": "o_orderstatus"})
+    spec = {"items": [{"templateKey": "g", "group_by": {"column": "status"}, "head_only": True, "filter": ".",
+                       "name": {"field": "status"}}]}
+    return run_sheet(sheet, spec).items.select("workbook_id", F.col("name").alias("first_group"))
+
+
+@query("filter_missing_column", """
+SELECT n_nationkey AS row_idx, n_name AS name FROM nation
+""")
+def filter_missing_column(spark, sf):
+    """F1 on a column that no sheet has: its cell is empty, so ``!= ''`` is true for each row."""
+    n = _t(spark, sf, "nation")
+    cells = sheet_to_cells(as_sheet(n, F.lit("wb"), F.lit("nations"), "n_nationkey", {"Name": "n_name"}), ["Name"])
+    spec = {"sheets": {"nations": {"items": [{"templateKey": "n", "filter": "NOT (Nope.value <=> '')", "name": {"field": "Name"}}]}}}
+    return run_transform(cells, spec).items.select("row_idx", "name")
+
+
+@query("computed_tolerant", """
+SELECT doc_id AS row_idx, CASE WHEN coalesce(TRY_CAST(mixed AS DOUBLE) > 100, FALSE) THEN 'big' ELSE 'other' END AS size_class
+FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN source ELSE CAST(n_chars AS VARCHAR) END AS mixed FROM documents) t
+""")
+def computed_tolerant(spark, sf):
+    """A condition that fails on one row is false for that row; the others are decided."""
+    d = _t(spark, sf, "documents").select("doc_id", "source", "n_chars")
+    mixed = F.when(F.col("doc_id") % 3 == 0, F.col("source")).otherwise(F.col("n_chars").cast("string"))
+    sheet = as_sheet(d, F.lit("wb"), "docs", "doc_id", {"Mixed": mixed, "Big": F.lit("big"), "Other": F.lit("other")})
+    spec = {"items": [{"templateKey": "d", "filter": ".", "name": "d", "fields": [
+        {"name": "Size", "computed": True, "condition": "CAST(Mixed.value AS DOUBLE) > 100", "value": "Big", "else_value": "Other"}]}]}
+    return run_flat(sheet, spec, ["Size"])[0].select("row_idx", F.col("Size").alias("size_class"))
+
+
+WORKBOOK_SQL = """
+WITH e AS (SELECT * FROM events),
+row_cells AS (
+  SELECT user_id, event_id, 'type' AS header, event_type AS value FROM e WHERE event_id % 4 <> 0
+  UNION ALL SELECT user_id, event_id, 'n', CASE WHEN event_id % 4 = 1 THEN 'second' ELSE CAST(event_id AS VARCHAR) END FROM e WHERE event_id % 4 <> 0)
+"""
+
+
+@query("workbook_json_cells", WORKBOOK_SQL + """
+SELECT CAST(user_id AS VARCHAR) AS workbook_id, CAST(o.pos AS BIGINT) AS row_idx, header, value
+FROM row_cells JOIN (SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS pos FROM e) o USING (event_id)
+""")
+def workbook_json_cells(spark, sf):
+    """A workbook document per user with blank rows (every fourth event), repeated keys (the
+    last one counts), a sheet that is no list and an empty one; odd parts stay alone."""
+    e = _t(spark, sf, "events").select("user_id", "event_id", "event_type")
+    quote = lambda c: F.concat(F.lit('{"value":"'), c, F.lit('"}'))
+    first = F.when(F.col("event_id") % 4 == 1, F.concat(F.lit('"n":'), quote(F.lit("first")), F.lit(","))).otherwise("")
+    last = F.when(F.col("event_id") % 4 == 1, F.lit("second")).otherwise(F.col("event_id").cast("string"))
+    row = F.when(F.col("event_id") % 4 == 0, F.lit("{}")).otherwise(
+        F.concat(F.lit("{"), first, F.lit('"type":'), quote(F.col("event_type")), F.lit(',"n":'), quote(last), F.lit("}")))
+    rows = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", row.alias("r")))).alias("rs"))
+    text = F.concat(F.lit('{"workbook":{"odd":{"x":1},"log":['), F.array_join(F.transform("rs", lambda x: x["r"]), ","),
+                    F.lit('],"none":[],"word":"oops"}}'))
+    docs = rows.select(F.col("user_id").cast("string").alias("workbook_id"), text.alias("value"))
+    return read_workbooks(docs).cells.select("workbook_id", "row_idx", "header", "value")
+
+
+@query("workbook_json_rows", """
+SELECT CAST(user_id AS VARCHAR) AS workbook_id, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY user_id
+""")
+def workbook_json_rows(spark, sf):
+    """Rows without cells are rows."""
+    e = _t(spark, sf, "events").select("user_id", "event_id")
+    row = F.when(F.col("event_id") % 2 == 0, F.lit("{}")).otherwise(F.lit('{"a":{"value":"1"}}'))
+    rows = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", row.alias("r")))).alias("rs"))
+    text = F.concat(F.lit('{"workbook":{"log":['), F.array_join(F.transform("rs", lambda x: x["r"]), ","), F.lit("]}}"))
+    docs = rows.select(F.col("user_id").cast("string").alias("workbook_id"), text.alias("value"))
+    return read_workbooks(docs).rows.groupBy("workbook_id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # ============================================================================================
 # P1-P13 projection
 # ============================================================================================
@@ -675,8 +796,8 @@ def expr_transform(spark, sf):
         {"name": "host", "value": "url", "transform": [["split", "/"], ["index", 2], ["ascii_downcase"]]},
         {"name": "query", "value": "url", "transform": [["split", "?"], ["index", 1], ["ascii_upcase"]]}]}]}
     flat, res = run_flat(sheet, spec, ["host", "query"])
-    errs = qa.error_values(res.fields).groupBy("item_id").agg(F.count("*").alias("is_err"))
-    return flat.join(errs, "item_id", "left").select(
+    errs = qa.error_values(res.fields).groupBy(*ITEM_KEY).agg(F.count("*").alias("is_err"))
+    return flat.join(errs, ITEM_KEY, "left").select(
         F.col("row_idx").alias("page_id"), "host", "query", F.coalesce("is_err", F.lit(0)).cast("int").alias("is_err"))
 
 
@@ -858,9 +979,9 @@ FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 def hierarchy_items(spark, sf):
     """R1 + P13 + W3: region -> nation -> customer items from one ordered sheet."""
     res = run_sheet(_hierarchy_sheet(spark, sf), HIERARCHY_SPEC)
-    n = res.fields.groupBy("item_id").agg(F.count("*").alias("n_fields"))
-    par = res.items.select(F.col("item_id").alias("parent_id"), F.col("name").alias("parent_name"))
-    return res.items.join(n, "item_id", "left").join(par, "parent_id", "left").select(
+    n = res.fields.groupBy(*ITEM_KEY).agg(F.count("*").alias("n_fields"))
+    par = res.items.select("workbook_id", "sheet", F.col("item_id").alias("parent_id"), F.col("name").alias("parent_name"))
+    return res.items.join(n, ITEM_KEY, "left").join(par, ["workbook_id", "sheet", "parent_id"], "left").select(
         "depth", "name", "parent_name", "template_key", F.coalesce("n_fields", F.lit(0)).cast("bigint").alias("n_fields"))
 
 

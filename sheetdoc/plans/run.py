@@ -20,9 +20,7 @@ from ..operators import quality as qa
 from ..operators.segment import DEFAULT_BLOCK_ROWS
 from ..session import materialize
 from .pipeline import FIELDS_DDL, ITEMS_DDL, run_sheet
-from .spec import require_spec
-
-MAX_HEADERS = 100_000
+from .spec import referenced_headers, require_spec
 
 
 @dataclass
@@ -36,12 +34,13 @@ class RunResult:
     warnings: list[str] = field(default_factory=list)
 
 
-def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, DataFrame, dict[str, int]]:
+def select_sheets(cells: DataFrame, spec: dict, sheets: DataFrame | None = None) -> tuple[list[str], DataFrame, DataFrame, dict[str, int]]:
     """S3: sheets to process in listed order (default: all spec sheets).
 
     Returns (spec sheet names to run, ``sheets(workbook_id, sheet, sheet_ord)`` present in the
     data, report ``(workbook_id, sheet, status)`` for sheets skipped: no definition, or missing
-    from a workbook), and each run sheet's position. A sheet listed twice runs once.
+    from a workbook), and each run sheet's position. A sheet listed twice runs once. ``sheets``
+    (workbook_id, sheet) names the sheets there are, with those that have no cells.
     """
     spark = cells.sparkSession
     defs = spec.get("sheets", {}) or {}
@@ -53,7 +52,7 @@ def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, D
             order.append(s)
     wanted = spark.createDataFrame([(s, i, s in defs) for i, s in enumerate(order)],
                                    "sheet string, sheet_ord int, has_def boolean")
-    present = cells.select("workbook_id", "sheet").distinct()
+    present = (cells if sheets is None else sheets).select("workbook_id", "sheet").distinct()
     # The listed-sheet frame is bounded by the spec: broadcasting it is safe.
     sheets = present.join(F.broadcast(wanted.where("has_def")), "sheet").select("workbook_id", "sheet", "sheet_ord")
     # Report per workbook without a cross join: the set of sheets a workbook has is small
@@ -68,37 +67,30 @@ def select_sheets(cells: DataFrame, spec: dict) -> tuple[list[str], DataFrame, D
         s: i for i, s in enumerate(order) if s in defs}
 
 
-def sheet_headers(cells: DataFrame, sheet: str, sheet_spec: dict) -> list[str]:
-    """Headers to widen: declared in the spec (``source_structure.columns``) or discovered.
-
-    Discovery is one small aggregate (distinct header names = schema, not data)."""
-    declared = (sheet_spec.get("source_structure", {}) or {}).get("columns")
-    if declared:
-        return list(declared)
-    hs = [r[0] for r in cells.where(F.col("sheet") == sheet).select("header").distinct().limit(MAX_HEADERS + 1).collect()]
-    if len(hs) > MAX_HEADERS:
-        raise ValueError(f"sheet {sheet!r} has more than {MAX_HEADERS} headers; declare source_structure.columns")
-    return sorted(hs)
-
-
 def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
-                  block_rows: int | None = DEFAULT_BLOCK_ROWS, relations: DataFrame | None = None) -> RunResult:
-    """R2 over a corpus of workbooks. ``relations`` (from ``plans.extract.run_extract``) enables
-    ``dynamic_fields.source: "__MAPPED_<sheet>"``."""
+                  block_rows: int | None = DEFAULT_BLOCK_ROWS, relations: DataFrame | None = None,
+                  rows: DataFrame | None = None, sheets: DataFrame | None = None,
+                  mapped: DataFrame | None = None) -> RunResult:
+    """R2 over a corpus of workbooks. ``relations`` (from ``plans.extract.run_extract``) or
+    ``mapped`` (from ``sources.workbook_json.read_workbooks``) enables
+    ``dynamic_fields.source: "__MAPPED_<sheet>"``. ``rows`` and ``sheets`` name the rows and sheets
+    there are, so that blank rows and empty sheets count; without them a row or sheet exists where
+    it has cells."""
     spark = cells.sparkSession
     require_spec(spec)
-    names, sheets, report, ords = select_sheets(cells, spec)
+    names, chosen_sheets, report, ords = select_sheets(cells, spec, sheets)
     defs = spec.get("sheets", {}) or {}
     items, fields, viols, warnings = [], [], [], []
     for s in names:
         sdef = defs[s] or {}
-        rows = cells_to_sheet(cells.where(F.col("sheet") == s), sheet_headers(cells, s, sdef))
+        own = F.col("sheet") == s
+        frame = cells_to_sheet(cells.where(own), referenced_headers(sdef), rows.where(own) if rows is not None else None)
         defs_top = sdef.get("items", []) or []
         if len(defs_top) > 1 or any(d.get("scope_children") or d.get("templateKey") == "group" for d in defs_top):
             # Several definitions (each checkpointed scope is its own job) read the same widened
             # sheet: widen once.
-            rows = materialize(rows)
-        res = run_sheet(rows, sdef, block_rows=block_rows, strict=False, cells=cells, relations=relations)
+            frame = materialize(frame)
+        res = run_sheet(frame, sdef, block_rows=block_rows, strict=False, cells=cells, relations=relations, mapped=mapped)
         items.append(res.items)
         fields.append(res.fields)
         viols.append(res.violations)
@@ -109,6 +101,6 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     qa.enforce(vi, strict)
     # items/fields feed several aggregates and joins of the document writer: materialize once.
     it, fl = materialize(it), materialize(fl)
-    frags = doc.document_fragments(it, fl, sheets, {s: (defs[s] or {}).get(SPEC_CONFIG_KEY, {}) for s in names},
+    frags = doc.document_fragments(it, fl, chosen_sheets, {s: (defs[s] or {}).get(SPEC_CONFIG_KEY, {}) for s in names},
                                    sheet_ords=ords)
-    return RunResult(it, fl, vi, frags, sheets, report, warnings)
+    return RunResult(it, fl, vi, frags, chosen_sheets, report, warnings)

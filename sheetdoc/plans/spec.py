@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 
 class SpecError(ValueError):
     """The transform spec is not usable."""
@@ -32,3 +34,41 @@ def load_spec(path: str) -> dict:
 
     with open(path, encoding="utf-8") as fh:
         return require_spec(yaml.safe_load(fh))
+
+
+#: A cell of a SQL expression: a name, plain or in backquotes, with one of its parts.
+_CELL_IN_SQL = re.compile(r"(`(?:[^`]|``)+`|[A-Za-z_]\w*)\s*\.\s*(?:value|annotation)\b")
+_QUOTED = re.compile(r"`((?:[^`]|``)+)`")
+
+#: Keys of a definition under which texts name columns.
+_NAMING = {"field", "value", "else_value", "column", "columns", "group_by", "name_from", "value_from", "on", "column_base", "column_data"}
+
+
+def referenced_headers(sheet_spec: dict) -> list[str]:
+    """Every header that a sheet definition can read, from the spec alone.
+
+    The texts in its item definitions that name columns, the cells that filters and conditions
+    mention, the base and data columns. A name that a sheet lacks only gives empty cells."""
+    found: set[str] = set()
+
+    def sql(text: str) -> None:
+        found.update(n.strip("`").replace("``", "`") for n in _CELL_IN_SQL.findall(text))
+        found.update(n.replace("``", "`") for n in _QUOTED.findall(text))
+
+    def walk(part, named: bool = False) -> None:
+        if isinstance(part, dict):
+            for key, value in part.items():
+                if key in ("filter", "condition"):
+                    sql(str(value))
+                else:
+                    walk(value, key in _NAMING)
+        elif isinstance(part, (list, tuple)):
+            for value in part:
+                walk(value, named)
+        elif named and isinstance(part, str):
+            found.add(part.removeprefix("$annotation:"))
+
+    structure = sheet_spec.get("source_structure", {}) or {}
+    walk(sheet_spec.get("items", []))
+    walk({k: structure.get(k) for k in ("column_base", "column_data", "columns")})
+    return sorted(h for h in found if h and not h.startswith(("$", "__")) and h not in ("workbook_id", "sheet", "row_idx"))

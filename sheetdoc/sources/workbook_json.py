@@ -1,9 +1,14 @@
-"""Workbook-JSON documents -> long ``cells`` table; V4 structure check on the same text.
+"""Workbook-JSON documents -> long ``cells``, ``rows``, ``sheets`` and attached relations.
 
 A document is ``{"<workbook_key>": {<sheet>: [ {<header>: {"value": .., "annotation"?: ..}}, ..]}}``.
 If the key is absent the top object itself is the workbook; a top-level list serves as the rows
-of every sheet the caller asks for. Map types keep sheet and column order (a variant would
-sort keys), cells are variants so one odd cell cannot null a sheet.
+of every sheet the caller asks for. Each level is parsed on its own from the text of the level
+above, so an odd part (a sheet that is no list, a row that is no object, a cell of another shape)
+affects only itself. Order is kept; of a repeated key the last value counts, at the place of the
+first, as in a Python dict.
+
+Rows without cells and sheets without rows have no cells, so they are frames of their own. An array
+under a ``__MAPPED_<sheet>`` key (the related rows that extraction attaches) becomes ``mapped``.
 
 Each document is one task (whole-text read); a corpus is many documents, so tasks scale with
 the corpus. For very large workbooks store ``cells`` as Parquet and read that instead.
@@ -11,12 +16,28 @@ the corpus. For very large workbooks store ``cells`` as Parquet and read that in
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import MAPPED_PREFIX
 from ..model import CELLS_SCHEMA
 
-ROWS_T = "array<map<string,variant>>"
+OBJECT, LIST, CELL = "map<string,string>", "array<string>", "struct<value:string,annotation:string>"
+POSITION = ["workbook_id", "sheet", "sheet_ord", "row_idx"]
+
+
+@dataclass
+class Workbooks:
+    """``cells``; ``rows`` (workbook_id, sheet, sheet_ord, row_idx) and ``sheets`` (workbook_id,
+    sheet, sheet_ord) with the blank and empty ones; ``mapped`` (workbook_id, sheet, row_idx,
+    attach, ord, header, value, annotation): cells of related rows, in order."""
+
+    cells: DataFrame
+    rows: DataFrame
+    sheets: DataFrame
+    mapped: DataFrame
 
 
 def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -25,38 +46,70 @@ def read_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(F.input_file_name().alias("workbook_id"), "value")
 
 
-def _cell_value(v: Column) -> Column:
-    obj = F.try_variant_get(v, "$.value", "string")
-    scalar = F.when(~F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.try_variant_get(v, "$", "string"))
-    return F.coalesce(obj, scalar, F.lit(""))
+def _opens(text: Column, bracket: str) -> Column:
+    return F.coalesce(F.ltrim(text).startswith(bracket), F.lit(False))
+
+
+def _members(text: Column) -> Column:
+    """``array<struct<key, value>>`` of a JSON object's members with the text of each value (of a
+    string its content); NULL if it is no object. Of a repeated key the last value stays."""
+    entries = F.map_entries(F.from_json(F.when(_opens(text, "{"), text), OBJECT))
+    keys = F.transform(entries, lambda e: e["key"])
+    last = F.transform(
+        F.array_distinct(keys),
+        lambda k: F.struct(k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value")),
+    )
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last)
+
+
+def _elements(text: Column) -> Column:
+    return F.from_json(F.when(_opens(text, "["), text), LIST)
+
+
+def _cell(text: Column) -> Column:
+    """A cell object's value and annotation; any other value is the text of a plain cell."""
+    whole = _opens(text, "{") & F.from_json(text, OBJECT).isNotNull()
+    obj = F.from_json(F.when(whole, text), CELL)
+    return F.struct(
+        F.coalesce(F.when(whole, F.coalesce(obj["value"], F.lit(""))), text, F.lit("")).alias("value"),
+        obj["annotation"].alias("annotation"),
+    )
+
+
+def read_workbooks(docs: DataFrame, workbook_key: str = "workbook", text_col: str = "value",
+                   list_sheets: list[str] | None = None) -> Workbooks:
+    """Parse documents ``(workbook_id, <text_col>)`` into the frames of ``Workbooks``."""
+    text = F.col(text_col)
+    top = _members(text)
+    keyed = F.filter(top, lambda e: e["key"] == workbook_key)
+    of_key = _members(F.element_at(F.transform(keyed, lambda e: e["value"]), 1))
+    book = F.when(F.size(keyed) > 0, of_key).otherwise(top)
+    if list_sheets:
+        listed = F.array(*[F.struct(F.lit(s).alias("key"), text.alias("value")) for s in list_sheets])
+        book = F.when(_opens(text, "["), listed).otherwise(book)
+    found = docs.select("workbook_id", F.posexplode(book).alias("sheet_ord", "e"))
+    parsed = found.select("workbook_id", F.col("e.key").alias("sheet"), F.col("sheet_ord").cast("int").alias("sheet_ord"),
+                          _elements(F.col("e.value")).alias("list")).where("list IS NOT NULL")
+    rows = parsed.select("workbook_id", "sheet", "sheet_ord", F.posexplode("list").alias("row_idx", "text"))
+    rows = rows.withColumn("row_idx", F.col("row_idx").cast("bigint"))
+    members = rows.select(*POSITION, F.posexplode(_members(F.col("text"))).alias("col_idx", "c")).select(
+        *POSITION, (F.col("col_idx") + 1).cast("int").alias("col_idx"), F.col("c.key").alias("header"), F.col("c.value").alias("text"))
+    is_list = _opens(F.col("text"), "[") & _elements(F.col("text")).isNotNull()
+    attached = F.col("header").startswith(MAPPED_PREFIX) & is_list
+    cells = members.where(~is_list).withColumn("cell", _cell(F.col("text"))).select(
+        *POSITION, "col_idx", "header", "cell.value", "cell.annotation")
+    related = members.where(attached).select(
+        "workbook_id", "sheet", "row_idx", F.col("header").alias("attach"), F.posexplode(_elements(F.col("text"))).alias("ord", "text"))
+    mapped = related.select("workbook_id", "sheet", "row_idx", "attach", "ord", F.explode(_members(F.col("text"))).alias("c")).select(
+        "workbook_id", "sheet", "row_idx", "attach", "ord", F.col("c.key").alias("header"), _cell(F.col("c.value")).alias("cell"),
+    ).select("workbook_id", "sheet", "row_idx", "attach", "ord", "header", "cell.value", "cell.annotation")
+    return Workbooks(cells, rows.select(*POSITION), parsed.select("workbook_id", "sheet", "sheet_ord"), mapped)
 
 
 def documents_to_cells(docs: DataFrame, workbook_key: str = "workbook", text_col: str = "value",
                        list_sheets: list[str] | None = None) -> DataFrame:
-    """Parse documents and explode to cells with positions (sheet_ord, row_idx, col_idx)."""
-    t = F.col(text_col)
-    keyed = F.from_json(t, f"struct<`{workbook_key}`: map<string,{ROWS_T}>>").getField(workbook_key)
-    bare = F.from_json(t, f"map<string,{ROWS_T}>")
-    as_list = F.from_json(t, ROWS_T)
-    is_list = F.ltrim(t).startswith("[")
-    has_key = F.try_variant_get(F.try_parse_json(t), f"$['{workbook_key}']", "variant").isNotNull()
-    if list_sheets:
-        listed = F.map_from_arrays(F.array(*[F.lit(s) for s in list_sheets]),
-                                   F.array(*[as_list for _ in list_sheets]))
-    else:
-        listed = F.lit(None).cast(f"map<string,{ROWS_T}>")
-    wb = F.when(is_list, listed).when(has_key, keyed).otherwise(bare)
-    sheets = docs.select("workbook_id", F.posexplode(F.map_entries(wb)).alias("sheet_ord", "e")).select(
-        "workbook_id", F.col("sheet_ord").cast("int"), F.col("e.key").alias("sheet"), F.col("e.value").alias("rows"))
-    rows = sheets.select("workbook_id", "sheet", "sheet_ord", F.posexplode("rows").alias("row_idx", "r"))
-    cells = rows.select("workbook_id", "sheet", "sheet_ord", F.col("row_idx").cast("bigint"),
-                        F.posexplode(F.map_entries("r")).alias("col_idx", "c"))
-    return cells.select(
-        "workbook_id", "sheet", "sheet_ord", "row_idx", (F.col("col_idx") + 1).cast("int").alias("col_idx"),
-        F.col("c.key").alias("header"),
-        _cell_value(F.col("c.value")).alias("value"),
-        F.try_variant_get(F.col("c.value"), "$.annotation", "string").alias("annotation"),
-    ).where(~F.schema_of_variant(F.col("c.value")).startswith("ARRAY"))
+    """The ``cells`` of ``read_workbooks``."""
+    return read_workbooks(docs, workbook_key, text_col, list_sheets).cells
 
 
 def cells_from_python(spark: SparkSession, workbook: dict, workbook_id: str = "wb") -> DataFrame:

@@ -4,8 +4,8 @@ arrive, with Structured Streaming.
 This is the batch transform (R2) run per micro-batch through ``foreachBatch``: each new file
 is one workbook; items, fields, violations and the ordered document fragments are written under
 ``<output>/<table>/batch_id=<n>`` with overwrite, so a replayed batch (after a failure) rewrites
-the same folder - idempotent, exactly-once output. Stream progress lives in a checkpoint folder
-under the shared ``spark.checkpoint.dir`` unless one is given.
+the same folder. Stream progress lives in the checkpoint folder that the caller names: it has to
+outlive the process, since a stream started with an empty one numbers its batches from 0 again.
 """
 
 from __future__ import annotations
@@ -16,9 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.document import write_documents
 from ..plans.run import run_transform
-from ..session import ensure_checkpoint_dir
 from ..sources.sinks import flat_fields
-from ..sources.workbook_json import documents_to_cells
+from ..sources.workbook_json import read_workbooks
 
 
 def document_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,15 +29,13 @@ def document_stream(spark: SparkSession, input_dir: str, max_files_per_trigger:
 
 
 def start_transform_stream(spark: SparkSession, input_dir: str, spec: dict, output_dir: str,
-                           checkpoint: str | None = None, workbook_key: str = "workbook",
+                           checkpoint: str, workbook_key: str = "workbook",
                            available_now: bool = False, query_name: str = "sheetdoc_transform",
                            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental transform; returns the running query."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{query_name}"
-
     def batch(df: DataFrame, batch_id: int) -> None:
-        cells = documents_to_cells(df, workbook_key)
-        res = run_transform(cells, spec)
+        books = read_workbooks(df, workbook_key)
+        res = run_transform(books.cells, spec, rows=books.rows, sheets=books.sheets, mapped=books.mapped)
         part = f"batch_id={batch_id}"
         res.items.write.mode("overwrite").parquet(f"{output_dir}/items/{part}")
         flat_fields(res.fields).write.mode("overwrite").parquet(f"{output_dir}/fields/{part}")
@@ -46,6 +43,6 @@ def start_transform_stream(spark: SparkSession, input_dir: str, spec: dict, outp
         write_documents(res.fragments, f"{output_dir}/documents/{part}")
 
     w = document_stream(spark, input_dir, max_files_per_trigger).writeStream.foreachBatch(batch).option(
-        "checkpointLocation", ckpt)
+        "checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
     return w.queryName(query_name).start()

@@ -40,7 +40,7 @@ def test_documents_split_across_parts_reassemble(spark):
 def test_json_escaping_round_trips(spark):
     import json as _json
 
-    from sheetdoc.operators.document import assemble_small
+    from assemble import assemble_small
     from sheetdoc.plans.run import run_transform
     from sheetdoc.sources.sinks import workbook_json_fragments
     from sheetdoc.sources.workbook_json import cells_from_python

@@ -3,7 +3,7 @@
 import json
 import tempfile
 
-from sheetdoc.operators.document import assemble_small
+from assemble import assemble_small
 from sheetdoc.plans.extract import run_extract
 from sheetdoc.plans.run import run_transform
 from sheetdoc.sources.sinks import workbook_json_fragments, write_cells
@@ -14,32 +14,32 @@ GRID_DDL = ("workbook_id string, sheet string, sheet_ord int, row int, col int,
 
 def test_extract_then_transform_with_relations(spark):
     g = [
-        # sheet colors: key column with a hint that normalisation keeps (ends in (Key))
-        ("w", "colors", 0, 1, 1, "Color ID (Key)", None, None), ("w", "colors", 0, 1, 2, "Name (drop)", None, None),
-        ("w", "colors", 0, 2, 1, "C-001", None, None), ("w", "colors", 0, 2, 2, " Red ", "Ann:\nnice", "Ann"),
-        ("w", "colors", 0, 3, 1, "C-002", None, None), ("w", "colors", 0, 3, 2, "Blue", None, None),
-        # sheet cars: rows 2-3 are one vertical merge group over column 1
-        ("w", "cars", 1, 1, 1, "Car", None, None), ("w", "cars", 1, 1, 2, "[MAP] C-001 (link)", None, None),
-        ("w", "cars", 1, 1, 3, "[MAP] C-002", None, None),
-        ("w", "cars", 1, 2, 1, "Sedan", None, None), ("w", "cars", 1, 2, 2, "YES", None, None),
-        ("w", "cars", 1, 2, 3, "", None, None),
-        ("w", "cars", 1, 3, 1, None, None, None), ("w", "cars", 1, 3, 2, "x", None, None),
-        ("w", "cars", 1, 3, 3, "nan", None, None),
-        ("w", "cars", 1, 4, 1, "Coupe", None, None), ("w", "cars", 1, 4, 2, "no", None, None),
-        ("w", "cars", 1, 4, 3, "y", None, None),
+        # sheet herbs: key column with a hint that normalisation keeps (ends in (Key))
+        ("w", "herbs", 0, 1, 1, "Herb (Key)", None, None), ("w", "herbs", 0, 1, 2, "Name (drop)", None, None),
+        ("w", "herbs", 0, 2, 1, "basil", None, None), ("w", "herbs", 0, 2, 2, " Green ", "Ann:\nnice", "Ann"),
+        ("w", "herbs", 0, 3, 1, "thyme", None, None), ("w", "herbs", 0, 3, 2, "Grey", None, None),
+        # sheet dishes: rows 2-3 are one vertical merge group over column 1
+        ("w", "dishes", 1, 1, 1, "Dish", None, None), ("w", "dishes", 1, 1, 2, "[MAP] basil (link)", None, None),
+        ("w", "dishes", 1, 1, 3, "[MAP] thyme", None, None),
+        ("w", "dishes", 1, 2, 1, "Soup", None, None), ("w", "dishes", 1, 2, 2, "YES", None, None),
+        ("w", "dishes", 1, 2, 3, "", None, None),
+        ("w", "dishes", 1, 3, 1, None, None, None), ("w", "dishes", 1, 3, 2, "x", None, None),
+        ("w", "dishes", 1, 3, 3, "nan", None, None),
+        ("w", "dishes", 1, 4, 1, "Stew", None, None), ("w", "dishes", 1, 4, 2, "no", None, None),
+        ("w", "dishes", 1, 4, 3, "y", None, None),
     ]
     grid = spark.createDataFrame(g, GRID_DDL)
-    merges = spark.createDataFrame([("w", "cars", 2, 3, 1, 1)],
+    merges = spark.createDataFrame([("w", "dishes", 2, 3, 1, 1)],
                                    "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
     ex = run_extract(grid, merges, block_rows=4)
     cells = {(c.sheet, c.row_idx, c.header): (c.value, c.annotation) for c in ex.cells.collect()}
-    assert cells[("colors", 0, "Name")] == ("Red", "nice")
-    assert cells[("cars", 0, "Car")] == ("Sedan", None)           # merged group rows 0-1 collapsed
-    assert cells[("cars", 0, "[MAP] C-001")] == ("YES, x", None)  # distinct ordered concat
-    assert cells[("cars", 0, "[MAP] C-002")] == ("", None)        # "" and "nan" dropped
-    assert ("cars", 1, "Car") not in cells
+    assert cells[("herbs", 0, "Name")] == ("Green", "nice")
+    assert cells[("dishes", 0, "Dish")] == ("Soup", None)           # merged group rows 0-1 collapsed
+    assert cells[("dishes", 0, "[MAP] basil")] == ("YES, x", None)  # distinct ordered concat
+    assert cells[("dishes", 0, "[MAP] thyme")] == ("", None)        # "" and "nan" dropped
+    assert ("dishes", 1, "Dish") not in cells
     rel = sorted((r.target_key, r.source_row, r.map_value) for r in ex.relations.collect())
-    assert rel == [("C-001", 0, "YES, X"), ("C-002", 2, "Y")]
+    assert rel == [("basil", 0, "YES, X"), ("thyme", 2, "Y")]
     assert [tuple(r) for r in ex.report.select("edges", "matched", "unmatched").collect()] == [(2, 2, 0)]
 
     out = tempfile.mkdtemp(prefix="sheetdoc-cells-", dir="/tmp")
@@ -47,24 +47,24 @@ def test_extract_then_transform_with_relations(spark):
     assert spark.read.parquet(out).count() == ex.cells.count()
 
     doc = json.loads(assemble_small(workbook_json_fragments(ex.cells)))
-    assert list(doc["workbook"]) == ["colors", "cars"]
-    assert doc["workbook"]["colors"][0] == {"Color ID (Key)": {"value": "C-001"},
-                                            "Name": {"value": "Red", "annotation": "nice"}}
+    assert list(doc["workbook"]) == ["herbs", "dishes"]
+    assert doc["workbook"]["herbs"][0] == {"Herb (Key)": {"value": "basil"},
+                                            "Name": {"value": "Green", "annotation": "nice"}}
 
     doc = json.loads(assemble_small(workbook_json_fragments(ex.cells, relations=ex.relations)))
-    assert doc["workbook"]["colors"][0]["__MAPPED_cars"] == [
-        {"Car": {"value": "Sedan"}, "[MAP] C-001": {"value": "YES, x"}, "[MAP] C-002": {"value": ""},
+    assert doc["workbook"]["herbs"][0]["__MAPPED_dishes"] == [
+        {"Dish": {"value": "Soup"}, "[MAP] basil": {"value": "YES, x"}, "[MAP] thyme": {"value": ""},
          "__MAP_VALUE__": "YES, X"}]
-    assert [r["Car"]["value"] for r in doc["workbook"]["colors"][1]["__MAPPED_cars"]] == ["Coupe"]
-    assert "__MAPPED_cars" not in doc["workbook"]["cars"][0]
+    assert [r["Dish"]["value"] for r in doc["workbook"]["herbs"][1]["__MAPPED_dishes"]] == ["Stew"]
+    assert "__MAPPED_dishes" not in doc["workbook"]["dishes"][0]
 
-    spec = {"sheets": {"colors": {"items": [{
-        "templateKey": "color", "filter": ".", "name": {"field": "Color ID (Key)"},
-        "dynamic_fields": {"source": "__MAPPED_cars", "name_from": "Car", "value_from": "__MAP_VALUE__"}}]}}}
+    spec = {"sheets": {"herbs": {"items": [{
+        "templateKey": "herb", "filter": ".", "name": {"field": "Herb (Key)"},
+        "dynamic_fields": {"source": "__MAPPED_dishes", "name_from": "Dish", "value_from": "__MAP_VALUE__"}}]}}}
     res = run_transform(ex.cells, spec, relations=ex.relations)
     items = json.loads(assemble_small(res.fragments))[0]["items"]
     assert [(i["name"], [(f["name"], f["value"]) for f in i["fields"]]) for i in items] == [
-        ("C-001", [("Sedan", "YES, X")]), ("C-002", [("Coupe", "Y")])]
+        ("basil", [("Soup", "YES, X")]), ("thyme", [("Stew", "Y")])]
 
 
 def test_extract_job_entry_point(spark, tmp_path):

@@ -68,8 +68,8 @@ def test_headers(spark):
     cases = [("Powertrain ID (Key)", "Powertrain ID (Key)"), ("Revision Date (this is a hint)", "Revision Date"),
              ("Name (hint1) (hint2)", "Name"), ("(hint) Revision Date", "(hint) Revision Date"),
              ("Type (Drop)", "Type"), ("Details (Modal Copy)", "Details"),
-             ("CTA Link (updated by content team)", "CTA Link"), ("[MAP] C-001 (link to colors)", "[MAP] C-001"),
-             ("[MAP] C-001", "[MAP] C-001"), ("[MAP] model-a-spec (Reference)", "[MAP] model-a-spec"),
+             ("Net weight (as sold) (kg)", "Net weight"), ("[MAP] basil (fresh only)", "[MAP] basil"),
+             ("[MAP] thyme", "[MAP] thyme"), ("[MAP] bay-leaf (dried)", "[MAP] bay-leaf"),
              (None, None), ("Unnamed: 0", "Unnamed: 0"), ("Engine", "Engine"), ("Color ID (Key)", "Color ID (Key)"),
              # A hint after (Key) strips both
              ("X (Key) (hint)", "X"), ("[map] a (b) (c)", "[map] a"), ("[MAP] (only)", "[MAP]"),

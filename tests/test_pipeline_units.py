@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from sheetdoc.operators.document import assemble_small
+from assemble import assemble_small
 from sheetdoc.operators.quality import RequiredFieldError
 from sheetdoc.plans.run import run_transform
 from sheetdoc.sources.workbook_json import cells_from_python

@@ -5,7 +5,9 @@ import json
 import os
 import tempfile
 
-from fixtures import EDGE_SPEC, EDGE_WORKBOOK
+from fixtures import NURSERY, SPEC_FILE
+
+from sheetdoc.plans.spec import load_spec
 
 from sheetdoc.streaming.corpus import start_transform_stream
 
@@ -14,19 +16,19 @@ def test_stream_transforms_landed_workbooks(spark):
     base = tempfile.mkdtemp(prefix="sheetdoc-stream-", dir="/tmp")
     land, out = os.path.join(base, "in"), os.path.join(base, "out")
     os.makedirs(land)
-    small = {"nested_scope": EDGE_WORKBOOK["nested_scope"], "jq_null": EDGE_WORKBOOK["jq_null"]}
+    small = {name: NURSERY[name] for name in ("beds", "orders")}
     for name in ("a", "b"):
         with open(os.path.join(land, f"{name}.json"), "w") as fh:
             json.dump({"workbook": small}, fh)
-    spec = {"input": {"sheets": ["nested_scope", "jq_null"]},
-            "sheets": {k: EDGE_SPEC["sheets"][k] for k in ("nested_scope", "jq_null")}}
+    whole = load_spec(SPEC_FILE)
+    spec = {"input": {"sheets": ["beds", "orders"]}, "sheets": {k: whole["sheets"][k] for k in ("beds", "orders")}}
     q = start_transform_stream(spark, land, spec, out, checkpoint=os.path.join(base, "ckpt"), available_now=True)
     q.awaitTermination(300)
     items = spark.read.parquet(os.path.join(out, "items"))
     assert items.select("workbook_id").distinct().count() == 2
-    assert items.where("depth = 1 AND sheet = 'nested_scope'").count() == 4
+    assert items.where("depth = 1 AND sheet = 'beds'").count() == 4
     # each workbook's document parts, concatenated in order, are the JSON document
     for wb_dir in glob.glob(os.path.join(out, "documents", "batch_id=*", "workbook_id=*")):
         text = "".join(open(f).read().replace("\n", "") for f in sorted(glob.glob(os.path.join(wb_dir, "part-*"))))
         docs = json.loads(text)
-        assert [len(d["items"]) for d in docs] == [2, 1]
+        assert [len(d["items"]) for d in docs] == [2, 2]
