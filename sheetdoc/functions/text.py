@@ -135,12 +135,13 @@ def regex_capture(c, pattern: str) -> Column:
 def strict_json(c) -> Column:
     """Parse JSON text to a variant, NULL unless the *whole* text is one JSON value.
 
-    Spark's parsers stop after the first value and ignore what follows; wrapping the text in
-    ``[...]`` makes trailing text or a truncated value a syntax error, and the element count
-    must be one. (A text such as ``1] [2`` still slips through; documented.)"""
+    Spark's parsers stop after the first value and ignore what follows. So the text has to parse
+    both as the only element of an array and as the only member of an object: whatever follows a
+    first value could end one of the two, never both."""
     t = col_(c).cast("string")
-    wrapped = F.concat(F.lit("["), t, F.lit("]"))
-    return F.when(F.json_array_length(wrapped) == 1, F.try_parse_json(t))
+    in_list = F.json_array_length(F.concat(F.lit("["), t, F.lit("]"))) == 1
+    in_object = F.try_parse_json(F.concat(F.lit('{"v":'), t, F.lit("}"))).isNotNull()
+    return F.when(in_list & in_object, F.try_parse_json(t))
 
 
 def json_promote(c) -> Column:

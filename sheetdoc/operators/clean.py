@@ -64,15 +64,15 @@ def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     """
     headers = grid.where(F.col("row") == 1).select(*K, "col", normalize_header(F.col("text")).alias("header")).where(
         keep_header(F.col("header")))
-    body = grid.where(F.col("row") >= 2)
     ann = F.when(F.coalesce(F.col("comment"), F.lit("")) != "",
                  tx.parse_annotation(F.col("comment"), F.col("comment_author")))
-    cells = body.select(*K, "row", "col", tx.clean_value(F.col("text")).alias("value"), ann.alias("annotation"))
+    cells = grid.select(*K, "row", "col", tx.clean_value(F.col("text")).alias("value"), ann.alias("annotation"))
     if merges is not None:
         cells = fill_merged(cells, merges)
     else:
         cells = cells.withColumn("is_merged", F.lit(False))
-    j = cells.join(headers, [*K, "col"])
+    # a range that begins in the header row copies the header's text, so that row leaves only now
+    j = cells.where(F.col("row") >= 2).join(headers, [*K, "col"])
     out = j.select(*K, (F.col("row") - 2).cast("bigint").alias("row_idx"), F.col("col").cast("int").alias("col_idx"),
                    "header", "value", "annotation", "is_merged")
     return resolve_duplicate_headers(out)
@@ -82,7 +82,8 @@ def fill_merged(cells: DataFrame, merges: DataFrame) -> DataFrame:
     """Every data cell a merged range covers takes the range's top-left cell.
 
     Ranges expand to covered (row, col) pairs (``sequence`` x ``sequence``) and join on
-    equality - no range join. Header-row parts and positions outside the grid are ignored.
+    equality - no range join. ``cells`` has the header row, which is read but never filled;
+    positions outside the grid are ignored.
     Overlapping ranges (not possible in
     a real workbook) resolve to the range with the greatest (min_row, min_col)."""
     tl = merges.join(cells.select(*K, F.col("row").alias("min_row"), F.col("col").alias("min_col"),

@@ -74,6 +74,15 @@ def test_merge_islands_and_fill(spark):
     assert (5, 1) not in filled
 
 
+def test_merge_that_begins_in_the_header_row(spark):
+    grid = spark.createDataFrame(
+        [("w", "s", r, c, t, None, None) for r, c, t in ((1, 1, " Size (cm)"), (1, 2, "Kind"), (2, 1, None), (2, 2, "x"), (3, 1, "9"), (3, 2, "y"))],
+        "workbook_id string, sheet string, row int, col int, text string, comment string, comment_author string")
+    merges = spark.createDataFrame([("w", "s", 1, 2, 1, 1)], "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
+    got = {(c.row_idx, c.header): c.value for c in clean.build_cells(grid, merges).collect()}
+    assert got == {(0, "Size"): "Size (cm)", (0, "Kind"): "x", (1, "Size"): "9", (1, "Kind"): "y"}
+
+
 def test_build_cells_from_grid(spark):
     grid = spark.createDataFrame([
         ("w", "s", 1, 1, "Name (hint)", None, None), ("w", "s", 1, 2, "Unnamed: 1", None, None),

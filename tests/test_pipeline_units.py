@@ -1,5 +1,4 @@
-"""Transform-spec units retyped from the reference's transformer tests (one cell sheets,
-group/EAV sheets, names, config, sheet selection). Expected values derived from its code."""
+"""Transform-spec units: one cell sheets, group/EAV sheets, names, config, sheet selection."""
 
 import json
 
@@ -240,3 +239,29 @@ def test_group_by_keeps_empty_key_and_sorts_by_key(spark):
     docs, _ = run(spark, EAV, items)
     got = [(i["name"], [f["name"] for f in i["fields"]]) for i in docs[0]["items"]]
     assert got == [("", ["Orphan"]), ("Api", ["Count"]), ("Auth", ["Tipo", "Version"])]
+
+
+def test_promoted_json_is_written_as_it_stands(spark):
+    texts = ['[1.0, {"b": 1, "a": 12345678901234567890123456789012345678901234567890}]', "[1]] [[2]", '{"a":1}} {"b":2', "[2", " {} "]
+    docs, res = run(spark, [{"J": {"value": t}} for t in texts], [{"templateKey": "item", "filter": ".", "fields": [{"name": "J", "value": "J"}]}])
+    got = [i["fields"][0]["value"] for i in docs[0]["items"]]
+    assert got == [json.loads(texts[0]), *texts[1:4], {}]
+    assert '"b": 1, "a": 12345678901234567890123456789012345678901234567890' in assemble_small(res.fragments)
+
+
+def test_condition_errors_are_false_for_their_row(spark):
+    rows = [{"A": {"value": v}} for v in ("7", "abc", "3", "")]
+    fields = [{"name": "F", "computed": True, "condition": "CAST(A.value AS DOUBLE) > 5", "value": True, "else_value": False}]
+    docs, _ = run(spark, rows, [{"templateKey": "item", "filter": ".", "fields": fields}])
+    assert [i["fields"][0]["value"] for i in docs[0]["items"]] == [True, False, False, False]
+    docs, _ = run(spark, rows, [{"templateKey": "item", "filter": "cast(A.value as int) > 2", "name": {"field": "A"}}])
+    assert [i["name"] for i in docs[0]["items"]] == ["7", "3"]
+
+
+def test_head_only_after_generators(spark):
+    rows = [{"K": {"value": "z|b"}}, {"K": {"value": "a|c"}}]
+    head = {"templateKey": "item", "head_only": True, "filter": ".", "name": {"field": "K"}}
+    docs, _ = run(spark, rows, [head | {"explode": {"column": "K", "sep": "|"}}])
+    assert [i["name"] for i in docs[0]["items"]] == ["z"]
+    docs, _ = run(spark, rows, [head | {"group_by": {"column": "K"}}])
+    assert [i["name"] for i in docs[0]["items"]] == ["a|c"]
