@@ -55,6 +55,12 @@ def keep_header(h: Column) -> Column:
     return h.isNotNull() & (h != "") & ~h.startswith(tx.UNNAMED_PREFIX)
 
 
+def clean_headers(h: Column) -> Column:
+    """S2 + C1 to be exploded: the normalized header, or nothing if it is dropped. The array keeps
+    the optimizer from running the normalization again in each test of the result."""
+    return F.filter(F.array(normalize_header(h)), keep_header)
+
+
 def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     """S2 + C3 + C4 + C5 + C6 + C2: grid -> cells ``(workbook_id, sheet, row_idx, col_idx,
     header, value, annotation, is_merged)``; ``row_idx`` = grid row - 2 (first data row = 0).
@@ -62,8 +68,7 @@ def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     Sheets with fewer than 2 rows give nothing. Header row joined on (workbook, sheet, col):
     a plain equi-join that AQE may broadcast after measuring it.
     """
-    headers = grid.where(F.col("row") == 1).select(*K, "col", normalize_header(F.col("text")).alias("header")).where(
-        keep_header(F.col("header")))
+    headers = grid.where(F.col("row") == 1).select(*K, "col", F.explode(clean_headers(F.col("text"))).alias("header"))
     ann = F.when(F.coalesce(F.col("comment"), F.lit("")) != "",
                  tx.parse_annotation(F.col("comment"), F.col("comment_author")))
     cells = grid.select(*K, "row", "col", tx.clean_value(F.col("text")).alias("value"), ann.alias("annotation"))

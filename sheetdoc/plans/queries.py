@@ -438,7 +438,7 @@ def header_collisions(spark, sf):
     several columns share and the column that wins (rightmost)."""
     p = _t(spark, sf, "part")
     h = p.select(F.lit("part").alias("workbook_id"), F.col("p_brand").alias("sheet"), F.col("p_partkey").alias("col_idx"),
-                 clean.normalize_header(_raw_headers(p)).alias("header")).where(clean.keep_header(F.col("header")))
+                 F.explode(clean.clean_headers(_raw_headers(p))).alias("header"))
     return clean.header_collisions(h).select("sheet", "header", "n_cols", "winner_col")
 
 
