@@ -77,6 +77,86 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_components(docs, k=4, num=85, den=100)
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP3_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') END AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, list_slice(w, p, p + least(4, len(w)) - 1) AS shingle
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - least(4, len(w)) + 1)) AS p FROM d WHERE len(w) > 0) t
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pair AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM pair JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 85 * (nx.n + ny.n - o)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM n
+  UNION
+  SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x
+), component AS (
+  SELECT x, min(y) AS least FROM reach GROUP BY x
+)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component.least, d.doc_id) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN component ON component.x = d.doc_id
+"""
+
+OP9_SQL = """
+WITH h AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), spot AS (
+  SELECT doc_id, hx, unnest(generate_series(0, CAST(length(hx) / 2 AS BIGINT) - 50)) AS p FROM h WHERE length(hx) >= 100
+), piece AS (
+  SELECT doc_id, p, md5(substring(hx, 2 * p + 1, 100)) AS s FROM spot
+), least AS (
+  SELECT s, min(doc_id) AS first FROM piece GROUP BY s
+), hit AS (
+  SELECT doc_id, p, max(p) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM piece JOIN least USING (s) WHERE first < doc_id
+), run AS (
+  SELECT doc_id, p, sum(CASE WHEN before IS NULL OR p > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM hit
+), span AS (
+  SELECT doc_id, r, min(p) AS a, max(p) + 50 AS b FROM run GROUP BY doc_id, r
+), gap AS (
+  SELECT doc_id, coalesce(lag(b) OVER w, 0) AS a, a AS b FROM span WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, max(b), NULL FROM span GROUP BY doc_id
+), kept AS (
+  SELECT gap.doc_id, string_agg(CASE WHEN b IS NULL THEN substring(hx, 2 * a + 1) ELSE substring(hx, 2 * a + 1, 2 * (b - a)) END, '' ORDER BY a) AS hx
+  FROM gap JOIN h ON h.doc_id = gap.doc_id GROUP BY gap.doc_id
+), total AS (
+  SELECT doc_id, sum(b - a) AS n, count(*) AS c FROM span GROUP BY doc_id
+)
+SELECT h.doc_id, CAST(length(h.hx) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(total.n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(total.c, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.hx, h.hx))) AS kept_sha256
+FROM h LEFT JOIN total ON total.doc_id = h.doc_id LEFT JOIN kept ON kept.doc_id = h.doc_id
+"""
+
+OP10_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, CASE WHEN text IS NULL THEN [] ELSE regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') END AS w FROM documents
+), i AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE text IS NOT NULL
+), win AS (
+  SELECT DISTINCT item_id, k, list_slice(w, p, p + k - 1) AS words
+  FROM (SELECT item_id, w, least(13, len(w)) AS k, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS p FROM i WHERE len(w) > 0) t
+), pos AS (
+  SELECT doc_id, k, p, list_slice(w, p, p + k - 1) AS words
+  FROM (SELECT doc_id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS p FROM d CROSS JOIN (SELECT DISTINCT k FROM win) ks WHERE len(w) >= k) t
+), found AS (
+  SELECT pos.doc_id, pos.k, pos.p, win.item_id FROM pos JOIN win ON pos.k = win.k AND pos.words = win.words
+), hit AS (
+  SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(generate_series(p, p + k - 1)) AS q FROM found) t GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL) t GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.names, '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id
+"""
+
 URL_RULES = [
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
     ("allow", "com/fr/"), ("block", "com/de/"),
@@ -136,7 +216,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.select(
         "doc_id", F.col("benchmark_hits.n_words").alias("n_words"), F.col("benchmark_hits.n_hit").alias("n_hit"),
         F.size("benchmark_hits.items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"),
-        decontaminate.is_contaminated().alias("contaminated"), F.col("benchmark_hits.spans").alias("spans"),
+        decontaminate.is_contaminated().alias("contaminated"),
     )
 
 
@@ -155,4 +235,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op1_source_mixing": OP1_SQL,
+    "op3_jaccard_join": OP3_SQL,
+    "op9_suffix_dedup": OP9_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
 }
