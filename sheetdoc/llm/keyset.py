@@ -8,24 +8,29 @@ from pyspark.sql import functions as F
 
 from sheetdoc.llm.common import stage
 
-#: Bits of a filter that is broadcast for a set of keys, at most (32 MB): eight to sixteen
-#: a key. A larger set is joined.
+#: Bits of a filter that is broadcast for a set of keys, at most (32 MB): 16 to 32 a
+#: key, so that some 0.5 % of other keys hit. A larger set is joined.
 FILTER_BITS = 1 << 28
+#: Where the bits of a key that name its places in the filter begin; all must be set for a hit.
+SHIFTS = (0, 6, 13)
 
 
 class KeySet:
     """``keys`` has one long column, ``finger``: the ``low_bits`` low bits of keys.
 
-    A set that is small enough becomes a broadcast bit filter (``bits``; it has some false hits);
+    A set that is small enough becomes a broadcast bit filter (``bits``; it has a few false hits);
     for a larger one ``bits`` is None and ``only`` joins."""
 
     def __init__(self, keys: DataFrame, low_bits: int = 64):
+        if 1 << low_bits < FILTER_BITS << max(SHIFTS):  # a place must lie within the kept bits
+            raise ValueError("too few bits of the keys are kept")
         self.low_bits, self.keys, self.bits = low_bits, stage(keys, "keys"), None
-        many = 1 << max(16, (8 * max(1, self.keys.count()) - 1).bit_length())
+        many = 1 << max(16, (16 * max(1, self.keys.count()) - 1).bit_length())
         if many <= FILTER_BITS:
-            place = F.col("finger").bitwiseAND(F.lit(many - 1))
-            bit = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
-            got = self.keys.select(F.shiftright(place, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+            places = F.array(*(F.shiftrightunsigned("finger", n).bitwiseAND(F.lit(many - 1)) for n in SHIFTS))
+            place = self.keys.select(F.explode(places).alias("p"))
+            bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+            got = place.select(F.shiftright("p", 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
             table = np.zeros(many >> 6, np.uint64)
             table[got["w"].to_numpy()] = got["b"].to_numpy().view(np.uint64)
             self.bits = keys.sparkSession.sparkContext.broadcast(table)
@@ -46,7 +51,10 @@ def tester(bits):
     most = np.uint64(64 * len(table) - 1)
 
     def test(h: np.ndarray) -> np.ndarray:
-        place = h & most
-        return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        found = np.ones(len(h), bool)
+        for n in SHIFTS:
+            place = (h >> np.uint64(n)) & most
+            found &= (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+        return found
 
     return test
