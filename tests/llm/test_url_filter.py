@@ -55,3 +55,38 @@ def test_smoothing_sums_to_one(spark):
     assert [t.columns for t in tables] == [[f"g{k}", f"d{k}"] for k in range(url_filter.ORDER + 1)]
     unseen = {r.g0: r.d0 for r in tables[0].collect()}
     assert unseen["c"] > 0 > -abs(unseen["a"]) and len(unseen) == 3
+
+
+def mixed_urls():
+    rows = [f"http://good{i % 7}.org/recipes/bread-{i}" for i in range(40)] + [f"http://x{i % 7}.com/de/casino-win-{i}" for i in range(40)]
+    return rows + [f"http://other{i}.net/recipes/cake-{i}" for i in range(20)] + [f"http://more{i}.net/casino-{i}" for i in range(20)]
+
+
+def scores(frame):
+    return {r.url: (r.verdict, None if r.score is None else round(r.score, 9)) for r in url_filter.judge(frame, URL_RULES).select("url", "verdict", "score").distinct().collect()}
+
+
+def test_repeated_pages_do_not_shrink_what_is_learned(spark):
+    pages = spark.createDataFrame(list(enumerate(mixed_urls())), "page_id long, url string")
+    again = pages.crossJoin(spark.range(1000).select("id")).select("page_id", "url")
+    assert scores(again) == scores(pages)
+
+
+def test_all_labelled_urls_are_learned_from(spark):
+    at = F.col("id").cast("string")
+    labelled = spark.range(30_000).select("id", F.when(F.col("id") % 2 == 0, F.concat(F.lit("http://g.org/w"), at)).otherwise(F.concat(F.lit("http://x.com/de/w"), at)).alias("url"))
+    seen = []
+    train = url_filter.train
+    try:
+        url_filter.train = lambda rows: seen.append(rows.count()) or train(rows)
+        url_filter.judge(labelled.select(F.col("id").alias("page_id"), "url"), URL_RULES)
+    finally:
+        url_filter.train = train
+    assert seen[0] > 0.75 * 30_000
+
+
+def test_grams_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
+    pages = spark.createDataFrame(list(enumerate(mixed_urls())), "page_id long, url string")
+    want = scores(pages)
+    monkeypatch.setattr(url_filter, "BROADCAST_GRAMS", 20)
+    assert scores(pages) == want
