@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sheetdoc.llm.common import bound_batches, stage
@@ -25,6 +25,8 @@ from sheetdoc.llm.common import bound_batches, stage
 TRAIN_DOCS = 1_200
 WORDS_KEPT = 60_000
 GRAMS_KEPT = 20_000
+#: Documents of each language at least, and entries kept of each language's words and n-grams.
+LEAST_DOCS, LEAST_KEPT = 300, 5_000
 LONGEST_GRAM = 5
 MAX_WORD = 64
 CACHE_ROWS = 300_000
@@ -105,14 +107,20 @@ class _Scores(dict):
 def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = TRAIN_DOCS) -> LanguageModel | None:
     """Learn from the rows of ``docs`` that have a language and a text (None if there are none).
 
-    At most about ``most`` documents are used, chosen by a hash of their text, so that reruns
-    agree; counting runs in the tasks and is pre-aggregated before the shuffle. What comes to the
-    driver is bounded by WORDS_KEPT and GRAMS_KEPT."""
+    About ``most`` distinct texts are used, in equal parts for the languages but LEAST_DOCS of each
+    where there are so many, chosen by a hash of their text, so that reruns agree; counting runs in
+    the tasks and is pre-aggregated before the shuffle. What comes to the driver is bounded by
+    WORDS_KEPT and GRAMS_KEPT, and LEAST_KEPT a language."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    there = docs.where(F.col(lang).isNotNull()).count()
-    if there > most:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int((1 << 20) * most / there))
+    sizes = rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").count().collect()
+    if not sizes:
+        return None
+    each = max(most // len(sizes), LEAST_DOCS)
+    share = F.create_map(*(F.lit(x) for name, n in sizes for x in (name, (1 << 40) * min(each, n) // n)))
+    h = F.xxhash64("text")
+    rows = rows.where(F.pmod(h, F.lit(1 << 40)) < share[F.col("lang")])
+    rows = rows.groupBy("lang", h.alias("h")).agg(F.first("text").alias("text")).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
@@ -139,7 +147,11 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = T
     for n in range(LONGEST_GRAM + 1):
         top = counts.where(F.col("n") == n).orderBy(F.desc("total"), "gram").limit(GRAMS_KEPT if n else WORDS_KEPT)
         kept = top if kept is None else kept.unionAll(top)
-    got = kept.collect()
+    # a language with fewer words than others has its own most frequent ones, too
+    own = Window.partitionBy("n", "lang").orderBy(F.desc("c"), "gram")
+    ranked = counts.select("n", "gram", F.explode("by").alias("lang", "c")).withColumn("at", F.row_number().over(own))
+    least = ranked.where(F.col("at") <= LEAST_KEPT).select("n", "gram").distinct()
+    got = kept.unionAll(counts.join(least, ["n", "gram"], "left_semi").select(*counts.columns)).dropDuplicates(["n", "gram"]).orderBy("n", "gram").collect()
     langs = sorted({name for r in got for name in r["by"]})
     if not langs:
         return None

@@ -48,3 +48,35 @@ def test_training_on_nothing(spark):
     assert language_id.train(empty) is None
     learned = language_id.train(spark.createDataFrame([(1, "en", "the cat"), (2, "de", "der hund")], "doc_id long, lang string, text string"))
     assert learned.langs == ["de", "en"]
+
+
+def test_a_rare_language_is_learned(spark):
+    from pyspark.sql import functions as F
+
+    n = F.col("id")
+    many = spark.range(40_000).select(
+        F.when(n % 2 == 0, "en").otherwise("de").alias("lang"),
+        F.concat(F.when(n % 2 == 0, "the house and the dog ").otherwise("das haus und der hund "), F.translate(n.cast("string"), "0123456789", "abcdefghij")).alias("text"),
+    )
+    rare = spark.createDataFrame([("fi", f"talo ja koira {chr(97 + i)}x") for i in range(20)], "lang string, text string")
+    model = language_id.train(many.union(rare))
+    assert model.langs == ["de", "en", "fi"]
+    got = language_id.predict(spark.createDataFrame([("koira ja talo",), ("the dog",)], "text string"), model).collect()
+    assert [r.language.lang for r in got] == ["fi", "en"]
+
+
+def test_repeated_texts_count_once(spark):
+    rows = [("en", f"the dog number {w}") for w in ("one", "two", "three")] + [("de", f"der hund {w}") for w in ("eins", "zwei", "drei")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    again = docs.union(spark.createDataFrame([rows[0]] * 50, "lang string, text string"))
+    once, more = language_id.train(docs), language_id.train(again)
+    assert more.langs == once.langs and more.rows == once.rows
+    assert (more.logs == once.logs).all()
+
+
+def test_a_rare_language_keeps_its_own_grams(spark, monkeypatch):
+    for name, value in (("WORDS_KEPT", 4), ("GRAMS_KEPT", 4), ("LEAST_KEPT", 3)):
+        monkeypatch.setattr(language_id, name, value, raising=False)
+    rows = [("en", f"the dog and cat number {w} " * 9) for w in ("one", "two", "three")] + [("fi", "talo ja talo ja koira")]
+    model = language_id.train(spark.createDataFrame(rows, "lang string, text string"))
+    assert {"talo", "ja"} <= set(model.rows[0])
