@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, mixing, passages, pii, suffix_dedup, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, merkle, mixing, passages, pii, suffix_dedup, token_counts, url_filter
 
 OVER_TOKENS = 2048
 
@@ -220,6 +220,61 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = {"text": F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, text)}
+    return merkle.prove(merkle.build(docs, changed=tampered)).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _op11_sql(levels: int = 8) -> str:
+    """Trees of up to 16 ** levels leaves; each level is one query."""
+    def field(c: str) -> str:
+        return f"coalesce(CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def hashed(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars")) + f" || {field(text)})"
+
+    def tree(name: str) -> list[str]:
+        """Levels {name}1.. over {name}0 (tree, pos, n, d), and {name}top: the last node of each tree."""
+        ups = [
+            f"{name}{k} AS (SELECT tree, pos // 16 AS pos, (n + 15) // 16 AS n, sha256(string_agg(d, '' ORDER BY pos)) AS d "
+            f"FROM {name}{k - 1} WHERE n > 1 GROUP BY tree, pos // 16, n)" for k in range(1, levels + 1)
+        ]
+        last = " UNION ALL ".join(f"SELECT tree, d FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+        return [*ups, f"{name}top AS ({last})"]
+
+    def fold(out: str, start: str, name: str) -> list[str]:
+        """Fold (id, tree, at, d, proof) of ``start`` through the levels of ``name`` into ``out``."""
+        ctes, before = [], start
+        for k in range(levels):
+            ctes.append(
+                f"{out}{k} AS (SELECT f.id, f.tree, f.at // 16 AS at, CASE WHEN any_value(s.n) > 1 THEN "
+                f"sha256(string_agg(CASE WHEN s.pos = f.at THEN f.d ELSE s.d END, '' ORDER BY s.pos)) ELSE any_value(f.d) END AS d, "
+                f"any_value(f.proof) || CASE WHEN any_value(s.n) > 1 THEN coalesce(string_agg(s.d, '' ORDER BY s.pos) FILTER (WHERE s.pos <> f.at), '') ELSE '' END AS proof "
+                f"FROM {before} f LEFT JOIN {name}{k} s ON s.tree = f.tree AND s.pos // 16 = f.at // 16 GROUP BY f.id, f.tree, f.at)")
+            before = f"{out}{k}"
+        return ctes
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    crc = (f"xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), "
+           f"lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))))")
+    last = levels - 1
+    ctes = [
+        f"rows AS (SELECT row_number() OVER () AS id, doc_id, coalesce('=' || source, '') AS tree, {hashed('text')} AS leaf, "
+        f"CASE WHEN {crc} % 5 = 0 AND text IS NOT NULL THEN {hashed(lower)} END AS other FROM documents)",
+        "placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM rows)",
+        "g0 AS (SELECT tree, pos, n, leaf AS d FROM placed)", *tree("g"),
+        "t0 AS (SELECT 'all' AS tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n, d, tree AS name FROM gtop)", *tree("t"),
+        "start AS (SELECT id, tree, pos AS at, coalesce(other, leaf) AS d, '' AS proof FROM placed)", *fold("f", "start", "g"),
+        f"mid AS (SELECT f{last}.id, 'all' AS tree, t0.pos AS at, f{last}.d, f{last}.proof FROM f{last} JOIN t0 ON t0.name = f{last}.tree)", *fold("u", "mid", "t"),
+    ]
+    return ("WITH " + ",\n".join(ctes) + f"""
+SELECT p.doc_id, p.leaf, gtop.d AS subroot, ttop.d AS root, sha256(u{last}.proof) AS proof_sha256, u{last}.d AS folded_root, u{last}.d = ttop.d AS verified
+FROM placed p JOIN gtop ON gtop.tree = p.tree CROSS JOIN ttop JOIN u{last} ON u{last}.id = p.id""")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_token_counts": op2_token_counts,
@@ -231,6 +286,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -238,4 +294,5 @@ ORACLE: dict[str, str] = {
     "op3_jaccard_join": OP3_SQL,
     "op9_suffix_dedup": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_merkle_manifest": _op11_sql(),
 }
