@@ -126,7 +126,8 @@ def _placed(nodes: DataFrame, label: str, *order: str) -> DataFrame:
     return sorted_.withColumn("part", part).join(offsets, ["tree", "part"]).withColumn("pos", F.col("spot") + F.col("shift")).drop("spot", "shift", "part")
 
 
-_BLOCK = F.floor(F.col("pos") / SUPERBLOCK).cast("long")
+def _block() -> Column:
+    return F.floor(F.col("pos") / SUPERBLOCK).cast("long").alias("block")
 
 
 def _tops(nodes: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def _tops(nodes: DataFrame) -> DataFrame:
         top = _reduced(part["leaf"].tolist(), size)[-1]
         return pd.DataFrame({"tree": part["tree"].iloc[:1], "leaf": top, "pos": part["block"].iloc[:1], "n": -(-size // SUPERBLOCK)})
 
-    keyed = nodes.select("tree", "leaf", "pos", "n", _BLOCK.alias("block"))
+    keyed = nodes.select("tree", "leaf", "pos", "n", _block())
     return keyed.groupBy("tree", "block").applyInPandas(reduce, "tree string, leaf string, pos long, n long")
 
 
@@ -163,7 +164,7 @@ def _handed_down(nodes: DataFrame, outer: DataFrame) -> DataFrame:
             "subroot": up["subroot"], "root": up["root"],
         })
 
-    keyed = nodes.select("tree", "leaf", "pos", "n", _BLOCK.alias("block"))
+    keyed = nodes.select("tree", "leaf", "pos", "n", _block())
     return keyed.groupBy("tree", "block").cogroup(outer.groupBy("tree", "block")).applyInPandas(
         join, f"tree string, block long, {_STEPS}, subroot string, root string")
 
@@ -241,7 +242,7 @@ def prove(manifest: Manifest, siblings: bool = False) -> DataFrame:
     leaves = manifest.leaves
     schema = "id string, grp string, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
     # ids travel as text: pandas has no whole numbers beside nulls
-    keyed = leaves.select("tree", F.col("id").cast("string").alias("id"), "grp", "leaf", "other", "pos", "n", _BLOCK.alias("block"))
+    keyed = leaves.select("tree", F.col("id").cast("string").alias("id"), "grp", "leaf", "other", "pos", "n", _block())
     proved = keyed.groupBy("tree", "block").cogroup(manifest.outer.groupBy("tree", "block")).applyInPandas(
         finish, schema + (f", {_STEPS}" if siblings else ""))
     return proved.withColumn("id", F.col("id").cast(leaves.schema["id"].dataType))
