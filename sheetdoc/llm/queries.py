@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetdoc.llm import decontaminate, embedding_dedup, jaccard_join, language_id, merkle, mixing, passages, pii, suffix_dedup, token_counts, url_filter
+from sheetdoc.llm import decontaminate, embedding_dedup, hard_negatives, jaccard_join, language_id, merkle, mixing, passages, pii, suffix_dedup, token_counts, url_filter, warc
 
 OVER_TOKENS = 2048
 
@@ -275,6 +275,57 @@ SELECT p.doc_id, p.leaf, gtop.d AS subroot, ttop.d AS root, sha256(u{last}.proof
 FROM placed p JOIN gtop ON gtop.tree = p.tree CROSS JOIN ttop JOIN u{last} ON u{last}.id = p.id""")
 
 
+def op12_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return warc.read_archives(warc.write_archives(pages)).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
+OP12_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, row_number() OVER () AS r FROM pages
+), ranked AS (
+  SELECT page_id, sha1(html) AS hx, octet_length(encode(html)) AS n,
+         row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, r) AS k,
+         first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST, r) AS first
+  FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         CAST((CAST('0x' || substr(hx, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN first END AS refers_to
+FROM ranked
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(hard_negatives.prepare(table, label), F.col("id") % 50 == 0)
+
+
+OP13_SQL = """
+WITH r AS (
+  SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.id AS anchor_id, b.id AS other, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM r a JOIN r b ON len(a.v) = len(b.v) AND len(a.v) > 0 AND a.id <> b.id WHERE a.id % 50 = 0
+), pos AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM pos JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY row_number() OVER w <= 3
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": op1_source_mixing,
     "op2_token_counts": op2_token_counts,
@@ -287,6 +338,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_warc_archives": op12_warc_archives,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -295,4 +348,6 @@ ORACLE: dict[str, str] = {
     "op9_suffix_dedup": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
     "op11_merkle_manifest": _op11_sql(),
+    "op12_warc_archives": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
