@@ -51,9 +51,9 @@ EXACT, HUGE = 2.0**53, 2.0**500
 
 @dataclass
 class CoverTree:
-    """Points in the order of their leaves. Node k has points ``lo[k]:hi[k]``, a ``centre`` (a unit
-    vector), a covering radius ``rho`` (an angle), and children ``first[k]:last[k]`` (none in a
-    leaf)."""
+    """Points in the order of their leaves. Node k has points ``lo[k]:hi[k]``, a ``centre`` (the
+    place of one of them), a covering radius ``rho`` (an angle), and children ``first[k]:last[k]``
+    (none in a leaf)."""
 
     points: np.ndarray
     labels: np.ndarray
@@ -78,12 +78,12 @@ class CoverTree:
         order = np.arange(n)
         nodes: list[list] = []  # centre, rho, lo, hi, first, last
 
-        def add(lo: int, hi: int, centre: int) -> tuple[int, np.ndarray]:
+        def add(lo: int, hi: int, centre: int) -> int:
             far = np.arccos(np.clip(unit[order[lo:hi]] @ unit[centre], -1, 1))
-            nodes.append([unit[centre], float(far.max()), lo, hi, 0, 0])
-            return len(nodes) - 1, far
+            nodes.append([centre, float(far.max()), lo, hi, 0, 0])
+            return len(nodes) - 1
 
-        todo = [add(0, n, 0)[0]] if n else []
+        todo = [add(0, n, 0)] if n else []
         while todo:
             k = todo.pop()
             _, rho, lo, hi, _, _ = nodes[k]
@@ -109,7 +109,7 @@ class CoverTree:
                     run.append(part)
                     continue
                 size = sum(len(p) for _, p in run)
-                todo.append(add(at, at + size, run[0][0])[0])
+                todo.append(add(at, at + size, run[0][0]))
                 at += size
                 run = [part] if part is not None else []
             nodes[k][5] = len(nodes)
@@ -117,16 +117,17 @@ class CoverTree:
                 nodes[k][4] = nodes[k][5] = 0
                 todo.pop()
                 nodes.pop()
-        column = [np.array([node[i] for node in nodes]) for i in range(6)]
-        centre = column[0][:, :-1].astype(np.float32) if nodes else np.empty((0, points.shape[1]), np.float32)
+        centre, *rest = (np.array([node[i] for node in nodes]) for i in range(6))
         narrow = np.int16 if scale < 2**15 else np.float64  # as it travels; scores are exact either way
-        return cls(points[order].astype(narrow), labels[order], ids[order], ties[order], radius * scale, centre, *column[1:])
+        return cls(points[order].astype(narrow), labels[order], ids[order], ties[order], radius * scale,
+                   np.argsort(order)[centre] if n else centre, *rest)
 
     def bounds(self, units: np.ndarray, norms: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest possible scores of anchors (rows) with the points of ``nodes``."""
-        theta = np.arccos(np.clip(units @ self.centre[nodes].T, -1, 1))
+        centres = self.points[self.centre[nodes]].astype(np.float64) / self.radius
+        theta = np.arccos(np.clip(units @ centres.T, -1, 1))
         reach = (norms * self.radius)[:, None]
-        slack = reach * 1e-5 + 1e-6  # centres travel in single precision
+        slack = reach * 1e-6 + 1e-6  # rounding
         high = reach * np.cos(np.maximum(theta - self.rho[nodes], 0)) + slack
         low = reach * np.cos(np.minimum(theta + self.rho[nodes], np.pi)) - slack
         return low, high
