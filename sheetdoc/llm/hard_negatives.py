@@ -23,8 +23,8 @@ Spark applies before and after the shuffle.
 Rows with a null id, label or vector or with a null or non-finite component take no part; equal rows
 count once. Scores of vectors of unequal lengths are not defined, so these never meet. Rows of the
 same id with other labels or vectors are rows of their own; ties between them go by a hash of the
-row. Components of 2^500 and more after scaling take no part either, and scores beyond 64 bits are left
-out. An empty table gives no rows. Other columns are not read.
+row. Components of 2^500 and more after scaling take no part either, and pairs whose score does not fit
+64 bits do not count. An empty table gives no rows. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -148,7 +148,7 @@ class Best:
     def __init__(self, slots: int, k: int) -> None:
         self.k = k
         self.slot, self.score, self.id, self.tie = (np.empty(0, t) for t in (np.int64, object, np.int64, np.int64))
-        self.least = np.full(slots, -np.inf)  # a slot's k-th score once it has k
+        self.least = np.full(slots, -np.inf)  # scores from here on can enter a slot
 
     def add(self, slot: np.ndarray, score: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> None:
         touched = np.isin(self.slot, slot)
@@ -158,7 +158,8 @@ class Best:
         s, v, i, t = s[by], v[by], i[by], t[by]
         rank = np.arange(len(s)) - np.searchsorted(s, s)
         keep = rank < self.k
-        self.least[s[rank == self.k - 1]] = v[rank == self.k - 1].astype(float)
+        last = rank == self.k - 1
+        self.least[s[last]] = np.nextafter(v[last].astype(float), -np.inf)  # at most the k-th score
         rest = ~touched
         self.slot, self.score = np.concatenate((self.slot[rest], s[keep])), np.concatenate((self.score[rest], v[keep]))
         self.id, self.tie = np.concatenate((self.id[rest], i[keep])), np.concatenate((self.tie[rest], t[keep]))
@@ -225,7 +226,7 @@ def prepare(rows: DataFrame, label: Column, key: str = "vec_id", vector: str = "
 
 
 _KEYS = ["dim", "block", "chunk"]
-_LONG = 2**63
+_LONG = np.nextafter(2.0**63, 0)
 
 
 def _vectors(part: pd.DataFrame) -> np.ndarray:
@@ -260,11 +261,9 @@ def _meet(trees: DataFrame, anchors: DataFrame, run: Callable[[CoverTree, pd.Dat
 
 
 def _table(best: Best, extra: dict[str, np.ndarray]) -> pd.DataFrame:
-    """Results whose scores fit 64 bits, with ``extra`` columns by slot."""
-    fit = np.array([-_LONG <= s < _LONG for s in best.score], bool)
-    slot = best.slot[fit]
-    return pd.DataFrame({**{k: v[slot] for k, v in extra.items()}, "other": best.id[fit], "other_tie": best.tie[fit],
-                         "score": np.array([int(s) for s in best.score[fit]], np.int64)})
+    """Results with ``extra`` columns by slot."""
+    return pd.DataFrame({**{k: v[best.slot] for k, v in extra.items()}, "other": best.id, "other_tie": best.tie,
+                         "score": np.array([int(s) for s in best.score], np.int64)})
 
 
 def _top(rows: DataFrame, by: list[str], k: int) -> DataFrame:
@@ -288,7 +287,7 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
     anchors = stage(dealt.where("is_anchor").withColumn("chunk", F.pmod(F.xxhash64("tie"), F.col("chunks"))).drop("chunks", "is_anchor"), "negatives-anchors")
 
     def find_positives(tree: CoverTree, part: pd.DataFrame) -> pd.DataFrame:
-        ends, who = np.full((len(part), 1), np.inf), _whole(part, "tie")
+        ends, who = np.full((len(part), 1), _LONG), _whole(part, "tie")
         return _table(search(tree, _vectors(part), _whole(part, "label"), who, -ends, ends, positives, True), {"anchor": who})
 
     found = _meet(trees, anchors, find_positives, "anchor long, other long, other_tie long, score long")
@@ -298,6 +297,8 @@ def mine(rows: DataFrame, is_anchor: Column, positives: int = 5, negatives: int
 
     def find_negatives(tree: CoverTree, part: pd.DataFrame) -> pd.DataFrame:
         lows, highs = np.full((len(part), positives), np.inf), np.full((len(part), positives), -np.inf)
+        if any(abs(int(p["score"])) >= EXACT for row in part["positives"] for p in row):
+            lows, highs = lows.astype(object), highs.astype(object)
         for i, row in enumerate(part["positives"]):
             for j, p in enumerate(row):  # ends as whole numbers
                 lows[i, j], highs[i, j] = -(-least * int(p["score"]) // 100), most * int(p["score"]) // 100

@@ -233,7 +233,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, page_id: str = "
             name = f"part-{task.partitionId():06d}-{done:05d}.warc.zst"
             own = posixpath.join(root, f".{name}.{task.taskAttemptId()}")
             written = 0
-            with files.open_output_stream(own) as out:
+            with files.open_output_stream(own, compression=None) as out:
                 for part in pack(held):
                     out.write(part)
                     written += len(part)
@@ -269,7 +269,7 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
             for path in batch["archive"]:
                 files, name = _open(path)
                 rows, size = [], 0
-                with files.open_input_stream(name) as source:
+                with files.open_input_stream(name, compression=None) as source:
                     for offset, raw in unpack(source):
                         r = decode_record(raw)
                         rows.append([path, offset, *(r[n] for n in names[2:])])

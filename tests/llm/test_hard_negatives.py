@@ -22,7 +22,7 @@ def plain(rows):
         if a[0] % 50:
             continue
         scored = [(sum(x * y for x, y in zip(a[1], b[1], strict=True)), b) for b in kept if b is not a and len(b[1]) == len(a[1])]
-        order = sorted(scored, key=lambda s: (-s[0], s[1][0]))
+        order = sorted((s for s in scored if -(2**63) <= s[0] < 2**63), key=lambda s: (-s[0], s[1][0]))
         for p, pos in [s for s in order if s[1][2] == a[2]][:5]:
             fit = [(n, b) for n, b in order if b[2] != a[2] and 50 * p <= 100 * n <= 95 * p][:3]
             out += [(a[0], pos[0], i + 1, b[0], p, n) for i, (n, b) in enumerate(fit)]
