@@ -172,7 +172,7 @@ def ascii_downcase(c) -> Column:
 def ltrimstr(c, s: str) -> Column:
     """Remove one leading occurrence of a literal."""
     v = col_(c)
-    return F.when(v.startswith(s), F.substring(v, len(s) + 1, 1 << 30)).otherwise(v)
+    return F.when(v.startswith(s), v.substr(F.lit(len(s) + 1), F.length(v))).otherwise(v)
 
 
 def rtrimstr(c, s: str) -> Column:
@@ -278,5 +278,5 @@ def parse_annotation(text, author) -> Column:
         "\n",
     )
     prefix = F.concat(a, F.lit(":\n"))
-    plain = F.when((a != "") & t.startswith(prefix), t.substr(F.length(prefix) + 1, F.lit(1 << 30))).otherwise(t)
+    plain = F.when((a != "") & t.startswith(prefix), t.substr(F.length(prefix) + 1, F.length(t))).otherwise(t)
     return py_strip(F.when(t.contains(COMMENT_MARKER), threaded).otherwise(plain))

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .session import materialize_all
+
 WB, SHEET, ROW = "workbook_id", "sheet", "row_idx"
 KEY = [WB, SHEET]
 
@@ -70,10 +72,13 @@ def as_sheet(df: DataFrame, workbook_id, sheet, row_idx, cells: dict) -> DataFra
 
 
 def sheet_to_cells(sheet_df: DataFrame, headers: list[str], sheet_ord: Column | int = 0) -> DataFrame:
-    """Wide sheet frame -> long ``cells`` (one row per non-NULL cell), via ``unpivot``."""
-    tagged = sheet_df.select(
-        WB, SHEET, ROW,
-        *[F.struct(F.lit(i + 1).alias("col_idx"), F.lit(h).alias("header"), qcol(h).alias("c")).alias(f"c{i}")
+    """Wide sheet frame -> long ``cells`` (one row per non-NULL cell), via ``unpivot``. Columns are
+    told apart by position: headers may differ in case only or equal a key column's name."""
+    at = {h: i for i, h in enumerate(sheet_df.columns)}
+    plain = sheet_df.toDF(*[f"x{i}" for i in range(len(sheet_df.columns))])
+    tagged = plain.select(
+        *[F.col(f"x{sheet_df.columns.index(k)}").alias(k) for k in (WB, SHEET, ROW)],
+        *[F.struct(F.lit(i + 1).alias("col_idx"), F.lit(h).alias("header"), F.col(f"x{at[h]}").alias("c")).alias(f"c{i}")
           for i, h in enumerate(headers)],
     )
     long = tagged.unpivot([WB, SHEET, ROW], [f"c{i}" for i in range(len(headers))], "k", "x")
@@ -94,17 +99,32 @@ def cells_to_sheet(cells: DataFrame, headers: list[str], rows: DataFrame | None
     with no referenced cell still appear; ``rows`` (workbook_id, sheet, row_idx) adds those that
     have no cell at all.
     """
+    return _gathered(cells, headers, rows).select(
+        WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers])
+
+
+def cells_to_sheets(cells: DataFrame, headers: dict[str, list[str]], rows: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The sheet frames of several sheet names (sheet -> headers), from one pass over ``cells``.
+
+    Cells are gathered per row once for all sheets; each sheet's frame reads its own headers."""
+    names = sorted(headers)
+    listed = F.col(SHEET).isin(*names)
+    gathered = _gathered(cells.where(listed), sorted({h for hs in headers.values() for h in hs}), rows.where(listed) if rows is not None else None)
+    frames = {s: gathered.where(F.col(SHEET) == s) for s in names}
+    done = materialize_all([frames[s] for s in names]) if len(names) > 1 else list(frames.values())
+    return {s: frame.select(WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers[s]]) for s, frame in zip(names, done, strict=True)}
+
+
+def _gathered(cells: DataFrame, headers: list[str], rows: DataFrame | None) -> DataFrame:
+    """Per row, a map ``__m`` of its cells of these headers."""
     c = F.struct(F.col("value"), F.col("annotation"))
     own = F.when(F.col("header").isin(*headers), F.struct("col_idx", "header", c.alias("c"))) if headers else F.lit(None).cast("struct<col_idx:int,header:string,c:struct<value:string,annotation:string>>")
     base = cells.select(WB, SHEET, ROW, own.alias("__c"))
     if rows is not None:
         base = base.unionByName(rows.select(WB, SHEET, ROW), allowMissingColumns=True)
     got = base.groupBy(WB, SHEET, ROW).agg(F.array_sort(F.collect_list("__c")).alias("__cs"))
-    if not headers:
-        return got.drop("__cs")
     heads = F.transform("__cs", lambda e: e["header"])
     last = F.transform(F.array_distinct(heads), lambda h: F.element_at(F.filter("__cs", lambda e: e["header"] == h), -1))
     once = F.when(F.size(F.array_distinct(heads)) == F.size(heads), F.col("__cs")).otherwise(last)
     m = F.map_from_entries(F.transform(once, lambda e: F.struct(e["header"].alias("key"), e["c"].alias("value"))))
-    return got.select(WB, SHEET, ROW, m.alias("__m")).select(
-        WB, SHEET, ROW, *[F.element_at("__m", F.lit(h)).alias(h) for h in headers])
+    return got.select(WB, SHEET, ROW, m.alias("__m"))

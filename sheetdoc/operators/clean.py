@@ -5,14 +5,15 @@ Inputs are long tables (one row per cell), keyed by ``(workbook_id, sheet)``:
 * grid  ``(workbook_id, sheet, row, col, text, comment, comment_author)``; row 1 is the header row
 * merged ranges  ``(workbook_id, sheet, min_row, max_row, min_col, max_col)``
 
-Nothing is collected per sheet: merged ranges are expanded to the cells they cover (data that
-exists anyway), intervals are grouped with a blocked prefix scan, and groups collapse by one
-aggregation after a distinct step, so a hot group is folded map-side.
+Nothing is collected per sheet and no range is expanded to its rows: merged ranges and row groups
+are intervals, and a running cover (a blocked prefix scan over interval starts and rows together)
+tells which one a row lies in. Groups collapse by two aggregations, the first per value, so a hot
+group is folded map-side.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -39,7 +40,7 @@ def normalize_header(h) -> Column:
     is_map = F.upper(s).startswith(tx.MAP_PREFIX)
     br = F.instr(s, "]")
     prefix = s.substr(F.lit(1), br)
-    slug = _strip_parens(tx.py_strip(s.substr(br + 1, F.lit(1 << 30))))
+    slug = _strip_parens(tx.py_strip(s.substr(br + 1, F.length(s))))
     map_h = F.when(slug == "", prefix).otherwise(tx.py_strip(F.concat(prefix, F.lit(" "), slug)))
     return (
         F.when(raw.isNull(), F.lit(None).cast("string"))
@@ -61,7 +62,8 @@ def clean_headers(h: Column) -> Column:
     return F.filter(F.array(normalize_header(h)), keep_header)
 
 
-def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
+def build_cells(grid: DataFrame, merges: DataFrame | None = None,
+                block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """S2 + C3 + C4 + C5 + C6 + C2: grid -> cells ``(workbook_id, sheet, row_idx, col_idx,
     header, value, annotation, is_merged)``; ``row_idx`` = grid row - 2 (first data row = 0).
 
@@ -73,7 +75,7 @@ def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
                  tx.parse_annotation(F.col("comment"), F.col("comment_author")))
     cells = grid.select(*K, "row", "col", tx.clean_value(F.col("text")).alias("value"), ann.alias("annotation"))
     if merges is not None:
-        cells = fill_merged(cells, merges)
+        cells = fill_merged(cells, merges, block_rows)
     else:
         cells = cells.withColumn("is_merged", F.lit(False))
     # a range that begins in the header row copies the header's text, so that row leaves only now
@@ -83,31 +85,62 @@ def build_cells(grid: DataFrame, merges: DataFrame | None = None) -> DataFrame:
     return resolve_duplicate_headers(out)
 
 
-def fill_merged(cells: DataFrame, merges: DataFrame) -> DataFrame:
+def running_cover(rows: DataFrame, spans: DataFrame, by: list[str], at: str, out: str,
+                  block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``rows`` with ``out``: the span (a struct that begins with ``start`` and ``end``, both
+    included) of ``spans`` that covers their position ``at``, or NULL.
+
+    Spans of one key may not overlap. Their starts are put among the rows, just before the row at
+    the same position, and the last one at or before a row is carried to it: a row is covered if that
+    span has not ended. No interval is expanded and no range is joined."""
+    order = F.col(at).cast("bigint") * 2
+    starts = spans.select(*by, (F.col(f"{out}.start").cast("bigint") * 2).alias("__o"), F.col(out).alias("__span"))
+    marked = rows.withColumn("__o", order + 1).withColumn("__row", F.lit(True)).unionByName(starts, allowMissingColumns=True)
+    filled = prefix_max(marked, F.col("__span"), by, "__o", "__last", True, block_rows)
+    return filled.where(F.col("__row")).withColumn(
+        out, F.when(F.col(at) <= F.col("__last.end"), F.col("__last"))).drop("__o", "__row", "__span", "__last")
+
+
+def column_spans(merges: DataFrame, top_left: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Merged ranges as spans of rows that do not overlap, per column: ``(workbook_id, sheet, col,
+    span(start, end, value, annotation))``.
+
+    A range is put into each column it covers (a sheet's width, not its height). Ranges of one
+    column that overlap - not possible in a real workbook - are cut at each other's ends; each piece
+    goes to the range with the greatest (min_row, min_col)."""
+    own = merges.join(top_left, [*K, "min_row", "min_col"], "left")
+    per_col = own.select(*K, F.explode(F.sequence("min_col", "max_col")).alias("col"),
+                         F.struct("min_row", "min_col").alias("prio"), "min_row", "max_row", "value", "annotation")
+    by = [*K, "col"]
+    # pieces: islands of ranges that overlap; nearly always one range each
+    ends = per_col.groupBy(*by, "min_row").agg(F.max("max_row").alias("e"))
+    before = prefix_max(ends, F.col("e"), by, "min_row", "__prev", False, block_rows)
+    starts = before.withColumn("__new", F.when(F.col("__prev").isNull() | (F.col("min_row") > F.col("__prev")), F.col("min_row")))
+    island = prefix_max(starts, F.col("__new"), by, "min_row", "island", True, block_rows).select(*by, "min_row", "island")
+    placed = per_col.join(island, [*by, "min_row"])
+    cuts = placed.select(*by, "island", F.explode(F.array(F.col("min_row"), F.col("max_row") + 1)).alias("start")).distinct()
+    after = F.lead("start").over(Window.partitionBy(*by, "island").orderBy("start"))
+    pieces = cuts.withColumn("end", after - 1).where(F.col("end").isNotNull())
+    best = pieces.join(placed, [*by, "island"]).where((F.col("min_row") <= F.col("start")) & (F.col("start") <= F.col("max_row")))
+    return best.groupBy(*by, "start", "end").agg(F.max_by(F.struct("value", "annotation"), "prio").alias("w")).select(
+        *by, F.struct("start", "end", F.col("w.value").alias("value"), F.col("w.annotation").alias("annotation")).alias("span"))
+
+
+def fill_merged(cells: DataFrame, merges: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Every data cell a merged range covers takes the range's top-left cell.
 
-    Ranges expand to covered (row, col) pairs (``sequence`` x ``sequence``) and join on
-    equality - no range join. ``cells`` has the header row, which is read but never filled;
-    positions outside the grid are ignored.
-    Overlapping ranges (not possible in
-    a real workbook) resolve to the range with the greatest (min_row, min_col)."""
-    tl = merges.join(cells.select(*K, F.col("row").alias("min_row"), F.col("col").alias("min_col"),
-                                  F.col("value").alias("tl_value"), F.col("annotation").alias("tl_ann")),
-                     [*K, "min_row", "min_col"], "left")
-    cov = tl.select(*K, "min_row", "min_col", "tl_value", "tl_ann",
-                    F.explode(F.sequence(F.greatest(F.col("min_row"), F.lit(2)), F.col("max_row"))).alias("row"),
-                    F.col("min_col").alias("c0"), F.col("max_col").alias("c1"))
-    cov = cov.select(*K, "row", F.explode(F.sequence("c0", "c1")).alias("col"),
-                     F.struct("min_row", "min_col").alias("prio"), "tl_value", "tl_ann")
-    win = cov.groupBy(*K, "row", "col").agg(F.max_by(F.struct("tl_value", "tl_ann"), "prio").alias("m"))
-    # Only positions the grid has are filled (a grid carries every position, blanks included);
-    # a range reaching past the sheet's last row or column adds nothing there.
-    j = cells.join(win, [*K, "row", "col"], "left")
-    merged = F.col("m").isNotNull()
+    ``cells`` has the header row, which is read but never filled; positions outside the grid are
+    ignored (a grid carries every position, blanks included). Per column the ranges are spans of
+    rows, found by a running cover. Overlapping ranges (not possible in a real workbook) resolve to
+    the range with the greatest (min_row, min_col)."""
+    top_left = cells.select(*K, F.col("row").alias("min_row"), F.col("col").alias("min_col"), "value", "annotation")
+    spans = column_spans(merges, top_left, block_rows)
+    j = running_cover(cells, spans, [*K, "col"], "row", "span", block_rows)
+    merged = F.col("span").isNotNull() & (F.col("row") >= 2)
     return j.select(
         *K, "row", "col",
-        F.when(merged, F.coalesce(F.col("m.tl_value"), F.lit(""))).otherwise(F.col("value")).alias("value"),
-        F.when(merged, F.col("m.tl_ann")).otherwise(F.col("annotation")).alias("annotation"),
+        F.when(merged, F.coalesce(F.col("span.value"), F.lit(""))).otherwise(F.col("value")).alias("value"),
+        F.when(merged, F.col("span.annotation")).otherwise(F.col("annotation")).alias("annotation"),
         merged.alias("is_merged"),
     )
 
@@ -145,31 +178,27 @@ def merge_islands(merges: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS
     return named.groupBy(*K, "island_start").agg(F.max("max_row").alias("island_end"), F.sum("n").alias("n_ranges"))
 
 
-def row_groups(rows: DataFrame, islands: DataFrame) -> DataFrame:
-    """``group_id`` per row = its island start, or the row itself. Islands expand to their
-    rows (``sequence``) and join on equality."""
-    cov = islands.select(*K, "island_start", F.explode(F.sequence("island_start", "island_end")).alias("row_idx"))
-    return rows.join(cov, [*K, "row_idx"], "left").withColumn(
-        "group_id", F.coalesce(F.col("island_start"), F.col("row_idx"))).drop("island_start")
+def row_groups(rows: DataFrame, islands: DataFrame, block_rows: int | None = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """``group_id`` per row = its island start, or the row itself: a running cover of the
+    islands, which do not overlap."""
+    spans = islands.select(*K, F.struct(F.col("island_start").cast("bigint").alias("start"), F.col("island_end").cast("bigint").alias("end")).alias("__island"))
+    covered = running_cover(rows, spans, K, "row_idx", "__island", block_rows)
+    return covered.withColumn("group_id", F.coalesce(F.col("__island.start"), F.col("row_idx"))).drop("__island")
 
 
 def collapse_groups(cells: DataFrame, group_col: str = "group_id", order_col: str = "row_idx") -> DataFrame:
     """C8 + C9: one row per group and header: unique non-empty, non-``nan`` values joined with
     ``", "`` in first-seen order; the first non-empty annotation; ``row_idx`` = first row.
 
-    Distinct first (partial aggregate per value), so the final per-group list holds only
-    distinct values - the size of the output cell itself."""
-    v = tx.py_strip(F.coalesce(F.col("value"), F.lit("")))
-    keyed = cells.withColumn("__v", v)
-    firsts = keyed.where(~F.col("__v").isin(*tx.COLLAPSE_SKIP)).groupBy(*K, group_col, "header", "__v").agg(
-        F.min(order_col).alias("__first"))
-    joined = firsts.groupBy(*K, group_col, "header").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__first", "__v"))), lambda x: x["__v"]),
-                     tx.COLLAPSE_SEP).alias("value"))
-    ann = keyed.groupBy(*K, group_col, "header").agg(
-        F.min_by(F.when(F.coalesce(F.col("annotation"), F.lit("")) != "", F.col("annotation")),
-                 F.when(F.coalesce(F.col("annotation"), F.lit("")) != "", F.col(order_col))).alias("annotation"),
-        F.min(order_col).alias(order_col),
-    )
-    return ann.join(joined, [*K, group_col, "header"], "left").select(
-        *K, group_col, order_col, "header", F.coalesce(F.col("value"), F.lit("")).alias("value"), "annotation")
+    Two levels: first one partial per value (its first row, its first annotation and where), then
+    one per group. The list of a group holds only distinct values - the size of the output cell
+    itself - and nothing is joined back."""
+    noted = F.coalesce(F.col("annotation"), F.lit("")) != ""
+    keyed = cells.withColumn("__v", tx.py_strip(F.coalesce(F.col("value"), F.lit(""))))
+    values = keyed.groupBy(*K, group_col, "header", "__v").agg(
+        F.min(order_col).alias("__first"), F.min(F.when(noted, F.struct(F.col(order_col).alias("at"), "annotation"))).alias("__note"))
+    shown = F.when(~F.col("__v").isin(*tx.COLLAPSE_SKIP), F.struct("__first", "__v"))
+    return values.groupBy(*K, group_col, "header").agg(
+        F.min("__first").alias(order_col), F.min("__note").alias("__note"), F.array_sort(F.collect_list(shown)).alias("__vs"),
+    ).select(*K, group_col, order_col, "header",
+             F.array_join(F.transform("__vs", lambda x: x["__v"]), tx.COLLAPSE_SEP).alias("value"), F.col("__note.annotation").alias("annotation"))

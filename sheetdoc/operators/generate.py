@@ -17,12 +17,12 @@ NULL_CELL = "struct<value:string,annotation:string>"
 
 
 def unpivot_variants(parents: DataFrame, keep: list[str], base_col: str, data_cols: list[str],
-                     headers: set[str]) -> DataFrame:
+                     headers: dict[str, str]) -> DataFrame:
     """G1 ``expand_variants``: one row per ``column_data`` header with ``__column__``,
-    ``__cell__``, ``__base_cell__``; ``__ord`` is the variant's position. A header the sheet
-    lacks gives a cell with NULL value (the reference's ``{}``)."""
+    ``__cell__``, ``__base_cell__``; ``__ord`` is the variant's position. ``headers`` maps headers
+    to columns; one that the sheet lacks gives a cell with NULL value (the reference's ``{}``)."""
     def cell_of(h):
-        return qcol(h) if h in headers else F.lit(None).cast(NULL_CELL)
+        return qcol(headers[h]) if h in headers else F.lit(None).cast(NULL_CELL)
 
     base = cell_of(base_col) if base_col else F.lit(None).cast(NULL_CELL)
     variants = F.array(*[

@@ -30,30 +30,43 @@ FIELD_TYPE = (
 )
 
 
+def header_column(i: int) -> str:
+    """Generated name of the column that holds the ``i``-th header's cells."""
+    return f"__h{i}"
+
+
 @dataclass
 class RowView:
-    """What a row exposes to a spec: header names, or the three variant keys."""
+    """What a row exposes to a spec: headers, or the three variant keys.
+
+    ``headers`` maps each header, exactly as it is spelled, to the generated column that holds its
+    cells, so headers may differ in case only or equal a key column or an internal name."""
 
-    headers: set[str]
+    headers: dict[str, str]
     variant: bool = False
     base_col: str = ""
-    extra: set[str] = field(default_factory=set)  # plain string columns (e.g. exploded parts)
+    extra: dict[str, str] = field(default_factory=dict)  # tokens of plain string columns (lookups)
 
     def cell(self, name: str) -> Column | None:
         if self.variant:
             if name in (CELL, BASE_CELL):
                 return F.col(name)
             return None
+        if name in self.headers:
+            return qcol(self.headers[name])
         if name == BASE_CELL:
             return self.cell(self.base_col) if self.base_col else None
-        if name in self.headers:
-            return qcol(name)
         return None
 
+    def with_column(self, name: str) -> tuple[RowView, str]:
+        """This view with ``name`` as one more header, and the column for its cells."""
+        column = self.headers.get(name) or header_column(len(self.headers))
+        return RowView({**self.headers, name: column}, self.variant, self.base_col, self.extra), column
+
     def value(self, name: str) -> Column:
         """Value of a column; missing -> ''; a plain (non-cell) column -> its text."""
         if (self.variant and name == COLUMN) or name in self.extra:
-            return F.coalesce(qcol(name).cast("string"), F.lit(""))
+            return F.coalesce(qcol(self.extra.get(name, name)).cast("string"), F.lit(""))
         c = self.cell(name)
         return F.lit("") if c is None else F.coalesce(c.getField("value"), F.lit(""))
 
@@ -102,28 +115,58 @@ def _py_text(v) -> str:
     return str(v)  # Python spelling: True/False
 
 
-#: A quoted text or backquoted name (kept as it is), or a plain cast.
-_CAST = re.compile(r"('(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\"|`(?:[^`]|``)*`)|\bcast\s*\(", re.IGNORECASE)
+#: A quoted text, or a name: in backquotes or plain.
+_NAME = re.compile(r"""('(?:[^'\\]|\\.|'')*'|"(?:[^"\\]|\\.)*")|`((?:[^`]|``)+)`|(?<!\w)([^\W\d]\w*)""")
+#: Words of SQL, which name a header only in backquotes or before a dot.
+_WORDS = frozenset("and or not in is null like rlike between case when then else end true false as cast".split())
+#: Comparisons of cells with texts: nothing in them can fail.
+_PLAIN = re.compile(
+    r"""(?:\s|'(?:[^'\\]|'')*'|`(?:[^`]|``)+`\.(?:value|annotation)\b|<=>|<>|!=|==?|[(),]|\b(?:and|or|not|in|is|null)\b)*""", re.IGNORECASE)
+
+
+def physical_names(condition: str, headers: dict[str, str]) -> str:
+    """``condition`` with every header that it names replaced by the column that holds its cells.
+    Names match headers exactly, case included; texts, functions and parts after a dot stay."""
+    def column(m: re.Match) -> str:
+        name = m[2].replace("``", "`") if m[2] else m[3]
+        if m[1] or name not in headers or condition[: m.start()].rstrip().endswith("."):
+            return m[0]
+        after = condition[m.end():].lstrip()[:1]
+        if m[3] and (after == "(" or (after != "." and m[3].lower() in _WORDS)):
+            return m[0]
+        return f"`{headers[name]}`"
+
+    return _NAME.sub(column, condition)
+
 
+def contained(condition: Column) -> Column:
+    """``condition`` as true or false: one that fails on a row (a cast of a bad cell, a division by
+    zero, an overflow, a date that does not exist, ...) is false for that row and no other.
 
-def tolerant(condition: str) -> str:
-    """``condition`` with casts that give NULL where a text does not fit, so that one bad cell
-    makes its own row false instead of ending the job."""
-    return _CAST.sub(lambda m: m[1] or "try_cast(", condition)
+    ``try_to_binary`` gives NULL where anything below it raises, whatever the operation; the
+    condition's text goes through it, so nothing has to be known about the parts it is made of. It
+    stands in a lambda function because Spark computes a part that several expressions of a
+    projection share once, ahead of them all and so outside of what contains it, but never a part
+    of a lambda function."""
+    text = F.transform(F.array(F.lit(0)), lambda _: F.try_to_binary(condition.cast("string"), F.lit("utf-8")))
+    return F.coalesce(F.get(text, F.lit(0)) == F.encode(F.lit("true"), "utf-8"), F.lit(False))
 
 
-def condition_column(df: DataFrame, condition) -> Column | None:
-    """Parse a Spark SQL condition against the context. An unparsable or unresolvable
-    condition counts as false, as in the reference (warning logged)."""
+def condition_column(df: DataFrame, condition, view: RowView) -> Column | None:
+    """Parse a Spark SQL condition against the context. An unparsable or unresolvable condition
+    counts as false (warning logged), one that fails on a row is false for that row, as in the
+    reference."""
     if isinstance(condition, Column):
-        return F.coalesce(condition, F.lit(False))
+        return contained(condition)
+    text = physical_names(condition, view.headers)
     try:
-        c = F.expr(tolerant(condition))
-        df.select(c.cast("boolean")).schema  # force analysis
-        return F.coalesce(c.cast("boolean"), F.lit(False))
+        c = F.expr(text).cast("boolean")
+        df.select(c).schema  # force analysis
     except (AnalysisException, ParseException) as e:
         log.warning("condition %r failed to resolve: %s", condition, e)
         return None
+    # what cannot fail stays bare, so that Catalyst can push it down to the scan
+    return F.coalesce(c, F.lit(False)) if _PLAIN.fullmatch(text) else contained(c)
 
 
 def static_field(df: DataFrame, view: RowView, f: dict, idx: int) -> tuple[Column, Column | None]:
@@ -143,7 +186,7 @@ def static_field(df: DataFrame, view: RowView, f: dict, idx: int) -> tuple[Colum
             # No condition -> value '' with no type and no relationKey.
             return _field(name, F.lit("").cast("variant"), F.lit(""), F.lit(None).cast("string"),
                           F.lit(None).cast("string"), fkey), None
-        cond = condition_column(df, cond_src[3:].strip() if cond_src.startswith("jq:") else cond_src)
+        cond = condition_column(df, cond_src[3:].strip() if cond_src.startswith("jq:") else cond_src, view)
         matched = cond if cond is not None else F.lit(False)
 
         def branch(raw, transform):

@@ -38,20 +38,32 @@ def map_edges(cells: DataFrame) -> DataFrame:
     val = F.upper(tx.py_strip(F.coalesce("value", F.lit(""))))
     return m.select(
         "workbook_id", F.col("sheet").alias("source_sheet"), F.col("row_idx").alias("source_row"),
-        tx.py_strip(F.col("header").substr(F.lit(len(tx.MAP_PREFIX) + 1), F.lit(1 << 30))).alias("slug"),
+        tx.py_strip(F.col("header").substr(F.lit(len(tx.MAP_PREFIX) + 1), F.length("header"))).alias("slug"),
         val.alias("map_value"),
     ).where(~F.col("map_value").isin(*tx.FALSY_MAP_VALUES))
 
 
-def match_edges(edges: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Equi-join slug = key (case-sensitive) within a workbook. Returns (relations,
-    unmatched edges). The key index is one row per distinct key; AQE broadcasts it when its
-    measured size allows, else it is a shuffled join; a hot key is split by AQE skew join."""
-    rel = edges.join(keys.withColumnRenamed("key", "slug"), ["workbook_id", "slug"], "inner").select(
+def join_edges(edges: DataFrame, keys: DataFrame) -> DataFrame:
+    """Every edge with the row that its slug names (case-sensitive, within a workbook) and a
+    flag whether there is one: ``(workbook_id, target_sheet, target_row, source_sheet, source_row,
+    map_value, target_key, matched)``. One outer join feeds relations, unmatched edges and counts.
+
+    The key index is one row per distinct key; AQE broadcasts it when its measured size allows,
+    else it is a shuffled join; a hot key is split by AQE skew join."""
+    return edges.join(keys.withColumnRenamed("key", "slug"), ["workbook_id", "slug"], "left").select(
         "workbook_id", F.col("sheet").alias("target_sheet"), F.col("row_idx").alias("target_row"),
-        "source_sheet", "source_row", "map_value", F.col("slug").alias("target_key"))
-    unmatched = edges.join(keys.withColumnRenamed("key", "slug"), ["workbook_id", "slug"], "left_anti")
-    return rel, unmatched
+        "source_sheet", "source_row", "map_value", F.col("slug").alias("target_key"), F.col("sheet").isNotNull().alias("matched"))
+
+
+def match_edges(edges: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(relations, unmatched edges)."""
+    return split_edges(join_edges(edges, keys))
+
+
+def split_edges(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(relations, unmatched edges) of joined edges."""
+    unmatched = joined.where(~F.col("matched")).select("workbook_id", F.col("target_key").alias("slug"), "source_sheet", "source_row", "map_value")
+    return joined.where("matched").drop("matched"), unmatched
 
 
 def attach_name(source_sheet: Column) -> Column:
@@ -59,12 +71,10 @@ def attach_name(source_sheet: Column) -> Column:
     return F.concat(F.lit(tx.MAPPED_PREFIX), F.regexp_replace(source_sheet, "[^a-zA-Z0-9]", "_"))
 
 
-def relation_report(edges: DataFrame, rel: DataFrame, unmatched: DataFrame) -> DataFrame:
-    """V6: per workbook counts of edges, matched and unmatched relations."""
-    e = edges.groupBy("workbook_id").agg(F.count("*").alias("edges"))
-    m = rel.groupBy("workbook_id").agg(F.count("*").alias("matched"))
-    u = unmatched.groupBy("workbook_id").agg(F.count("*").alias("unmatched"))
-    return e.join(m, "workbook_id", "left").join(u, "workbook_id", "left").fillna(0)
+def relation_report(joined: DataFrame) -> DataFrame:
+    """V6: per workbook counts of edges, matched and unmatched ones, in one pass."""
+    return joined.groupBy("workbook_id").agg(
+        F.count("*").alias("edges"), F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
 
 
 def lookup(rows: DataFrame, other: DataFrame, left_on: str | Column, right_on: str, take: dict[str, str],

@@ -33,13 +33,13 @@ def run_extract(grid: DataFrame, merges: DataFrame | None = None,
     # Sheets with fewer than 2 grid rows produce nothing (no data row joins a header).
     # Stage boundaries: the cleaned cells feed grouping, collapse and the column index; the
     # final cells feed both relation passes and the sink. Checkpointing cuts the lineage there.
-    raw = materialize(clean.build_cells(grid.drop("sheet_ord"), merges))
+    raw = materialize(clean.build_cells(grid.drop("sheet_ord"), merges, block_rows))
     if merges is not None:
         # Only multi-row ranges group rows; data-row numbering = grid row - 2.
         m = merges.select(*K, (F.col("min_row") - 2).alias("min_row"), (F.col("max_row") - 2).alias("max_row"))
         m = m.where(F.col("max_row") >= 0).withColumn("min_row", F.greatest("min_row", F.lit(0)))
         islands = clean.merge_islands(m, block_rows)
-        grouped = clean.row_groups(raw, islands)
+        grouped = clean.row_groups(raw, islands, block_rows)
     else:
         grouped = raw.withColumn("group_id", F.col("row_idx"))
     # C8/C9 apply to every group, single rows included ("nan" -> "", values stripped).
@@ -51,6 +51,6 @@ def run_extract(grid: DataFrame, merges: DataFrame | None = None,
              .select(*K, "sheet_ord", "row_idx", F.coalesce("col_idx", F.lit(0)).alias("col_idx"), "header", "value",
                      "annotation"))
     cells = materialize(cells)
-    edges = relate.map_edges(cells)
-    rel, unmatched = relate.match_edges(edges, relate.key_index(cells))
-    return ExtractResult(cells, rel, unmatched, relate.relation_report(edges, rel, unmatched))
+    # one outer join, read three times
+    joined = materialize(relate.join_edges(relate.map_edges(cells), relate.key_index(cells)))
+    return ExtractResult(cells, *relate.split_edges(joined), relate.relation_report(joined))

@@ -40,17 +40,17 @@ def flagship(spark: SparkSession, sf: str) -> DataFrame:
     items, fields = materialize(res.items), materialize(res.fields)
     sheets = items.select("workbook_id", "sheet").distinct().withColumn("sheet_ord", F.lit(0))
     frags = document_fragments(items, fields, sheets, {"events": EVENTS_SPEC[tx.SPEC_CONFIG_KEY]},
-                               sheet_ords={"events": 0})
+                               sheet_ords={"events": 0}, open_first=res.open_first)
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 
 
 def flagship_oracle_sql() -> str:
     """DuckDB SQL producing the same fragments straight from ``events``."""
-    from ..operators.document import config_block
     from .queries import S_GETTYPE, S_SLUG
 
-    cfg, rel = config_block(EVENTS_SPEC[tx.SPEC_CONFIG_KEY])
+    cfg = '{"rootPath": "/events", "importStrategy": {}, "backupStrategy": {}, "templates": {"session": "{S}", "event": "{E}"}}'
+    rel = "{}"
     el = lambda k, i=0: f"{k}.{i}..0.0"
     name = S_SLUG("event_type || ' #' || CAST(event_id AS VARCHAR)")
     value_field = ("'{\"name\":\"Value\",\"value\":\"' || v || '\",\"type\":\"' || "
@@ -70,7 +70,7 @@ def flagship_oracle_sql() -> str:
         f"SELECT wb, p || '|{el(4)}', '}}' FROM S",
         f"SELECT wb, p || '|{el(0)}', {open_item} FROM C",
         f"SELECT wb, p || '|{el(1, 0)}', {value_field} FROM C",
-        f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Props\",\"value\":' || CAST(json(props) AS VARCHAR) || '}}' FROM C",
+        f"SELECT wb, p || '|{el(1, 1)}', ',{{\"name\":\"Props\",\"value\":' || trim(props) || '}}' FROM C",
         f"SELECT wb, p || '|{el(2)}', '],\"templateKey\":\"event\"' FROM C",
         f"SELECT wb, p || '|{el(4)}', '}}' FROM C",
     ]

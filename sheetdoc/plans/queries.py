@@ -17,7 +17,7 @@ from ..functions import xl
 from ..model import as_sheet, sheet_to_cells
 from ..operators import clean, generate as gen, quality as qa, relate
 from ..operators.segment import forward_fill
-from .flat import run_flat
+from .flat import pivot_fields, run_flat
 from .pipeline import run_sheet
 from .run import run_transform, select_sheets
 from ..session import materialize
@@ -44,7 +44,8 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 # --- SQL snippets shared by the oracles (DuckDB / RE2) ----------------------------------------
-WS = tx.WS
+# Python's white space, as a character class of RE2
+WS = r"\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 
 
 def S_STRIP(x: str) -> str:
@@ -636,6 +637,57 @@ def computed_tolerant(spark, sf):
     return run_flat(sheet, spec, ["Size"])[0].select("row_idx", F.col("Size").alias("size_class"))
 
 
+@query("condition_errors", """
+WITH t AS (SELECT o_orderkey AS row_idx, CASE o_orderkey % 5 WHEN 0 THEN '5x' WHEN 1 THEN '0' WHEN 2 THEN CAST(o_orderkey AS VARCHAR)
+                    WHEN 3 THEN '1996-02-30' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS x FROM orders)
+SELECT row_idx, CASE WHEN coalesce(TRY_CAST(x AS INTEGER) > 500, FALSE) THEN 'y' ELSE 'n' END AS by_function,
+       CASE WHEN coalesce(TRY_CAST(x AS INTEGER) > 500, FALSE) THEN 'y' ELSE 'n' END AS by_cast,
+       CASE WHEN coalesce(TRY_CAST(x AS BIGINT) > 500, FALSE) THEN 'y' ELSE 'n' END AS by_number,
+       CASE WHEN coalesce(10 / nullif(TRY_CAST(x AS DOUBLE), 0) < 0.01, FALSE) THEN 'y' ELSE 'n' END AS by_division,
+       CASE WHEN coalesce(CASE WHEN regexp_full_match(x, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN TRY_CAST(x AS DATE) END > DATE '1995-01-01', FALSE) THEN 'y' ELSE 'n' END AS by_date,
+       CASE WHEN coalesce(TRY_CAST(x AS BIGINT) * 1000000 BETWEEN 1 AND 2147483647, FALSE) THEN 'y' ELSE 'n' END AS by_overflow
+FROM t WHERE row_idx % 5 = 4 OR coalesce(TRY_CAST(x AS BIGINT) >= 0, FALSE)
+""")
+def condition_errors(spark, sf):
+    """Whatever fails in a condition (casts, comparisons with numbers, divisions, dates,
+    overflows) makes its own row false; a filter drops that row alone."""
+    o = _t(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    k = F.col("o_orderkey") % 5
+    x = (F.when(k == 0, "5x").when(k == 1, "0").when(k == 2, F.col("o_orderkey").cast("string")).when(k == 3, "1996-02-30")
+         .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    sheet = as_sheet(o, "wb", "orders", "o_orderkey", {"X": x, "K": k.cast("string"), "Y": F.lit("y"), "N": F.lit("n")})
+    tests = {
+        "by_function": "int(X.value) > 500", "by_cast": "X.value::int > 500", "by_number": "X.value > 500",
+        "by_division": "10 / X.value < 0.01", "by_date": "to_date(X.value, 'yyyy-MM-dd') > DATE'1995-01-01'",
+        "by_overflow": "int(X.value) * 1000000 > 0",
+    }
+    spec = {"items": [{"templateKey": "o", "filter": "CASE WHEN K.value = '4' THEN true ELSE X.value >= 0 END", "name": "o", "fields": [
+        {"name": n, "computed": True, "condition": c, "value": "Y", "else_value": "N"} for n, c in tests.items()]}]}
+    return run_flat(sheet, spec, list(tests))[0].select("row_idx", *tests)
+
+
+@query("header_case_names", """
+SELECT doc_id AS row_idx, lang AS upper_item, coalesce(source, '') AS lower_item, 's' || doc_id AS of_sheet, CAST(coalesce(n_chars, 0) AS VARCHAR) AS of_row,
+       'w' || doc_id AS of_book, 'x' || doc_id AS of_hidden, 'p' || doc_id AS of_price, CASE WHEN coalesce(source, '') < 'src5' THEN 'low' ELSE 'high' END AS half
+FROM documents WHERE lang IN ('en', 'de')
+""")
+def header_case_names(spark, sf):
+    """Headers that differ in case only, equal a key column's name or look like internal names
+    are all read, in fields, filters and conditions."""
+    d = _t(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    tag = lambda t: F.concat(F.lit(t), F.col("doc_id").cast("string"))
+    cells = {"Item": F.col("lang"), "item": F.col("source"), "sheet": tag("s"), "row_idx": F.coalesce("n_chars", F.lit(0)), "workbook_id": tag("w"),
+             "__x": tag("x"), "$price": tag("p"), "Low": F.lit("low"), "High": F.lit("high")}
+    long = sheet_to_cells(as_sheet(d, "wb", "docs", "doc_id", cells), list(cells))
+    read = {"upper_item": "Item", "lower_item": "item", "of_sheet": "sheet", "of_row": "row_idx", "of_book": "workbook_id", "of_hidden": "__x", "of_price": "$price"}
+    spec = {"sheets": {"docs": {"items": [{
+        "templateKey": "d", "name": "d",
+        "filter": "Item.value IN ('en', 'de') AND sheet.value LIKE 's%' AND `$price`.value <> '' AND __x.value <> workbook_id.value",
+        "fields": [{"name": n, "value": h} for n, h in read.items()] + [
+            {"name": "half", "computed": True, "condition": "item.value < 'src5'", "value": "Low", "else_value": "High"}]}]}}}
+    return pivot_fields(run_transform(long, spec), [*read, "half"]).select("row_idx", *read, "half")
+
+
 WORKBOOK_SQL = """
 WITH e AS (SELECT * FROM events),
 row_cells AS (
@@ -830,7 +882,7 @@ def json_promote(spark, sf):
     """Text holding a JSON array/object becomes native; scalars and broken JSON stay text."""
     e = _t(spark, sf, "events")
     s = (F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("["), F.col("props"), F.lit("]")))
-         .when(F.col("event_id") % 7 == 0, F.col("props").substr(F.lit(2), F.lit(1 << 30))).otherwise(F.col("props")))
+         .when(F.col("event_id") % 7 == 0, F.col("props").substr(F.lit(2), F.length("props"))).otherwise(F.col("props")))
     v = e.select("event_id", s.alias("s")).withColumn("v", tx.json_promote(F.col("s")))
     kind = F.schema_of_variant("v")
     k = F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array").otherwise("string")
@@ -896,7 +948,7 @@ def workbook_check(spark, sf):
     d = (F.when(k == 0, F.concat(F.lit('{"workbook": '), F.col("props"), F.lit("}"))).when(k == 1, F.col("props"))
          .when(k == 2, F.concat(F.lit("["), F.col("props"), F.lit("]")))
          .when(k == 3, F.concat(F.lit('{"workbook": ['), F.col("props"), F.lit("]}")))
-         .otherwise(F.col("props").substr(F.lit(2), F.lit(1 << 30))))
+         .otherwise(F.col("props").substr(F.lit(2), F.length("props"))))
     return qa.workbook_check(e.select("event_id", d.alias("d")), "d").select("event_id", "status")
 
 
@@ -986,9 +1038,8 @@ def hierarchy_items(spark, sf):
 
 
 def _hierarchy_doc_sql() -> str:
-    from ..operators.document import config_block
-
-    cfg, rel = config_block(HIERARCHY_SPEC[tx.SPEC_CONFIG_KEY])
+    cfg = '{"rootPath": "/geo", "importStrategy": {}, "backupStrategy": {}, "templates": {"region": "{R}", "nation": "{N}", "customer": "{C}"}}'
+    rel = "{}"
     R, N = 1 << 41, 1 << 35
     el = lambda k, i=0: f"{k}.{i}..0.0"
     parts = [
@@ -1040,7 +1091,7 @@ def hierarchy_doc(spark, sf):
     res = run_sheet(_hierarchy_sheet(spark, sf), HIERARCHY_SPEC)
     sheets = spark.createDataFrame([("geo", "hierarchy", 0)], "workbook_id string, sheet string, sheet_ord int")
     frags = document_fragments(materialize(res.items), materialize(res.fields), sheets,
-                               {"hierarchy": HIERARCHY_SPEC[tx.SPEC_CONFIG_KEY]}, sheet_ords={"hierarchy": 0})
+                               {"hierarchy": HIERARCHY_SPEC[tx.SPEC_CONFIG_KEY]}, sheet_ords={"hierarchy": 0}, open_first=res.open_first)
     key_txt = F.array_join(F.transform("key", lambda e: F.concat_ws(".", e.k, e.d, e.g, e.r, e.s)), "|")
     return frags.select("workbook_id", key_txt.alias("frag_key"), "text")
 
@@ -1231,3 +1282,6 @@ def spec_lookup(spark, sf):
     flat = pivot_fields(res, ["Nation", "RegionKey"], extra={"region_key_type": ("RegionKey", "type")})
     return flat.select(F.col("row_idx").alias("s_suppkey"), F.col("Nation").alias("nation"),
                        F.col("RegionKey").alias("region_key"), "region_key_type")
+
+
+from . import queries_extract  # noqa: E402, F401  (registers its queries here)

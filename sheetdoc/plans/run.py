@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import SPEC_CONFIG_KEY
-from ..model import cells_to_sheet
+from ..model import cells_to_sheets
 from ..operators import document as doc
 from ..operators import quality as qa
 from ..operators.segment import DEFAULT_BLOCK_ROWS
 from ..session import materialize
-from .pipeline import FIELDS_DDL, ITEMS_DDL, run_sheet
+from .pipeline import FIELDS_DDL, ITEMS_DDL, SheetSpecRunner, run_levels
 from .spec import referenced_headers, require_spec
 
 
@@ -80,21 +80,21 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     require_spec(spec)
     names, chosen_sheets, report, ords = select_sheets(cells, spec, sheets)
     defs = spec.get("sheets", {}) or {}
-    items, fields, viols, warnings = [], [], [], []
+    frames = cells_to_sheets(cells, {s: referenced_headers(defs[s] or {}) for s in names}, rows) if names else {}
+    runners = {}
     for s in names:
-        sdef = defs[s] or {}
-        own = F.col("sheet") == s
-        frame = cells_to_sheet(cells.where(own), referenced_headers(sdef), rows.where(own) if rows is not None else None)
-        defs_top = sdef.get("items", []) or []
-        if len(defs_top) > 1 or any(d.get("scope_children") or d.get("templateKey") == "group" for d in defs_top):
-            # Several definitions (each checkpointed scope is its own job) read the same widened
-            # sheet: widen once.
+        frame, top = frames[s], (defs[s] or {}).get("items", []) or []
+        if len(names) == 1 and (len(top) > 1 or any(d.get("scope_children") or d.get("templateKey") == "group" for d in top)):
+            # Several definitions (or a checkpointed scope and its items) read the same widened
+            # sheet: widen once. Several sheets have been written together already.
             frame = materialize(frame)
-        res = run_sheet(frame, sdef, block_rows=block_rows, strict=False, cells=cells, relations=relations, mapped=mapped)
-        items.append(res.items)
-        fields.append(res.fields)
-        viols.append(res.violations)
-        warnings += [f"[{s}] {w}" for w in res.warnings]
+        runners[s] = SheetSpecRunner(defs[s], block_rows, True, cells, relations, mapped)
+        runners[s].start(frame)
+    run_levels(list(runners.values()))
+    results = {s: r.result() for s, r in runners.items()}
+    items, fields, viols = ([getattr(r, part) for r in results.values()] for part in ("items", "fields", "violations"))
+    warnings = [f"[{s}] {w}" for s, r in results.items() for w in r.warnings]
+    open_first = any(r.open_first for r in results.values())
     u = lambda xs, ddl: reduce(lambda a, b: a.unionByName(b), xs) if xs else spark.createDataFrame([], ddl)
     it, fl = u(items, ITEMS_DDL), u(fields, FIELDS_DDL)
     vi = reduce(lambda a, b: a.unionByName(b), viols) if viols else qa.empty_violations(spark)
@@ -102,5 +102,5 @@ def run_transform(cells: DataFrame, spec: dict, strict: bool = False,
     # items/fields feed several aggregates and joins of the document writer: materialize once.
     it, fl = materialize(it), materialize(fl)
     frags = doc.document_fragments(it, fl, chosen_sheets, {s: (defs[s] or {}).get(SPEC_CONFIG_KEY, {}) for s in names},
-                                   sheet_ords=ords)
+                                   sheet_ords=ords, open_first=open_first)
     return RunResult(it, fl, vi, frags, chosen_sheets, report, warnings)

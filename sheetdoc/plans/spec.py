@@ -40,6 +40,8 @@ def load_spec(path: str) -> dict:
 _CELL_IN_SQL = re.compile(r"(`(?:[^`]|``)+`|[A-Za-z_]\w*)\s*\.\s*(?:value|annotation)\b")
 _QUOTED = re.compile(r"`((?:[^`]|``)+)`")
 
+#: Tokens that stand for something else than a header of their name.
+_TOKENS = {"$base", "$base_annotation", "$variant", "$variant_annotation", "__column__", "__cell__", "__base_cell__", "__scope__"}
 #: Keys of a definition under which texts name columns.
 _NAMING = {"field", "value", "else_value", "column", "columns", "group_by", "name_from", "value_from", "on", "column_base", "column_data"}
 
@@ -48,7 +50,8 @@ def referenced_headers(sheet_spec: dict) -> list[str]:
     """Every header that a sheet definition can read, from the spec alone.
 
     The texts in its item definitions that name columns, the cells that filters and conditions
-    mention, the base and data columns. A name that a sheet lacks only gives empty cells."""
+    mention, the base and data columns, exactly as they are spelled. A name that a sheet lacks only
+    gives empty cells."""
     found: set[str] = set()
 
     def sql(text: str) -> None:
@@ -71,4 +74,4 @@ def referenced_headers(sheet_spec: dict) -> list[str]:
     structure = sheet_spec.get("source_structure", {}) or {}
     walk(sheet_spec.get("items", []))
     walk({k: structure.get(k) for k in ("column_base", "column_data", "columns")})
-    return sorted(h for h in found if h and not h.startswith(("$", "__")) and h not in ("workbook_id", "sheet", "row_idx"))
+    return sorted(h for h in found if h and h not in _TOKENS)

@@ -10,8 +10,12 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -71,3 +75,20 @@ def materialize(df):
         return df
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize_all(dfs: list[DataFrame]) -> list[DataFrame]:
+    """``materialize`` for several frames in one job: they are written together, each to a
+    partition of its own of one Parquet table in the checkpoint folder, and read back from there.
+
+    Frames may differ in columns; a column of the same name has the same type in all of them."""
+    if len(dfs) <= 1 or dfs[0].sparkSession.conf.get(MATERIALIZE_CONF, "checkpoint") == "none":
+        return [materialize(df) for df in dfs]
+    spark = dfs[0].sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/frames/{uuid.uuid4().hex}"
+    numbered = [df.withColumn("__frame", F.lit(i)) for i, df in enumerate(dfs)]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    every.write.partitionBy("__frame").parquet(path)
+    fields = [f for f in every.schema.fields if f.name != "__frame"]
+    back = spark.read.schema(T.StructType([*fields, T.StructField("__frame", T.IntegerType())])).parquet(path)
+    return [back.where(F.col("__frame") == i).select(*df.columns) for i, df in enumerate(dfs)]

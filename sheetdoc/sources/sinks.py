@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import MAP_VALUE_KEY
-from ..operators.document import write_documents
+from ..operators.document import value_json, write_documents
 
 K = ["workbook_id", "sheet"]
 
@@ -20,15 +20,9 @@ def write_cells(cells: DataFrame, path: str) -> None:
      .sortWithinPartitions(*K, "row_idx", "col_idx").write.mode("overwrite").parquet(path))
 
 
-def value_json(c="value"):
-    """Exact JSON text of a variant value (``"s"``, ``true``, ``[..]``, ``{..}``)."""
-    j = F.to_json(F.struct(F.col(c).alias("v")))  # {"v":<json>}
-    return j.substr(F.lit(6), F.length(j) - 6)
-
-
 def flat_fields(fields: DataFrame) -> DataFrame:
-    """Fields with the variant value as portable JSON text (``value_json``)."""
-    return fields.withColumn("value_json", value_json("value")).drop("value")
+    """Fields with the value as JSON text (``value_json``), exactly as the document has it."""
+    return fields.withColumn("value_json", value_json()).drop("value", "first")
 
 
 def write_flat(items: DataFrame, fields: DataFrame, path: str) -> None:

@@ -31,7 +31,7 @@ def test_extract_then_transform_with_relations(spark):
     grid = spark.createDataFrame(g, GRID_DDL)
     merges = spark.createDataFrame([("w", "dishes", 2, 3, 1, 1)],
                                    "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
-    ex = run_extract(grid, merges, block_rows=4)
+    ex = run_extract(grid, merges, block_rows=1 << 10)
     cells = {(c.sheet, c.row_idx, c.header): (c.value, c.annotation) for c in ex.cells.collect()}
     assert cells[("herbs", 0, "Name")] == ("Green", "nice")
     assert cells[("dishes", 0, "Dish")] == ("Soup", None)           # merged group rows 0-1 collapsed

@@ -43,7 +43,6 @@ def test_value(spark):
              ("not a number", None), ("10.0", 10.0), ("1d", None), (" 7 ", 7.0)]
     got = ev(spark, [xl.value(F.lit(v)) for v, _ in cases])
     assert got == [e for _, e in cases]
-    assert ev(spark, [xl.value_text(F.lit("10.0")), xl.value_text(F.lit("2.5")), xl.value_text(F.lit("x"))]) == ["10", "2.5", ""]
 
 
 def test_textjoin_proper_char_clean(spark):
@@ -138,19 +137,6 @@ def test_json_promote_and_strict(spark):
                    '{"v":"{\\"k\\": 1} trailing"}', '{"v":{"x":[1]}}']
 
 
-def test_predicates(spark):
-    from sheetdoc.functions import predicates as P
-
-    df = spark.createDataFrame([(1, "a", None), (2, "b", ""), (3, "a", "x")], "k int, g string, v string")
-    assert [r.k for r in df.where(P.ne("v", "")).orderBy("k").collect()] == [1, 3]
-    assert [r.k for r in df.where(P.eq("v", None)).collect()] == [1]
-    assert [r.k for r in P.row_filter(df, "v = 'x'").collect()] == [3]
-    assert P.row_filter(df, ".").count() == 3
-    heads = P.head_rows(df, ["g"], "k", P.ne("v", ""))
-    assert sorted((r.g, r.k) for r in heads.collect()) == [("a", 1)]
-    assert [r.k for r in df.where(P.test("v", "^x") | P.longer_than("g", 5)).collect()] == [3]
-
-
 def test_python_named_groups(spark):
     got = ev(spark, [tx.regex_capture(F.lit("ID 2024-2024"), r"(?P<y>\d{4})-(?P=y)")])
     assert got == ["2024"]

@@ -27,6 +27,8 @@ def test_matrix_relations_golden(spark):
     assert got == [("basil", "herbs", 0, "dishes", 0, "YES"), ("basil", "herbs", 0, "dishes", 1, "YES"),
                    ("thyme", "herbs", 1, "dishes", 1, "YES")]
     assert un.count() == 0
+    joined = relate.join_edges(relate.map_edges(cells), relate.key_index(cells))
+    assert [tuple(r) for r in relate.relation_report(joined).collect()] == [(cells.first().workbook_id, 3, 3, 0)]
     assert spark.range(1).select(relate.attach_name(F.lit("my source"))).first()[0] == "__MAPPED_my_source"
 
 
@@ -63,7 +65,7 @@ def test_merge_islands_and_fill(spark):
         [("w", "s", 2, 4, 1, 1), ("w", "s", 4, 6, 2, 2), ("w", "s", 8, 9, 1, 1), ("w", "s", 11, 11, 1, 3),
          ("w", "s", 7, 7, 2, 2)],
         "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
-    isl = sorted(tuple(r) for r in clean.merge_islands(merges, block_rows=4).select(
+    isl = sorted(tuple(r) for r in clean.merge_islands(merges, block_rows=1 << 10).select(
         "island_start", "island_end", "n_ranges").collect())
     assert isl == [(2, 6, 2), (8, 9, 1)]
     grid = spark.createDataFrame(
@@ -100,8 +102,8 @@ def test_blocked_scan_equals_window_and_is_order_invariant(spark):
     hdr = F.col("event_type") == "signup"
     ref = forward_fill(ev, hdr, ["user_id"], "event_id", "s", block_rows=None)
     shuffled = ev.repartition(7, F.rand(3))
-    blk = forward_fill(shuffled, hdr, ["user_id"], "event_id", "s", block_rows=16)
-    giant = forward_fill(shuffled, hdr, [], "event_id", "s", block_rows=64)
+    blk = forward_fill(shuffled, hdr, ["user_id"], "event_id", "s", block_rows=256)
+    giant = forward_fill(shuffled, hdr, [], "event_id", "s", block_rows=64, key_bits=18)
     w = Window.orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0)
     giant_ref = ev.withColumn("s", F.max(F.when(hdr, F.col("event_id"))).over(w))
     key = lambda df: sorted(tuple(r) for r in df.select("event_id", "s").collect())
@@ -109,6 +111,53 @@ def test_blocked_scan_equals_window_and_is_order_invariant(spark):
     assert key(giant) == key(giant_ref)
 
 
+def test_scan_of_sparse_keys_in_bounded_blocks(spark):
+    """Keys that lie anywhere in 62 bits: every level's windows stay within a block."""
+    import random
+
+    r = random.Random(3)
+    keys = sorted(r.sample(range(1 << 62), 400))
+    rows = spark.createDataFrame([(k, r.random() < 0.1) for k in keys], "k long, h boolean").repartition(5)
+    got = {x.k: x.s for x in forward_fill(rows, F.col("h"), [], "k", "s", block_rows=1 << 9, key_bits=63).collect()}
+    last, want = None, {}
+    for x in sorted(rows.collect()):
+        last = x.k if x.h else last
+        want[x.k] = last
+    assert got == want
+
+
+def test_merge_over_ten_million_rows(spark):
+    """A tall merge costs no more than its two ends: nothing is expanded to rows."""
+    ddl = "workbook_id string, sheet string, row int, col int, value string, annotation string"
+    at = [1, 2, 3, 5_000_000, 10_000_001, 10_000_002]
+    cells = spark.createDataFrame([("w", "s", x, c, f"v{x}-{c}", "note" if x == 2 else None) for x in at for c in (1, 2)], ddl)
+    merges = spark.createDataFrame([("w", "s", 2, 10_000_001, 1, 1)], "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
+    got = {(c.row, c.col): (c.value, c.annotation, c.is_merged) for c in clean.fill_merged(cells, merges).collect()}
+    assert len(got) == 12 and {x for x, c in got if got[x, c][2]} == {2, 3, 5_000_000, 10_000_001}
+    assert got[5_000_000, 1] == ("v2-1", "note", True) and got[5_000_000, 2] == ("v5000000-2", None, False)
+    rows = cells.select("workbook_id", "sheet", (F.col("row") - 2).cast("long").alias("row_idx")).where("row_idx >= 0").distinct()
+    islands = clean.merge_islands(merges.withColumn("min_row", F.col("min_row") - 2).withColumn("max_row", F.col("max_row") - 2))
+    groups = {x.row_idx: x.group_id for x in clean.row_groups(rows, islands).collect()}
+    assert groups == {0: 0, 1: 0, 4_999_998: 0, 9_999_999: 0, 10_000_000: 10_000_000}
+
+
+def test_overlapping_merges_give_each_row_to_the_last_range(spark):
+    """Not possible in a workbook, but defined: the greatest (min_row, min_col) that covers a row."""
+    import random
+
+    r = random.Random(5)
+    ranges = {(a, a + r.randrange(9), c, c + r.randrange(3)) for a, c in ((r.randrange(2, 40), r.randrange(1, 5)) for _ in range(25))}
+    ranges = list({(a, c): (a, b, c, d) for a, b, c, d in ranges}.values())
+    cells = spark.createDataFrame([("w", "s", x, c, f"{x}-{c}", None) for x in range(1, 55) for c in range(1, 8)],
+                                  "workbook_id string, sheet string, row int, col int, value string, annotation string")
+    merges = spark.createDataFrame([("w", "s", *x) for x in ranges], "workbook_id string, sheet string, min_row int, max_row int, min_col int, max_col int")
+    got = {(c.row, c.col): c.value for c in clean.fill_merged(cells, merges).collect()}
+    for x in range(1, 55):
+        for c in range(1, 8):
+            over = [(a, lo) for a, b, lo, hi in ranges if a <= x <= b and lo <= c <= hi]
+            assert got[x, c] == ("%d-%d" % max(over) if over and x >= 2 else f"{x}-{c}")
+
+
 def test_workbook_json_source_and_check(spark):
     doc = {"workbook": {"s2": [{"B": {"value": "1"}, "A": {"value": "x", "annotation": "n"}}],
                         "s1": [{"C": {"value": ""}}, {"C": {"value": "z"}, "__MAP_VALUE__": "YES",

@@ -265,3 +265,64 @@ def test_head_only_after_generators(spark):
     assert [i["name"] for i in docs[0]["items"]] == ["z"]
     docs, _ = run(spark, rows, [head | {"group_by": {"column": "K"}}])
     assert [i["name"] for i in docs[0]["items"]] == ["a|c"]
+
+
+def test_conditions_contain_every_failure(spark):
+    """Casts, comparisons with numbers, divisions, dates, overflows and indexes that fail are false
+    for their row; texts, names and functions in a condition are left alone."""
+    cells = ["5x", "0", "7", "", "1996-02-30", "1996-02-28", "99999999999999999999"]
+    tests = {
+        "int(A.value) > 5": {"7"}, "A.value::int > 5": {"7"}, "A.value > 5": {"7"}, "10 / A.value > 1": {"7"},
+        "to_date(A.value) > DATE'1990-01-01'": {"1996-02-28"}, "int(A.value) * 1000000000 > 0": set(),
+        "split(A.value, '-')[1] = '02'": {"1996-02-30", "1996-02-28"}, "length(A.value) = 1 AND A.value <> 'A.value'": {"0", "7"},
+        "A.value IN ('7', 'A')": {"7"}, "NOT (A.value <=> '') AND int(A.value) >= 0": {"0", "7"}, "raise_error(A.value)": set(),
+    }
+    rows = [{"A": {"value": v}, "Y": {"value": "y"}, "N": {"value": "n"}} for v in cells]
+    fields = [{"name": f"t{i}", "computed": True, "condition": c, "value": "Y", "else_value": "N"} for i, c in enumerate(tests)]
+    docs, _ = run(spark, rows, [{"templateKey": "item", "filter": ".", "name": {"field": "A"}, "fields": fields}])
+    for i, (c, want) in enumerate(tests.items()):
+        got = {it["name"] for it in docs[0]["items"] if it["fields"][i]["value"] == "y"}
+        assert got == want, c
+    for c, want in tests.items():
+        docs, _ = run(spark, rows, [{"templateKey": "item", "filter": c, "name": {"field": "A"}}])
+        assert {it["name"] for it in docs[0]["items"]} == want, c
+
+
+def test_any_header_name(spark):
+    names = ["Item", "item", "ITEM", "sheet", "workbook_id", "row_idx", "__x", "__h0", "__ord", "$p", "a.b", "a`b", "and", "value", "é"]
+    row = {n: {"value": f"v{i}", "annotation": f"n{i}"} for i, n in enumerate(names)}
+    fields = [{"name": f"f{i}", "value": n} for i, n in enumerate(names)] + [
+        {"name": f"a{i}", "value": f"$annotation:{n}"} for i, n in enumerate(names)] + [
+        {"name": f"c{i}", "computed": True, "condition": f"`{n.replace('`', '``')}`.value = 'v{i}' AND `{n.replace('`', '``')}`.annotation RLIKE '^n'",
+         "value": True, "else_value": False} for i, n in enumerate(names)] + [
+        {"name": "plain", "computed": True, "condition": "Item.value = 'v0' and item.value = 'v1' and sheet.value = 'v3' and __x.value = 'v6' and value.value = 'v13'",
+         "value": True, "else_value": False}]
+    docs, _ = run(spark, [row], [{"templateKey": "item", "filter": "item.value = 'v1' AND Item.value <> 'item.value'", "name": {"field": "item"}, "fields": fields}])
+    (it,) = docs[0]["items"]
+    got = {f["name"]: f["value"] for f in it["fields"]}
+    for i in range(len(names)):
+        assert (got[f"f{i}"], got[f"a{i}"], got[f"c{i}"]) == (f"v{i}", f"n{i}", True), names[i]
+    assert got["plain"] is True and it["name"] == "v1"
+
+
+def test_nested_values_keep_their_text_in_both_sinks(spark):
+    from sheetdoc.sources.sinks import flat_fields
+
+    texts = ['{"b":1,"a":1.50}', ' [1.0, 2] ', "plain", "42", '{"a":1,"a":2}']
+    docs, res = run(spark, [{"A": {"value": t}} for t in texts], [{"templateKey": "item", "filter": ".", "fields": [{"name": "A", "value": "A"}]}])
+    flat = [r.value_json for r in flat_fields(res.fields).orderBy("item_id").collect()]
+    assert flat == ['{"b":1,"a":1.50}', "[1.0, 2]", '"plain"', '"42"', json.dumps(texts[4])]
+    assert [it["fields"][0]["value"] for it in docs[0]["items"]] == [{"b": 1, "a": 1.5}, [1.0, 2], "plain", "42", texts[4]]
+
+
+def test_first_field_is_known_or_found(spark):
+    """Commas between fields: static fields that may be left out, and dynamic ones after them."""
+    rows = [{"K": {"value": k}, "N": {"value": n}, "V": {"value": v}} for k, n, v in (("a", "x", "1"), ("a", "y", "2"), ("b", "", ""), ("c", "z", "3"))]
+    maybe = [{"name": "S", "computed": True, "condition": "K.value = 'c'", "value": True, "omit_if_false": True}]
+    items = [{"templateKey": "g", "group_by": {"column": "K"}, "filter": ".", "name": {"field": "K"}, "fields": maybe,
+              "dynamic_fields": {"source": "__scope__", "name_from": "N", "value_from": "V"}}]
+    docs, _ = run(spark, rows, items)
+    assert [(i["name"], [f["name"] for f in i["fields"]]) for i in docs[0]["items"]] == [("a", ["x", "y"]), ("b", []), ("c", ["S", "z"])]
+    items[0]["fields"] = [{"name": "T", "value": "K"}, *maybe]
+    docs, _ = run(spark, rows, items)
+    assert [(i["name"], [f["name"] for f in i["fields"]]) for i in docs[0]["items"]] == [("a", ["T", "x", "y"]), ("b", ["T"]), ("c", ["T", "S", "z"])]
