@@ -5,11 +5,10 @@ archive's own records; every record follows as a Zstandard frame of its own, so
 start at any record. Of pages with equal payloads the one with the smallest id is written as a
 ``response`` record, the others as ``revisit`` records without a payload that name it.
 
-Pages are put into archives in the order of their ids: a range sort deals them over tasks, and a
-task closes an archive once ``ARCHIVE_BYTES`` of records are buffered, whatever the number of pages.
-A task writes to a name of its own and renames the file when it is complete, so a task that
-is repeated (a lost executor, speculation) replaces a file by an equal one; only files that the
-writer reports are read. The folder must be one that all executors share; paths with a scheme go
+Payloads are not shuffled to be written: a task takes the pages of its part of the staged table in
+their order there, and closes an archive once ``ARCHIVE_BYTES`` of records are buffered. It writes to
+a name of its own and renames the file when it is complete, so a task that is repeated (a lost
+executor, speculation) replaces a file by an equal one; only files that the writer reports are read. The folder must be one that all executors share; paths with a scheme go
 through ``pyarrow.fs``.
 
 Equal payloads are found by SHA-1 and length, as web archives do. The least id of a payload is
@@ -216,10 +215,10 @@ def write_archives(pages: DataFrame, folder: str | None = None, page_id: str = "
         "sha1": F.sha1("payload"), "length": F.octet_length("payload").cast("long"), "row": F.monotonically_increasing_id()})
     roles = _with_roles(stage(rows, "warc-pages"))
     ready = roles.select(
-        F.col("page_id").alias("order"), F.col("page_id").cast("string").alias("page_id"), "url",
+        F.col("page_id").cast("string").alias("page_id"), "url",
         F.when(F.col("first").isNull(), F.col("payload")).alias("payload"), "sha1", "length", "row",
         F.col("first.page_id").cast("string").alias("first_id"), F.col("first.row").alias("first_row"),
-    ).repartitionByRange("order", "row").sortWithinPartitions("order", "row").drop("order")
+    ).sortWithinPartitions("row")  # a repeated task cuts its archives at the same records
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
@@ -280,5 +279,6 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    listed = archives.select("archive").distinct()
+    spread = max(archives.sparkSession.sparkContext.defaultParallelism, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    listed = archives.select("archive").distinct().repartition(spread, "archive")  # a given number is not coalesced
     return listed.mapInPandas(read, RECORDS + (", payload binary" if payload else ""))
