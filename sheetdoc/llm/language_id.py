@@ -16,20 +16,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sheetdoc.llm.common import bound_batches, stage
+from sheetdoc.llm.common import bound_batches
 
-#: Labelled documents to learn from, and the most frequent entries kept of words and of each n.
-TRAIN_DOCS = 1_200
-WORDS_KEPT = 60_000
-GRAMS_KEPT = 20_000
-#: Documents of each language at least, and entries kept of each language's words and n-grams.
-LEAST_DOCS, LEAST_KEPT = 300, 5_000
+#: Labelled documents to learn from, and documents of each language at least. All their words and
+#: n-grams are kept.
+TRAIN_DOCS, LEAST_DOCS = 1_200, 300
 LONGEST_GRAM = 5
 MAX_WORD = 64
-CACHE_ROWS = 300_000
+CACHE_ROWS = 150_000
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -109,8 +106,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = T
 
     About ``most`` distinct texts are used, in equal parts for the languages but LEAST_DOCS of each
     where there are so many, chosen by a hash of their text, so that reruns agree; counting runs in
-    the tasks and is pre-aggregated before the shuffle. What comes to the driver is bounded by
-    WORDS_KEPT and GRAMS_KEPT, and LEAST_KEPT a language."""
+    the tasks and is pre-aggregated before the shuffle. What comes to the driver are the entries of
+    this bounded sample, all of them."""
     bound_batches(docs.sparkSession)
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.select("lang", F.xxhash64("text").alias("h")).distinct().groupBy("lang").count().collect()
@@ -141,17 +138,8 @@ def train(docs: DataFrame, lang: str = "lang", text: str = "text", most: int = T
         rows.mapInPandas(count, "lang string, n int, gram string, c long")
         .groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
         .groupBy("n", "gram").agg(F.sum("c").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "c"))).alias("by"))
-        .where("total > 1 OR n = 1")
     )
-    counts, kept = stage(counts, "language-counts"), None
-    for n in range(LONGEST_GRAM + 1):
-        top = counts.where(F.col("n") == n).orderBy(F.desc("total"), "gram").limit(GRAMS_KEPT if n else WORDS_KEPT)
-        kept = top if kept is None else kept.unionAll(top)
-    # a language with fewer words than others has its own most frequent ones, too
-    own = Window.partitionBy("n", "lang").orderBy(F.desc("c"), "gram")
-    ranked = counts.select("n", "gram", F.explode("by").alias("lang", "c")).withColumn("at", F.row_number().over(own))
-    least = ranked.where(F.col("at") <= LEAST_KEPT).select("n", "gram").distinct()
-    got = kept.unionAll(counts.join(least, ["n", "gram"], "left_semi").select(*counts.columns)).dropDuplicates(["n", "gram"]).orderBy("n", "gram").collect()
+    got = counts.orderBy("n", "gram").collect()
     langs = sorted({name for r in got for name in r["by"]})
     if not langs:
         return None

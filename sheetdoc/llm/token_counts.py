@@ -70,7 +70,10 @@ def _frequent_runs(docs: DataFrame, text: str, tokenizer_file: str) -> dict[byte
     # the sample only fills a cache: it has no influence on any count
     there = docs.count()
     share = int((1 << 20) * min(1.0, SAMPLE_DOCS / max(there, 1)))
-    sample = docs.select(F.col(text)).where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < share).repartition(1)
+    h = F.xxhash64(text)
+    sample = docs.select(F.col(text), h.alias("h")).where(F.pmod(h, F.lit(1 << 20)) < share)
+    # copies of a text are one: a frequent one cannot fill the task
+    sample = sample.groupBy("h").agg(F.first(text).alias(text)).select(text).repartition(1)
     return {bytes(r.run): r.n for r in sample.mapInPandas(count, "run binary, n long").collect()}
 
 
