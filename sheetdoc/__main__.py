@@ -52,7 +52,7 @@ def _transform(spark: SparkSession, a) -> int:
         # V4: the structure of every input document, reported next to the outputs.
         workbook_check(docs, "value", key).select("workbook_id", "status").write.mode("overwrite").parquet(
             f"{a.out}/document_report")
-        books = read_workbooks(docs, key)
+        books = read_workbooks(docs, key, split=a.split)
         cells = books.cells
     relations = spark.read.parquet(a.relations) if a.relations else None
     try:
@@ -87,6 +87,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--relations")
     t.add_argument("--out", required=True)
     t.add_argument("--strict", action="store_true")
+    t.add_argument("--split", action="store_true", help="cut large documents at their rows' ends")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName(f"sheetdoc-{a.cmd}").getOrCreate()
     from .session import ensure_checkpoint_dir

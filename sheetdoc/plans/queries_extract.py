@@ -11,6 +11,7 @@ from ..model import as_sheet, sheet_to_cells
 from ..operators import relate
 from ..operators.segment import forward_fill
 from ..sources.sinks import workbook_json_fragments
+from ..sources.workbook_json import read_workbooks
 from .extract import run_extract
 from .flat import run_flat
 from .queries import REGION_SQL, _region_grid, _region_workbooks, _t, query
@@ -199,3 +200,25 @@ def corpus_transform(spark, sf):
     key = ["workbook_id", "sheet", "item_id"]
     of_item = res.fields.groupBy(*key).agg(F.count("*").cast("int").alias("n_fields"), F.max(F.when(F.col("name") == "First", F.col("text"))).alias("first_field"))
     return res.items.join(of_item, key, "left").select("workbook_id", "sheet", "depth", "row_idx", "name", "n_fields", "first_field")
+
+
+@query("workbook_json_split", """
+WITH r AS (SELECT o_orderkey, (row_number() OVER (PARTITION BY o_custkey % 3 ORDER BY o_orderkey)) - 1 AS row_idx, o_custkey % 3 AS b, o_orderstatus, o_orderpriority FROM orders)
+SELECT 'b' || b AS workbook_id, 'orders' AS sheet, row_idx, 'Key' AS header, CAST(o_orderkey AS VARCHAR) AS value FROM r
+UNION ALL SELECT 'b' || b, 'orders', row_idx, 'Note', o_orderstatus || '},{' || o_orderpriority FROM r
+UNION ALL SELECT 'b' || (n_nationkey % 3), 'nations', (row_number() OVER (PARTITION BY n_nationkey % 3 ORDER BY n_nationkey)) - 1, 'Name', n_name FROM nation
+""")
+def workbook_json_split(spark, sf):
+    """S1 over three large workbooks: each document is cut at its rows' ends and parsed by all tasks."""
+    o, n = _t(spark, sf, "orders"), _t(spark, sf, "nation")
+    text = lambda c: F.concat(F.lit('{"value":"'), c, F.lit('"}'))
+    note = F.concat_ws("},{", "o_orderstatus", "o_orderpriority")
+    row = F.concat(F.lit('{"Key":'), text(F.col("o_orderkey").cast("string")), F.lit(',"Note":'), text(note), F.lit("}"))
+    listed = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "r"))), lambda x: x["r"]), ", ")
+    orders = o.select((F.col("o_custkey") % 3).alias("b"), F.col("o_orderkey").alias("k"), row.alias("r")).groupBy("b").agg(listed().alias("orders"))
+    nations = n.select((F.col("n_nationkey") % 3).alias("b"), F.col("n_nationkey").alias("k"), F.concat(F.lit('{"Name":'), text(F.col("n_name")), F.lit("}")).alias("r")
+                       ).groupBy("b").agg(listed().alias("nations"))
+    docs = orders.join(nations, "b").select(
+        F.concat(F.lit("b"), F.col("b").cast("string")).alias("workbook_id"),
+        F.concat(F.lit('{"workbook":{"orders":['), "orders", F.lit('],"nations":['), "nations", F.lit("]}}")).alias("value"))
+    return read_workbooks(docs, split=True).cells.select("workbook_id", "sheet", "row_idx", "header", "value")

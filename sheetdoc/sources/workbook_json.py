@@ -10,19 +10,26 @@ first, as in a Python dict.
 Rows without cells and sheets without rows have no cells, so they are frames of their own. An array
 under a ``__MAPPED_<sheet>`` key (the related rows that extraction attaches) becomes ``mapped``.
 
-Each document is one task (whole-text read); a corpus is many documents, so tasks scale with
-the corpus. For very large workbooks store ``cells`` as Parquet and read that instead.
+A corpus is many documents, so by default each document is parsed by one task. ``split=True`` spreads
+large documents: their text is cut wherever an object follows another in a list (one regular
+expression pass in the task that holds the document), and the pieces are dealt over all tasks. Each
+piece is summed up for both states it can begin in (inside a string or not): its quotes, its depth and
+how far it falls. Prefix sums over these numbers, per document and without any text, tell at which
+cuts a row of a sheet ends. Rows in between are parsed where they lie; what is left of the document,
+with a stand-in for every run of rows, is a small document that is parsed as before and gives the
+rows their places.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import MAPPED_PREFIX
+from ..functions.text import MAPPED_PREFIX, quote_literal
 from ..model import CELLS_SCHEMA
+from ..session import materialize
 
 OBJECT, LIST, CELL = "map<string,string>", "array<string>", "struct<value:string,annotation:string>"
 POSITION = ["workbook_id", "sheet", "sheet_ord", "row_idx"]
@@ -67,18 +74,113 @@ def _elements(text: Column) -> Column:
 
 
 def _cell(text: Column) -> Column:
-    """A cell object's value and annotation; any other value is the text of a plain cell."""
+    """A cell object's value and annotation; any other value is the text of a plain cell. A JSON
+    boolean reads as Python writes it."""
     whole = _opens(text, "{") & F.from_json(text, OBJECT).isNotNull()
     obj = F.from_json(F.when(whole, text), CELL)
+    boolean = obj["value"].isin("true", "false") & text.rlike(r'(?<!\\)"value"\s*:\s*(true|false)\s*[,}]')
+    value = F.when(boolean, F.initcap(obj["value"])).otherwise(obj["value"])
     return F.struct(
-        F.coalesce(F.when(whole, F.coalesce(obj["value"], F.lit(""))), text, F.lit("")).alias("value"),
+        F.coalesce(F.when(whole, F.coalesce(value, F.lit(""))), text, F.lit("")).alias("value"),
         obj["annotation"].alias("annotation"),
     )
 
 
 def read_workbooks(docs: DataFrame, workbook_key: str = "workbook", text_col: str = "value",
-                   list_sheets: list[str] | None = None) -> Workbooks:
-    """Parse documents ``(workbook_id, <text_col>)`` into the frames of ``Workbooks``."""
+                   list_sheets: list[str] | None = None, split: bool = False) -> Workbooks:
+    """Parse documents ``(workbook_id, <text_col>)`` into the frames of ``Workbooks``. ``split``
+    spreads large documents over tasks (those that begin with the workbook key; others are parsed
+    whole); ids must then be unique."""
+    if not split:
+        parsed, rows = _sheet_rows(docs, workbook_key, text_col, list_sheets)
+        return _parsed_rows(parsed, rows)
+    usual = F.coalesce(F.col(text_col).rlike(r'^\s*\{\s*"' + quote_literal(workbook_key) + r'"\s*:\s*\{'), F.lit(False))
+    small, inner = _taken_apart(docs.where(usual), text_col)
+    whole = small.unionByName(docs.where(~usual).select("workbook_id", F.col(text_col).alias("value")))
+    parsed, rows = _sheet_rows(whole, workbook_key, "value", list_sheets)
+    return _parsed_rows(materialize(parsed.drop("list")), materialize(_put_back(rows, inner)))
+
+
+#: Key of a row that stands for a run of rows of a document that was taken apart.
+_STAND_IN = "\ue000rows"
+#: Depth of a sheet's rows: the document, the workbook, the sheet's list.
+_ROW_DEPTH = 3
+
+
+def _brackets(text: Column) -> Column:
+    """Of a text without strings: its depth change, the lowest depth that a bracket closes to, and how
+    many do (``struct<d, low, hits>``)."""
+    only = F.regexp_replace(text, r"[^\[\]{}]", "")
+    zero = F.struct(F.lit(0).alias("d"), F.lit(1 << 30).alias("low"), F.lit(0).alias("hits"))
+
+    def step(acc: Column, c: Column) -> Column:
+        closes = c.isin("}", "]")
+        d = acc["d"] + F.when(c.isin("{", "["), 1).when(closes, -1).otherwise(0)
+        lower, level = closes & (d < acc["low"]), closes & (d == acc["low"])
+        return F.struct(d.alias("d"), F.when(lower, d).otherwise(acc["low"]).alias("low"),
+                        F.when(lower, 1).when(level, acc["hits"] + 1).otherwise(acc["hits"]).alias("hits"))
+
+    return F.aggregate(F.split(only, ""), zero, step)
+
+
+def _taken_apart(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Documents without the rows inside their sheets (``workbook_id, value``; a stand-in row takes
+    each run's place), and those rows: ``workbook_id, run, at, text``."""
+    # after an object, before a comma and the next one: such cuts lose nothing of the text
+    cuts = F.split(F.col(text_col), r"(?<=\})(?=\s*,\s*\{)")
+    pieces = docs.select("workbook_id", F.posexplode(cuts).alias("pos", "piece"))
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    pieces = materialize(pieces.repartition(tasks, "workbook_id", "pos"))
+    bare = F.regexp_replace("piece", r"(?s)\\.", "")  # without escapes
+    rest = F.regexp_replace(bare, '^[^"]*("|$)', "")
+    sums = pieces.select(
+        "workbook_id", "pos", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
+        _brackets(F.regexp_replace(bare, '"[^"]*("|$)', "")).alias("outside"), _brackets(F.regexp_replace(rest, '"[^"]*("|$)', "")).alias("inside"))
+    in_order = Window.partitionBy("workbook_id").orderBy("pos")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    state = sums.withColumn("open", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).withColumn(
+        "own", F.when(F.col("open"), F.col("inside")).otherwise(F.col("outside")))
+    deep = state.withColumn("depth", F.coalesce(F.sum("own.d").over(before), F.lit(0)))
+    ends_row = (F.col("pos") > 0) & ~F.col("open") & (F.col("depth") == _ROW_DEPTH)
+    low = F.col("depth") + F.col("own.low")
+    grouped = deep.select("workbook_id", "pos", low.alias("low"), F.when(low == _ROW_DEPTH, F.col("own.hits")).otherwise(0).alias("hits"),
+                          F.sum(ends_row.cast("int")).over(in_order).alias("grp"))
+    # the pieces of one row (its text may hold cuts): it stays in the list and closes once, at its end
+    row = Window.partitionBy("workbook_id", "grp")
+    one = (F.min("low").over(row) == _ROW_DEPTH) & (F.sum("hits").over(row) == 1)
+    inner = grouped.withColumn("inner", (F.col("grp") > 0) & one).withColumn("first", F.col("pos") == F.min("pos").over(row))
+    runs = inner.select("workbook_id", "pos", "grp", "inner", "first", F.sum((~F.col("inner")).cast("int")).over(in_order).alias("run"))
+    run = Window.partitionBy("workbook_id", "run").orderBy("pos")
+    placed = runs.withColumn("at", F.sum((F.col("inner") & F.col("first")).cast("int")).over(run) - 1)
+    texts = materialize(pieces.join(placed, ["workbook_id", "pos"]))
+
+    def joined(of: DataFrame, by: list[str]) -> DataFrame:
+        parts = F.array_sort(F.collect_list(F.struct("pos", "piece")))
+        return of.groupBy(*by).agg(F.array_join(F.transform(parts, lambda p: p["piece"]), "").alias("text"))
+
+    inside = joined(texts.where("inner"), ["workbook_id", "run", "grp", "at"]).select(
+        "workbook_id", "run", "at", F.regexp_replace("text", r"^\s*,\s*", "").alias("text"))
+    stand_in = F.concat(F.lit(',{"' + _STAND_IN + '":{"value":"'), F.col("run").cast("string"), F.lit('"}}'))
+    left = texts.where(~F.col("inner")).select("workbook_id", "pos", "piece").unionByName(
+        texts.where("inner AND first AND at = 0").select("workbook_id", "pos", stand_in.alias("piece")))
+    return joined(left, ["workbook_id"]).withColumnRenamed("text", "value"), inside
+
+
+def _put_back(rows: DataFrame, inner: DataFrame) -> DataFrame:
+    """``rows`` of what was left of documents, with their runs of rows in the stand-ins' places."""
+    run = F.regexp_extract("text", r'^\{"' + _STAND_IN + r'":\{"value":"(\d+)"\}\}$', 1)
+    marked = rows.withColumn("run", F.when(run != "", run.cast("bigint")))
+    sizes = inner.groupBy("workbook_id", "run").agg(F.count("*").alias("n"))
+    sized = marked.join(sizes, ["workbook_id", "run"], "left")
+    before = Window.partitionBy("workbook_id", "sheet_ord").orderBy("row_idx").rowsBetween(Window.unboundedPreceding, -1)
+    moved = sized.withColumn("row_idx", F.col("row_idx") + F.coalesce(F.sum(F.coalesce("n", F.lit(1)) - 1).over(before), F.lit(0)))
+    back = moved.where("n IS NOT NULL").drop("text").join(inner, ["workbook_id", "run"])
+    return moved.where("n IS NULL").select(*POSITION, "text").unionByName(
+        back.select("workbook_id", "sheet", "sheet_ord", (F.col("row_idx") + F.col("at")).alias("row_idx"), "text"))
+
+
+def _sheet_rows(docs: DataFrame, workbook_key: str, text_col: str, list_sheets: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Sheets (``workbook_id, sheet, sheet_ord, list``) and their rows (POSITION, text)."""
     text = F.col(text_col)
     top = _members(text)
     keyed = F.filter(top, lambda e: e["key"] == workbook_key)
@@ -91,7 +193,11 @@ def read_workbooks(docs: DataFrame, workbook_key: str = "workbook", text_col: st
     parsed = found.select("workbook_id", F.col("e.key").alias("sheet"), F.col("sheet_ord").cast("int").alias("sheet_ord"),
                           _elements(F.col("e.value")).alias("list")).where("list IS NOT NULL")
     rows = parsed.select("workbook_id", "sheet", "sheet_ord", F.posexplode("list").alias("row_idx", "text"))
-    rows = rows.withColumn("row_idx", F.col("row_idx").cast("bigint"))
+    return parsed, rows.withColumn("row_idx", F.col("row_idx").cast("bigint"))
+
+
+def _parsed_rows(parsed: DataFrame, rows: DataFrame) -> Workbooks:
+    """Cells, rows, sheets and related rows of rows of text."""
     members = rows.select(*POSITION, F.posexplode(_members(F.col("text"))).alias("col_idx", "c")).select(
         *POSITION, (F.col("col_idx") + 1).cast("int").alias("col_idx"), F.col("c.key").alias("header"), F.col("c.value").alias("text"))
     is_list = _opens(F.col("text"), "[") & _elements(F.col("text")).isNotNull()

@@ -207,6 +207,41 @@ def test_pipeline_invariant_to_input_order_and_partitions(spark):
     assert base == result(sheet.repartition(3, F.rand(11)), 1 << 30)
 
 
+def test_split_documents_give_the_same_frames(spark):
+    """Large documents cut at row ends: odd texts, strings that look like rows, nested lists."""
+    import random
+
+    r = random.Random(2)
+
+    def row(i):
+        v = r.choice(["x", "},{", '"},{"', "a\\\\", '\\\\"', "},\\n {", "[", "]", "{", "é\U0001f600"]) + str(i)
+        out = {"A": {"value": v}, "B": {"value": str(i), "annotation": "n},{"}}
+        if r.random() < 0.2:
+            out["__MAPPED_s"] = [{"K": {"value": v}, "__MAP_VALUE__": "Y"}, {"K": {"value": "},{"}, "__MAP_VALUE__": "N"}]
+        return r.choice([out, out, out, {}, out | {"L": [{"a": 1}, {"b": [2]}]}])
+
+    books = {}
+    for k in range(6):
+        sheets = {f"s{j}": [row(i) for i in range(r.choice([0, 1, 2, 3, 30]))] for j in range(r.randrange(1, 6))}
+        sheets |= {"odd": {"x": [{"a": {}}, {"b": {}}]}, "mixed": [1, {"A": {"value": "1"}}, [], {"A": {"value": "2"}}, {}, {"A": {"value": "3"}}, None], "word": "oops"}
+        books[f"b{k}"] = json.dumps({"workbook": sheets, "more": [{"a": 1}, {"b": 2}, {"c": 3}]}, indent=r.choice([None, 1]), ensure_ascii=bool(k % 2))
+    books |= {"bare": json.dumps({"s": [row(i) for i in range(9)]}), "late": json.dumps({"m": [{}, {}, {}], "workbook": {"s": [row(i) for i in range(9)]}}),
+              "list": "[{},{},{}]", "bad": '{"workbook":{"s":[{"A":{"value":"1"}},{"A"', "none": None, "blank": " "}
+    docs = spark.createDataFrame(list(books.items()), "workbook_id string, value string")
+    whole, parts = read_workbooks(docs), read_workbooks(docs, split=True)
+    for name in ("cells", "rows", "sheets", "mapped"):
+        a, b = (sorted(map(str, getattr(w, name).collect())) for w in (whole, parts))
+        assert a == b, name
+    assert whole.cells.count() > 200 and whole.mapped.count() > 20
+
+
+def test_json_booleans_read_as_python_writes_them(spark):
+    row = '{"a":{"value":true},"b":{"value":"true"},"c":{"annotation":"x \\"value\\": true,","value":"false"},"d":{"value": false ,"annotation":"n"},"e":{"value":1.50}}'
+    docs = spark.createDataFrame([("d", '{"workbook":{"s":[' + row + "]}}")], "workbook_id string, value string")
+    got = {c.header: c.value for c in documents_to_cells(docs).collect()}
+    assert got == {"a": "True", "b": "true", "c": "false", "d": "False", "e": "1.5"}
+
+
 def test_workbook_json_bare_and_list_documents(spark):
     bare = json.dumps({"s": [{"A": {"value": "1"}}]})
     lst = json.dumps([{"A": {"value": "x"}}, {"A": {"value": "y"}}])
