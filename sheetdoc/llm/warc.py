@@ -279,6 +279,7 @@ def read_archives(archives: DataFrame, payload: bool = False) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=names)
 
-    spread = max(archives.sparkSession.sparkContext.defaultParallelism, int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    listed = archives.select("archive").distinct().repartition(spread, "archive")  # a given number is not coalesced
+    listed = archives.select("archive").distinct()
+    tasks = max(1, min(listed.count(), 4 * archives.sparkSession.sparkContext.defaultParallelism))
+    listed = listed.repartition(tasks, "archive")  # a given number is not coalesced
     return listed.mapInPandas(read, RECORDS + (", payload binary" if payload else ""))
