@@ -24,11 +24,10 @@ from pyspark.sql import functions as F
 from sheetdoc.llm.common import stage
 from sheetdoc.llm.graph import components
 
-#: Hash functions of a table -> (tables, buckets looked at in each). Simulated recall of pairs at
-#: cosine 0.9 in 64 dimensions: 0.998 and 0.997; more above.
-SETTINGS = {2: (8, 3), 3: (8, 9)}
-#: Objects up to which two functions make buckets that are small enough.
-TWO_FUNCTIONS = 20_000_000
+#: Hash functions of a table, tables, and buckets looked at in each: the same for every input, so
+#: whether two vectors meet depends on them alone. Simulated recall of pairs at cosine 0.9 in 64
+#: dimensions: 0.998; more above.
+FUNCTIONS, TABLES, LOOKED = 2, 8, 3
 #: Ranks of each function's axes that probes are combined from.
 RANKS = 4
 #: Objects of a block of a large bucket, and placed rows (about) that one task group holds.
@@ -161,10 +160,9 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         F.first("v").alias("v"), F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"),
     ).withColumn("x", F.monotonically_increasing_id())
     classes = stage(classes, "vectors")
-    functions = 2 if classes.count() <= TWO_FUNCTIONS else 3
-    tables, looked = SETTINGS[functions]
+    tables, looked = TABLES, LOOKED
     coded = stage(
-        classes.select("x", "copies", F.size("v").alias("dim"), _coder(functions, tables, looked)("v").alias("c"))
+        classes.select("x", "copies", F.size("v").alias("dim"), _coder(FUNCTIONS, tables, looked)("v").alias("c"))
         .select("x", "copies", "dim", "c.unit", "c.codes"), "vector-codes",
     )
     placed = coded.select("*", F.posexplode("codes").alias("slot", "bucket")).select(

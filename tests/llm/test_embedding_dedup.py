@@ -63,6 +63,19 @@ def test_no_links_below_the_threshold(spark):
     assert E.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
 
 
+def test_buckets_do_not_depend_on_how_many_vectors_there_are(spark, monkeypatch):
+    """However few or many objects there are, the same vectors meet: no size names the hash settings."""
+    rows = [(i, v) for i, v in vectors() if i is not None]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    functions = []
+    probes = E._coder
+    monkeypatch.setattr(E, "_coder", lambda *settings: functions.append(settings) or probes(*settings))
+    want = sorted(map(repr, E.near_duplicates(frame).collect()))
+    monkeypatch.setattr(E, "TWO_FUNCTIONS", 1, raising=False)  # objects beyond which other settings were taken
+    assert sorted(map(repr, E.near_duplicates(frame).collect())) == want
+    assert functions[0] == functions[1] == (E.FUNCTIONS, E.TABLES, E.LOOKED)
+
+
 def test_hadamard_is_orthonormal():
     x = np.random.default_rng(0).normal(size=(5, 32))
     y = E._hadamard(x)
