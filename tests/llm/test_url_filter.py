@@ -1,3 +1,4 @@
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -90,3 +91,35 @@ def test_grams_beyond_the_broadcast_bound_are_joined(spark, monkeypatch):
     want = scores(pages)
     monkeypatch.setattr(url_filter, "BROADCAST_GRAMS", 20)
     assert scores(pages) == want
+
+
+def plain_threshold(rows):
+    yes, no = sum(ok for _, ok in rows), sum(not ok for _, ok in rows)
+    if not yes or not no:
+        return 0.0
+    steps = sorted({v for v, _ in rows})
+    gain = lambda v: sum(not ok for x, ok in rows if x < v) / no - sum(ok for x, ok in rows if x < v) / yes
+    best = max(range(len(steps)), key=lambda i: (round(gain(steps[i]), 12), -steps[i]))
+    return (steps[best] + steps[max(0, best - 1)]) / 2
+
+
+def test_threshold_over_cells(spark):
+    """Running counts over cells give the threshold that one pass over all scores gives."""
+    r = random.Random(3)
+    for wide in (1e-4, 0.01, 5.0):
+        rows = [(round(r.gauss(wide * ok, wide), 6), bool(ok)) for ok in (0, 1) for _ in range(200)]
+        assert abs(url_filter.calibrate(spark.createDataFrame(rows, "score double, accepted boolean")) - plain_threshold(rows)) < 1e-12
+    assert url_filter.calibrate(spark.createDataFrame([(1.0, True)], "score double, accepted boolean")) == 0.0
+
+
+def test_every_labelled_url_calibrates_and_is_learned_from(spark, monkeypatch):
+    """More URLs of a kind than the threshold was once set by: none is left out."""
+    at = F.col("id").cast("string")
+    url = F.when(F.col("id") % 20 == 0, F.concat(F.lit("http://x.com/de/w"), at)).otherwise(F.concat(F.lit("http://g.org/w"), at))
+    labelled = spark.range(120_000).select(F.col("id").alias("page_id"), url.alias("url"))
+    scored, learned = [], []
+    calibrate, train = url_filter.calibrate, url_filter.train
+    monkeypatch.setattr(url_filter, "calibrate", lambda rows: scored.append(rows.count()) or calibrate(rows))
+    monkeypatch.setattr(url_filter, "train", lambda rows: learned.append(rows.count()) or train(rows))
+    url_filter.judge(labelled, URL_RULES)
+    assert scored == [120_000] and learned[0] == 120_000
