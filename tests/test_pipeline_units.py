@@ -326,3 +326,21 @@ def test_first_field_is_known_or_found(spark):
     items[0]["fields"] = [{"name": "T", "value": "K"}, *maybe]
     docs, _ = run(spark, rows, items)
     assert [(i["name"], [f["name"] for f in i["fields"]]) for i in docs[0]["items"]] == [("a", ["T", "x", "y"]), ("b", ["T"]), ("c", ["T", "S", "z"])]
+
+
+def test_flat_view_computes_only_what_is_asked_for(spark):
+    """A field's text alone is computed, once; the last field of a name that is there wins."""
+    from sheetdoc.plans.flat import run_flat
+
+    cell = "struct<value:string,annotation:string>"
+    rows = spark.createDataFrame(
+        [("w", "s", 0, ("a", None), ("{}", None)), ("w", "s", 1, ("b", None), ("", None))], f"workbook_id string, sheet string, row_idx bigint, T {cell}, P {cell}")
+    first = {"templateKey": "x", "filter": "T.value = 'a'", "fields": [
+        {"name": "A", "value": "T"}, {"name": "B", "value": "P", "transform": [["fromjson"]]}, {"name": "A", "value": "T", "transform": [["prefix", "2"]]},
+        {"name": "A", "computed": True, "condition": "T.value = 'zz'", "value": "P", "omit_if_false": True}]}
+    second = {"templateKey": "y", "filter": "T.value = 'b'", "fields": [{"name": "C", "value": "T", "type": "t"}]}
+    flat, _ = run_flat(rows, {"items": [first, second]}, ["A"], extra={"kind": ("C", "type")})
+    got = {r.row_idx: (r.A, r.kind) for r in flat.select("row_idx", "A", "kind").collect()}
+    assert got == {0: ("2a", None), 1: (None, "t")}
+    plan = flat.select("row_idx", "A")._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan and "filter(" not in plan.lower()
