@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from sheetdoc.llm.common import bound_batches
 SAMPLE_DOCS = 2000
 TABLE_ROWS = 30_000
 MAX_RUN = 64
-#: Entries of a worker's cache; a full cache is emptied.
-CACHE_ROWS = 150_000
+#: Entries of a worker's cache (about 60 MB); a full cache loses its older half.
+CACHE_ROWS = 400_000
+#: Runs that the library encodes in one call.
+CALL = 256
 
 
 class _Lengths(dict):
@@ -41,14 +44,20 @@ class _Lengths(dict):
         super().__init__(frequent)
 
     def encode(self, runs: list[bytes]) -> list[int]:
-        texts = [r.decode() for r in runs]
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        out: list[int] = []
+        for at in range(0, len(runs), CALL):
+            texts = [r.decode() for r in runs[at : at + CALL]]
+            of = self.tokenizer.encode(texts, is_pretokenized=True, add_special_tokens=False).word_ids
+            out += np.bincount(of, minlength=len(texts)).tolist() if of else [0] * len(texts)
+        return out
 
     def learn(self, runs: set[bytes]) -> None:
         """Encode the short runs of ``runs`` that are unknown, in one call."""
         if len(self) > CACHE_ROWS:
+            newer = list(self.items())[-(CACHE_ROWS // 2) :]
             self.clear()
             self.update(self.frequent)
+            self.update(newer)
         new = [r for r in runs - self.keys() if len(r) <= MAX_RUN]
         self.update(zip(new, self.encode(new), strict=True))
 

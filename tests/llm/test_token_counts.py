@@ -20,3 +20,19 @@ def test_counts_are_the_library_s(spark, documents):
 
 def test_empty_table(spark):
     assert token_counts.count_tokens(frame(spark, []), FILE).collect() == []
+
+
+def test_a_full_cache_keeps_its_newer_half_and_counts_stay(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    monkeypatch.setattr(token_counts, "CACHE_ROWS", 40)
+    monkeypatch.setattr(token_counts, "CALL", 7)
+    lengths = token_counts._Lengths(path, {b"frequent": 1})
+    runs = [f"w{i}-é<|endoftext|>{'x' * (i % 9)}".encode() for i in range(60)] + [b"a\x1cb", "\u3000".encode(), b"<unk>", "\u200b".encode()]
+    lengths.learn(set(runs))
+    lengths.learn(set())  # over the bound: the older half goes
+    assert len(lengths) == 21 and b"frequent" in lengths
+    assert [lengths[r] for r in runs] == [len(plain.encode(r.decode(), add_special_tokens=False).ids) for r in runs]
+    assert lengths.encode([]) == []
