@@ -209,16 +209,27 @@ UNION ALL SELECT 'b' || b, 'orders', row_idx, 'Note', o_orderstatus || '},{' ||
 UNION ALL SELECT 'b' || (n_nationkey % 3), 'nations', (row_number() OVER (PARTITION BY n_nationkey % 3 ORDER BY n_nationkey)) - 1, 'Name', n_name FROM nation
 """)
 def workbook_json_split(spark, sf):
-    """S1 over three large workbooks: each document is cut at its rows' ends and parsed by all tasks."""
+    """S1 over three large workbooks: each document, in ordered fragments, is cut at its rows' ends and
+    parsed by all tasks."""
     o, n = _t(spark, sf, "orders"), _t(spark, sf, "nation")
     text = lambda c: F.concat(F.lit('{"value":"'), c, F.lit('"}'))
     note = F.concat_ws("},{", "o_orderstatus", "o_orderpriority")
     row = F.concat(F.lit('{"Key":'), text(F.col("o_orderkey").cast("string")), F.lit(',"Note":'), text(note), F.lit("}"))
-    listed = lambda: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "r"))), lambda x: x["r"]), ", ")
-    orders = o.select((F.col("o_custkey") % 3).alias("b"), F.col("o_orderkey").alias("k"), row.alias("r")).groupBy("b").agg(listed().alias("orders"))
-    nations = n.select((F.col("n_nationkey") % 3).alias("b"), F.col("n_nationkey").alias("k"), F.concat(F.lit('{"Name":'), text(F.col("n_name")), F.lit("}")).alias("r")
-                       ).groupBy("b").agg(listed().alias("nations"))
-    docs = orders.join(nations, "b").select(
-        F.concat(F.lit("b"), F.col("b").cast("string")).alias("workbook_id"),
-        F.concat(F.lit('{"workbook":{"orders":['), "orders", F.lit('],"nations":['), "nations", F.lit("]}}")).alias("value"))
-    return read_workbooks(docs, split=True).cells.select("workbook_id", "sheet", "row_idx", "header", "value")
+    orders = o.select((F.col("o_custkey") % 3).alias("b"), F.col("o_orderkey").cast("long").alias("k"), row.alias("r"))
+    nations = n.select((F.col("n_nationkey") % 3).alias("b"), F.col("n_nationkey").cast("long").alias("k"),
+                       F.concat(F.lit('{"Name":'), text(F.col("n_name")), F.lit("}")).alias("r"))
+    # a null row is left out; the first of a list has no comma before it
+    firsts = [s.groupBy("b").agg(F.min(F.when(F.col("r").isNotNull(), F.struct("k", "r"))).alias(f)) for s, f in ((orders, "f1"), (nations, "f3"))]
+    books = firsts[0].join(firsts[1], "b")
+
+    def listed(rows, part):
+        each = rows.where("r IS NOT NULL").groupBy("b", "k", "r").count().select("b", "k", "r", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))).alias("i"))
+        is_first = F.struct("k", "r").eqNullSafe(F.col(f"f{part}")) & (F.col("i") == 1)
+        return each.join(books, "b").select("b", F.lit(part).alias("part"), "k", "i", F.when(is_first, F.col("r")).otherwise(F.concat(F.lit(", "), "r")).alias("value"))
+
+    around = F.explode(F.array(*(F.struct(F.lit(p).alias("part"), F.lit(t).alias("value")) for p, t in ((0, '{"workbook":{"orders":['), (2, '],"nations":['), (4, "]}}")))))
+    around = books.select("b", around.alias("e")).select("b", "e.part", F.lit(None).cast("long").alias("k"), F.lit(1).alias("i"), "e.value")
+    docs = around.unionByName(listed(orders, 1)).unionByName(listed(nations, 3)).withColumn("workbook_id", F.concat(F.lit("b"), F.col("b").cast("string")))
+    # the first row's text lacks its comma, so texts are compared from their braces on
+    docs = docs.withColumn("r", F.regexp_replace("value", "^, ", ""))
+    return read_workbooks(docs, split=True, order=["part", "k", "r", "i"]).cells.select("workbook_id", "sheet", "row_idx", "header", "value")

@@ -14,10 +14,10 @@ A corpus is many documents, so by default each document is parsed by one task. `
 large documents: their text is cut wherever an object follows another in a list (one regular
 expression pass in the task that holds the document), and the pieces are dealt over all tasks. Each
 piece is summed up for both states it can begin in (inside a string or not): its quotes, its depth and
-how far it falls. Prefix sums over these numbers, per document and without any text, tell at which
+how far it falls. Prefix sums over these numbers, in blocks and without any text, tell at which
 cuts a row of a sheet ends. Rows in between are parsed where they lie; what is left of the document,
 with a stand-in for every run of rows, is a small document that is parsed as before and gives the
-rows their places.
+rows their places. A document that no task could hold is read as ordered fragments (``order``).
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import MAPPED_PREFIX, quote_literal
 from ..model import CELLS_SCHEMA
-from ..session import materialize
+from ..session import materialize, written
 
 OBJECT, LIST, CELL = "map<string,string>", "array<string>", "struct<value:string,annotation:string>"
 POSITION = ["workbook_id", "sheet", "sheet_ord", "row_idx"]
@@ -87,16 +87,20 @@ def _cell(text: Column) -> Column:
 
 
 def read_workbooks(docs: DataFrame, workbook_key: str = "workbook", text_col: str = "value",
-                   list_sheets: list[str] | None = None, split: bool = False) -> Workbooks:
+                   list_sheets: list[str] | None = None, split: bool = False, order: list[str] | None = None) -> Workbooks:
     """Parse documents ``(workbook_id, <text_col>)`` into the frames of ``Workbooks``. ``split``
     spreads large documents over tasks (those that begin with the workbook key; others are parsed
-    whole); ids must then be unique."""
+    whole); ids must then be unique, unless ``order`` names columns: then a document is its rows' texts in
+    this order, and it is never one value. Such a fragment may end anywhere but within an escape; the
+    workbook's opening brace must be in the first one for the document to be spread."""
+    if order and not split:
+        raise ValueError("fragments are only read with split")
     if not split:
         parsed, rows = _sheet_rows(docs, workbook_key, text_col, list_sheets)
         return _parsed_rows(parsed, rows)
-    usual = F.coalesce(F.col(text_col).rlike(r'^\s*\{\s*"' + quote_literal(workbook_key) + r'"\s*:\s*\{'), F.lit(False))
-    small, inner = _taken_apart(docs.where(usual), text_col)
-    whole = small.unionByName(docs.where(~usual).select("workbook_id", F.col(text_col).alias("value")))
+    own = [f"__order{i}" for i in range(len(order or []))]
+    fragments = docs.select("workbook_id", *(F.col(c).alias(o) for c, o in zip(order or [], own, strict=True)), F.col(text_col).alias("value"))
+    whole, inner = _taken_apart(fragments, own, workbook_key)
     parsed, rows = _sheet_rows(whole, workbook_key, "value", list_sheets)
     return _parsed_rows(materialize(parsed.drop("list")), materialize(_put_back(rows, inner)))
 
@@ -105,6 +109,8 @@ def read_workbooks(docs: DataFrame, workbook_key: str = "workbook", text_col: st
 _STAND_IN = "\ue000rows"
 #: Depth of a sheet's rows: the document, the workbook, the sheet's list.
 _ROW_DEPTH = 3
+#: Low bits of a piece's number that name its place in a block.
+BLOCK_BITS = 14
 
 
 def _brackets(text: Column) -> Column:
@@ -123,36 +129,75 @@ def _brackets(text: Column) -> Column:
     return F.aggregate(F.split(only, ""), zero, step)
 
 
-def _taken_apart(docs: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+def _taken_apart(docs: DataFrame, order: list[str], workbook_key: str) -> tuple[DataFrame, DataFrame]:
     """Documents without the rows inside their sheets (``workbook_id, value``; a stand-in row takes
-    each run's place), and those rows: ``workbook_id, run, at, text``."""
+    each run's place), and those rows: ``workbook_id, run, at, text``.
+
+    ``docs`` has the fragments of documents (``workbook_id``, ``order``, ``value``). Pieces are numbered
+    by one range sort; what goes on from piece to piece is summed up inside blocks of these numbers,
+    and only the blocks' totals are put in a row for each document."""
     # after an object, before a comma and the next one: such cuts lose nothing of the text
-    cuts = F.split(F.col(text_col), r"(?<=\})(?=\s*,\s*\{)")
-    pieces = docs.select("workbook_id", F.posexplode(cuts).alias("pos", "piece"))
+    cuts = F.split("value", r"(?<=\})(?=\s*,\s*\{)")
+    cut = docs.select("workbook_id", *order, F.posexplode(cuts).alias("sub", "piece"))
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    pieces = materialize(pieces.repartition(tasks, "workbook_id", "pos"))
+    by = ["workbook_id", *order, "sub"]
+    in_order = cut.repartitionByRange(tasks, *by).sortWithinPartitions(*by)
+    pieces = written(in_order.select("workbook_id", F.monotonically_increasing_id().alias("pos"), "piece"))
     bare = F.regexp_replace("piece", r"(?s)\\.", "")  # without escapes
     rest = F.regexp_replace(bare, '^[^"]*("|$)', "")
-    sums = pieces.select(
-        "workbook_id", "pos", (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
-        _brackets(F.regexp_replace(bare, '"[^"]*("|$)', "")).alias("outside"), _brackets(F.regexp_replace(rest, '"[^"]*("|$)', "")).alias("inside"))
-    in_order = Window.partitionBy("workbook_id").orderBy("pos")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    state = sums.withColumn("open", F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2 == 1).withColumn(
+    here, in_row = ["workbook_id", "block"], Window.partitionBy("workbook_id").orderBy("block")
+    in_block, earlier = Window.partitionBy(*here).orderBy("pos"), in_row.rowsBetween(Window.unboundedPreceding, -1)
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+
+    def sum_of(c: Column | str, over) -> Column:
+        return F.coalesce(F.sum(c).over(over), F.lit(0))
+
+    # written, so that brackets are counted once
+    sums = written(pieces.select(
+        "workbook_id", "pos", F.shiftright("pos", BLOCK_BITS).alias("block"),
+        (F.length(bare) - F.length(F.replace(bare, F.lit('"'), F.lit("")))).alias("quotes"),
+        _brackets(F.regexp_replace(bare, '"[^"]*("|$)', "")).alias("outside"), _brackets(F.regexp_replace(rest, '"[^"]*("|$)', "")).alias("inside"),
+        F.col("piece").rlike(r'^\s*\{\s*"' + quote_literal(workbook_key) + r'"\s*:\s*\{').alias("head"),
+        F.col("piece").rlike(r"^\s*,\s*\{").alias("starts"), F.col("piece").rlike(r"\}\s*$").alias("ends")))
+    # for both states that a block can begin in: 0 outside of strings, 1 inside
+    odd = sums.withColumn("odd", sum_of("quotes", before) % 2 == 1)
+    both = odd.withColumn("d0", F.when(F.col("odd"), F.col("inside.d")).otherwise(F.col("outside.d"))).withColumn(
+        "d1", F.when(F.col("odd"), F.col("outside.d")).otherwise(F.col("inside.d")))
+    local = written(both.withColumn("depth0", sum_of("d0", before)).withColumn("depth1", sum_of("d1", before)).withColumn(
+        "after", F.lag("ends").over(in_block)))
+    totals = local.groupBy(*here).agg(F.sum("quotes").alias("q"), F.sum("d0").alias("t0"), F.sum("d1").alias("t1"),
+                                      F.max_by("ends", "pos").alias("last"), F.min_by("head", "pos").alias("head"))
+    begun = totals.withColumn("begun", sum_of("q", earlier) % 2 == 1)
+    starts = begun.select(*here, "begun", sum_of(F.when(F.col("begun"), F.col("t1")).otherwise(F.col("t0")), earlier).alias("depth"),
+                          F.lag("last").over(in_row).alias("brace"), F.first("head").over(in_row).alias("usual"))
+    state = local.drop("head").join(starts, here).withColumn("open", F.col("odd") != F.col("begun")).withColumn(
+        "depth", F.col("depth") + F.when(F.col("begun"), F.col("depth1")).otherwise(F.col("depth0"))).withColumn(
         "own", F.when(F.col("open"), F.col("inside")).otherwise(F.col("outside")))
-    deep = state.withColumn("depth", F.coalesce(F.sum("own.d").over(before), F.lit(0)))
-    ends_row = (F.col("pos") > 0) & ~F.col("open") & (F.col("depth") == _ROW_DEPTH)
+    # a fragment may begin anywhere, so not every piece is a cut
+    is_cut = F.col("starts") & F.coalesce("after", "brace", F.lit(False))
+    ends_row = (~F.col("open") & (F.col("depth") == _ROW_DEPTH) & is_cut).cast("int")
     low = F.col("depth") + F.col("own.low")
-    grouped = deep.select("workbook_id", "pos", low.alias("low"), F.when(low == _ROW_DEPTH, F.col("own.hits")).otherwise(0).alias("hits"),
-                          F.sum(ends_row.cast("int")).over(in_order).alias("grp"))
+    rows = written(state.select(
+        *here, "pos", "usual", low.alias("low"), F.when(low == _ROW_DEPTH, F.col("own.hits")).otherwise(0).alias("hits"),
+        F.sum(ends_row).over(in_block).alias("rows")))
+    rows_before = rows.groupBy(*here).agg(F.max("rows").alias("n")).select(*here, sum_of("n", earlier).alias("rows_before"))
+    grouped = rows.join(rows_before, here).withColumn("grp", F.col("rows_before") + F.col("rows"))
     # the pieces of one row (its text may hold cuts): it stays in the list and closes once, at its end
     row = Window.partitionBy("workbook_id", "grp")
     one = (F.min("low").over(row) == _ROW_DEPTH) & (F.sum("hits").over(row) == 1)
-    inner = grouped.withColumn("inner", (F.col("grp") > 0) & one).withColumn("first", F.col("pos") == F.min("pos").over(row))
-    runs = inner.select("workbook_id", "pos", "grp", "inner", "first", F.sum((~F.col("inner")).cast("int")).over(in_order).alias("run"))
-    run = Window.partitionBy("workbook_id", "run").orderBy("pos")
-    placed = runs.withColumn("at", F.sum((F.col("inner") & F.col("first")).cast("int")).over(run) - 1)
-    texts = materialize(pieces.join(placed, ["workbook_id", "pos"]))
+    inner = grouped.select(*here, "pos", "grp", (F.col("usual") & (F.col("grp") > 0) & one).alias("inner"), (F.col("pos") == F.min("pos").over(row)).alias("first"))
+    # pieces that stay, rows inside, and how many of those there were at the last piece that stays
+    counted = inner.withColumn("stay", F.sum((~F.col("inner")).cast("int")).over(in_block)).withColumn(
+        "taken", F.sum((F.col("inner") & F.col("first")).cast("int")).over(in_block))
+    counted = written(counted.withColumn("since", F.max(F.when(~F.col("inner"), F.col("taken"))).over(in_block)))
+    totals = counted.groupBy(*here).agg(F.max("stay").alias("s"), F.max("taken").alias("t"), F.max("since").alias("c")).select(
+        *here, sum_of("s", earlier).alias("stay_before"), sum_of("t", earlier).alias("taken_before"), "c")
+    totals = totals.select(*here, "stay_before", "taken_before", F.max(F.col("taken_before") + F.col("c")).over(earlier).alias("since_before"))
+    taken = F.col("taken_before") + F.col("taken")
+    since = F.coalesce(F.col("taken_before") + F.col("since"), "since_before", F.lit(0))
+    placed = counted.join(totals, here).select(
+        "workbook_id", "pos", "grp", "inner", "first", (F.col("stay_before") + F.col("stay")).alias("run"), (taken - since - 1).alias("at"))
+    texts = written(pieces.join(placed, ["workbook_id", "pos"]))
 
     def joined(of: DataFrame, by: list[str]) -> DataFrame:
         parts = F.array_sort(F.collect_list(F.struct("pos", "piece")))

@@ -235,6 +235,35 @@ def test_split_documents_give_the_same_frames(spark):
     assert whole.cells.count() > 200 and whole.mapped.count() > 20
 
 
+def test_fragments_of_documents_give_the_frames_of_whole_ones(spark, monkeypatch):
+    """Documents cut anywhere but within an escape, over several blocks, in columns that order them."""
+    import random
+    import re
+
+    from sheetdoc.sources import workbook_json
+
+    monkeypatch.setattr(workbook_json, "BLOCK_BITS", 2)
+    r = random.Random(5)
+    row = lambda i: {"A": {"value": r.choice(["x", "},{", '"},{"', '\\\\"', "[", "é"]) + str(i)}, "L": [{"a": {}}, {"b": 1}]}
+    books = {f"b{k}": json.dumps({"workbook": {"s": [row(i) for i in range(25)], "t": [row(i) for i in range(k)], "odd": [1, {}, [], {}]}}) for k in range(3)}
+    books |= {"other": json.dumps({"s": [row(i) for i in range(5)]}), "bad": '{"workbook":{"s":[{"A":{"value":"1"}},{"A"'}
+    rows = []
+    for k, text in books.items():
+        parts, at = re.findall(r"(?s)\\u....|\\.|.", text), 0
+        while at < len(parts):  # the first one has the workbook's opening brace; some end where a row does
+            n = 20 if not at else r.choice([1, 3, 40, 90])
+            rows.append((k, at // 100, at % 100, "".join(parts[at : at + n])))
+            at += n
+    r.shuffle(rows)
+    whole = read_workbooks(spark.createDataFrame(list(books.items()), "workbook_id string, value string"))
+    docs = spark.createDataFrame(rows, "workbook_id string, page int, line int, value string")
+    parts = read_workbooks(docs, split=True, order=["page", "line"])
+    for name in ("cells", "rows", "sheets", "mapped"):
+        a, b = (sorted(map(str, getattr(w, name).collect())) for w in (whole, parts))
+        assert a == b, name
+    assert whole.cells.count() > 70
+
+
 def test_json_booleans_read_as_python_writes_them(spark):
     row = '{"a":{"value":true},"b":{"value":"true"},"c":{"annotation":"x \\"value\\": true,","value":"false"},"d":{"value": false ,"annotation":"n"},"e":{"value":1.50}}'
     docs = spark.createDataFrame([("d", '{"workbook":{"s":[' + row + "]}}")], "workbook_id string, value string")
