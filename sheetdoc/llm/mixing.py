@@ -90,21 +90,22 @@ def mix(
     )
     sizes = stage(queue.select("source", "size", "key", "block"), "mix-sizes")
     per = stage(targets(sizes, weights, epochs), "mix-targets")
-    in_order = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = sizes.groupBy("source", "block").agg(F.sum("size").alias("block_size")).select(
-        "source", "block", F.coalesce(F.sum("block_size").over(in_order), F.lit(0)).alias("before"),
-    )
+    # a name without nulls: the window and the join of the rows then share one shuffle
+    place = ["name", "unnamed", "block"]
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("name", F.coalesce("source", F.lit(""))).withColumn("unnamed", F.col("source").isNull())
+
+    in_order = Window.partitionBy("name", "unnamed").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = named(sizes).groupBy(*place).agg(F.sum("size").alias("block_size")).select(
+        *place, F.coalesce(F.sum("block_size").over(in_order), F.lit(0)).alias("before"),
+    ).join(named(per).drop("source"), ["name", "unnamed"])
 
     def finish(rows: DataFrame) -> DataFrame:
         """Virtual finish time of each row's first copy; a later epoch adds a round."""
-        here = Window.partitionBy("source", "block").orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
-        running = rows.withColumn("within", F.sum("size").over(here)).alias("r")
-        b, p = blocks.alias("b"), per.alias("p")
-        return (
-            running.join(b, F.col("r.source").eqNullSafe(F.col("b.source")) & (F.col("r.block") == F.col("b.block")))
-            .join(p, F.col("r.source").eqNullSafe(F.col("p.source")))
-            .select("r.*", (F.col("before") + F.col("within")).alias("done"), "source_size", "rank", "weight", "target", "level", "total", "largest")
-        )
+        here = Window.partitionBy(*place).orderBy("key").rangeBetween(Window.unboundedPreceding, 0)
+        running = named(rows).withColumn("within", F.sum("size").over(here))
+        return running.join(blocks, place).withColumn("done", F.col("before") + F.col("within")).drop("before")
 
     def at(epoch) -> Column:
         return (F.col("done") + F.lit(epoch) * F.col("source_size")) / F.col("weight")

@@ -71,3 +71,18 @@ def test_order_repeats_and_empty(spark):
     assert len(run(spark, rows).where(F.col("doc_id") == 3).collect()) == 4
     assert run(spark, []).collect() == []
     assert {r.mix_copies for r in run(spark, [(1, "a", None), (2, None, "")]).collect()} == {0}
+
+
+def test_rows_are_shuffled_once_before_the_sort(spark):
+    """The window and the join of whole rows share a shuffle, whatever the planner can broadcast."""
+    docs = spark.createDataFrame([(i, "ab"[i % 2] if i % 5 else None, "w " * i) for i in range(40)], "doc_id long, source string, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed = mixing.mix(docs.withColumn("size", mixing.word_count()).withColumn("key", mixing.shuffle_key()))
+        lines = mixed._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [i for i, line in enumerate(lines) if "SortMergeJoin" in line]
+    # the rows are the left side of the first join: from there down to the right side
+    right = next(i for i in range(joins[0] + 1, len(lines)) if lines[i].lstrip(" :").startswith("+- Sort") and lines[i].index("+-") == lines[joins[0]].index("+-") + 3)
+    assert sum("Exchange hashpartitioning" in line for line in lines[joins[0] : right]) == 1
