@@ -21,3 +21,20 @@ def test_no_rows(spark):
     kind = K.Packed(4, key="i8")
     assert list(kind.packed(iter([]), "key")) == []
     assert list(kind.buckets(iter([]))) == []
+
+
+def test_a_filter_has_the_places_of_its_keys_alone(spark):
+    from sheetdoc.llm.keyset import SHIFTS, KeySet, tester
+
+    keys = np.random.default_rng(8).integers(-(1 << 63), 1 << 63, 9000)
+    shared = KeySet(spark.createDataFrame(K.pd.DataFrame({"finger": keys})).repartition(3))
+    table = shared.bits.value
+    places = {int(k) >> n & 64 * len(table) - 1 for k in keys.view(np.uint64) for n in SHIFTS}
+    assert {int(w) * 64 + b for w in np.flatnonzero(table) for b in range(64) if int(table[w]) >> b & 1} == places
+    test = tester(shared.bits)
+    other = np.random.default_rng(9).integers(-(1 << 63), 1 << 63, 9000)
+    assert test(keys.view(np.uint64)).all()
+    want = [all(int(k) >> n & 64 * len(table) - 1 in places for n in SHIFTS) for k in other.view(np.uint64)]
+    assert test(other.view(np.uint64)).tolist() == want
+    assert len(test(np.empty(0, np.uint64))) == 0
+    assert not tester(KeySet(spark.createDataFrame([], "finger long")).bits)(other.view(np.uint64)).any()
